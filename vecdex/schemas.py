@@ -1,0 +1,37 @@
+"""Declared schemas (never inferred)."""
+
+from pyspark.sql import types as T
+
+CORPUS = T.StructType([
+    T.StructField("movie_id", T.StringType(), False),
+    T.StructField("title", T.StringType(), False),
+    T.StructField("release_year", T.IntegerType(), True),
+    T.StructField("genres", T.ArrayType(T.StringType(), False), False),
+    T.StructField("summary_snippet", T.StringType(), False),
+])
+
+POINT_PAYLOAD = ["movie_id", "title", "release_year", "genres", "summary_snippet",
+                 "thumbnail_url"]
+
+HIT = T.StructType([
+    T.StructField("qid", T.LongType(), False),
+    T.StructField("rank", T.IntegerType(), False),
+    T.StructField("id", T.LongType(), False),
+    T.StructField("score", T.DoubleType(), False),
+])
+
+# candidate rows produced by the per-partition scoring kernels
+CANDIDATE = "qid long, id long, score double"
+
+QUERY = T.StructType([
+    T.StructField("qid", T.LongType(), False),
+    T.StructField("query", T.StringType(), True),
+    T.StructField("limit", T.IntegerType(), True),
+])
+
+CATALOGUE = T.StructType([
+    T.StructField("title", T.StringType(), False),
+    T.StructField("year", T.IntegerType(), True),
+    T.StructField("rank", T.IntegerType(), False),
+    T.StructField("poster_path", T.StringType(), True),
+])
