@@ -23,10 +23,10 @@ MSG_BLANK = "Query parameter 'q' must not be blank"
 MSG_TOO_LONG = "Query parameter 'q' exceeds maximum length of 500 characters"
 MSG_LIMIT = "Limit must be at least 1"
 # Characters for which java.lang.Character.isWhitespace is true (String.isBlank).
-JAVA_WHITESPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{1680}\x{2000}-\x{2006}"
+JAVA_WHITESPACE = (r"\x{09}-\x{0D}\x{1C}-\x{20}\x{1680}\x{2000}-\x{2006}"
                    r"\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}")
 # Characters removed by JavaScript String.prototype.trim (WhiteSpace + LineTerminator).
-JS_TRIM_CHARS = (r"\t\n\x0B\f\r \xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+JS_TRIM_CHARS = (r"\x{09}-\x{0D}\x{20}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
                  r"\x{202F}\x{205F}\x{3000}\x{FEFF}")
 # HTML escape order: '&' first so later entities are not escaped twice.
 HTML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))

@@ -3,22 +3,36 @@ operator of the inventory, each reading whole tables.
 
 Keys are prefixed with the operator id (k2_, p1_, ...). ``vecdex.plans.oracle``
 holds the DuckDB SQL for the same keys; column names match exactly.
+
+Test-table stand-ins (all derived by Spark from the given tables):
+* index of vectors: ``embeddings`` (64-d) — vec_id is the point id;
+* text corpus: ``documents`` embedded with the hashing embedder (U5);
+* query stream: ``conversations`` rows (qid = conv_id * 100 + turn, the text
+  as query, a limit derived from the turn; system turns use the default);
+* poster catalogue and points: derived from ``part``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.operators import topk
+from vecdex.functions import text as tx
+from vecdex.functions import vectors as vx
+from vecdex.operators import corpus, embed, enrich, ids, index, search, topk
 from vecdex.sources.tables import embeddings_index, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 EMB_DIM = 64          # width of the ``embeddings`` test table
+TEXT_DIM = 64         # width of the hashing embedder used on text tables
+POSTER_BASE = "https://posters.example.org/w500"
+DEBOUNCE_GAP = "1 hour"
+RATE_WINDOW = "1 hour"
+RATE_MAX = 2
 
 
 def register(name: str):
@@ -28,13 +42,344 @@ def register(name: str):
     return deco
 
 
+# ---------------------------------------------------------------------------
+# shared derived inputs
+# ---------------------------------------------------------------------------
+
 def _emb_queries(spark, d):
     idx = embeddings_index(spark, d)
     return idx, idx.select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
 
 
+def conversation_queries(spark, d) -> DataFrame:
+    c = table(spark, d, "conversations")
+    lim = F.when(F.col("role") == "system", F.lit(None)).otherwise(F.col("turn") * 13 - 20)
+    return c.select((F.col("conv_id") * 100 + F.col("turn")).alias("qid"),
+                    F.col("text").alias("query"), lim.cast("int").alias("limit"))
+
+
+def text_index(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    emb = embed.HashingEmbedder(TEXT_DIM)
+    return emb.embed(docs.select(F.col("doc_id").alias("id"), "text", "lang", "source"),
+                     "text", "vector")
+
+
+def _part_points(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    year = F.when(F.col("p_size") % 3 == 0, F.lit(None)).otherwise(1990 + F.col("p_size") % 20)
+    return p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
+                    year.cast("int").alias("release_year"),
+                    F.lit(None).cast("string").alias("thumbnail_url"))
+
+
+def _part_catalogue(spark, d) -> DataFrame:
+    """Catalogue rows (title, year, rank, poster_path) derived from part;
+    rank is unique per title."""
+    p = table(spark, d, "part")
+    from pyspark.sql import Window
+    w = Window.partitionBy("p_name").orderBy("p_partkey")
+    path = (F.when(F.col("p_partkey") % 11 == 0, F.lit(None))
+            .when(F.col("p_partkey") % 13 == 0, F.lit(""))
+            .otherwise(F.concat(F.lit("/"), F.col("p_brand"), F.lit("/"),
+                                F.col("p_partkey").cast("string"), F.lit(".jpg"))))
+    return p.select(F.col("p_name").alias("title"),
+                    (1990 + F.col("p_partkey") % 20).cast("int").alias("year"),
+                    F.row_number().over(w).cast("int").alias("rank"),
+                    path.alias("poster_path"))
+
+
+# ---------------------------------------------------------------------------
+# K: search
+# ---------------------------------------------------------------------------
+
 @register("k2_topk")
 def k2_topk(spark: SparkSession, d: str) -> DataFrame:
     """Every embedding queries the whole index, top 10 by cosine."""
     idx, q = _emb_queries(spark, d)
     return topk.knn(idx, q, EMB_DIM, 10)
+
+
+def centroid(df: DataFrame, vec_col: str) -> list[float]:
+    """Mean vector of a table (d values reach the driver, d = width)."""
+    rows = (embed.mean_pool_by_key(df.withColumn("_all", F.lit(0)), "_all", vec_col)
+            .orderBy("pos").collect())
+    return [r["value"] for r in rows]
+
+
+@register("k1_topk_single")
+def k1_topk_single(spark, d):
+    """One query (the centroid of the index), top 10."""
+    idx = embeddings_index(spark, d)
+    return topk.knn_single(idx, centroid(idx, "vector"), EMB_DIM, 10)
+
+
+@register("f5_filtered_topk")
+def f5_filtered_topk(spark, d):
+    """Payload pre-filter (documents.lang = 'en') applied before scoring."""
+    idx, q = _emb_queries(spark, d)
+    en = table(spark, d, "documents").where(F.col("lang") == "en").select(
+        F.col("doc_id").alias("id"))
+    return topk.knn(idx.join(en, "id", "left_semi"), q, EMB_DIM, 10)
+
+
+@register("u2_stub_search")
+def u2_stub_search(spark, d):
+    """Benchmark texts embedded by the stand-in embedder, top 10 each."""
+    stub = embed.StubEmbedder(EMB_DIM)
+    q = stub.embed(table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), "text"),
+                   "text", "qvec")
+    return topk.knn(embeddings_index(spark, d), q, EMB_DIM, 10)
+
+
+@register("u5_hash_embed")
+def u5_hash_embed(spark, d):
+    """Hashing embedder on every document: non-zero buckets."""
+    docs = table(spark, d, "documents")
+    return embed.HashingEmbedder(TEXT_DIM).sparse(docs, "doc_id", "text").select(
+        "doc_id", "pos", F.col("value").cast("double").alias("value"))
+
+
+@register("u3_search")
+def u3_search(spark, d):
+    """Text queries -> validate -> embed -> per-query top-k -> payload."""
+    hits = search.search_hits(conversation_queries(spark, d), text_index(spark, d),
+                              embed.HashingEmbedder(TEXT_DIM), TEXT_DIM,
+                              payload=["lang", "source"])
+    return hits.select("qid", "rank", "id", "score", "lang", "source")
+
+
+@register("a1_counts")
+def a1_counts(spark, d):
+    """Response table: per query count (0 for rejected), limit and error."""
+    q = conversation_queries(spark, d)
+    hits = search.search_hits(q, text_index(spark, d), embed.HashingEmbedder(TEXT_DIM),
+                              TEXT_DIM)
+    resp = search.responses(q, hits, ["id", "score"])
+    return resp.select("qid", "requested_limit", "count", "error")
+
+
+@register("k3_suggest")
+def k3_suggest(spark, d):
+    """Suggestions: trimmed queries of >= 2 units, top 3 each."""
+    return search.suggest(conversation_queries(spark, d), text_index(spark, d),
+                          embed.HashingEmbedder(TEXT_DIM), TEXT_DIM).select(
+        "qid", "rank", "id", "score")
+
+
+# ---------------------------------------------------------------------------
+# P / F: scalar rules
+# ---------------------------------------------------------------------------
+
+def _date_variants(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    yr = F.date_format("o_orderdate", "yyyy")
+    v = F.col("o_orderkey") % 7
+    raw = (F.when(v == 0, day).when(v == 1, yr).when(v == 2, F.substring(day, 1, 7))
+           .when(v == 3, F.concat(day, F.lit("\n"))).when(v == 4, F.lit(""))
+           .when(v == 5, F.concat(yr, F.lit("-99-99"))).otherwise(F.lit("n/a")))
+    return o.select("o_orderkey", raw.alias("raw"))
+
+
+@register("p1_year")
+def p1_year(spark, d):
+    v = _date_variants(spark, d)
+    return v.select("o_orderkey", "raw", tx.release_year("raw").alias("release_year"),
+                    tx.release_year("raw", allow_bare_year=True).alias("release_year_doc"))
+
+
+@register("p2_json_values")
+def p2_json_values(spark, d):
+    e = table(spark, d, "events")
+    vals = tx.json_values("props")
+    return e.select("event_id", F.array_join(vals, "|").alias("genres"),
+                    F.size(vals).alias("n_values"))
+
+
+@register("p3_snippet")
+def p3_snippet(spark, d):
+    return table(spark, d, "documents").select(
+        "doc_id", tx.prefix("text", tx.SNIPPET_CHARS).alias("snippet"),
+        tx.prefix("text", tx.LOG_PREVIEW_CHARS).alias("preview"))
+
+
+@register("p4_display")
+def p4_display(spark, d):
+    return table(spark, d, "documents").select(
+        "doc_id", tx.display_snippet("text").alias("display"))
+
+
+@register("p8_escape")
+def p8_escape(spark, d):
+    return table(spark, d, "pages").select("page_id", tx.html_escape("html").alias("escaped"))
+
+
+@register("p14_trim")
+def p14_trim(spark, d):
+    q = conversation_queries(spark, d)
+    return q.select("qid", tx.js_trim("query").alias("trimmed"),
+                    tx.suggest_eligible(F.col("query")).alias("suggest"))
+
+
+@register("f1_validate")
+def f1_validate(spark, d):
+    v = search.validate(conversation_queries(spark, d))
+    return v.select("qid", "error", F.col("effective_limit").cast("int").alias("effective_limit"),
+                    tx.utf16_length("query").alias("len16"))
+
+
+# ---------------------------------------------------------------------------
+# J / A: joins and aggregates
+# ---------------------------------------------------------------------------
+
+@register("j1_join")
+def j1_join(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    lab = table(spark, d, "labels")
+    return docs.join(lab, "doc_id", "inner")
+
+
+@register("j2_unmatched")
+def j2_unmatched(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("movie_id"))
+    lab = table(spark, d, "labels").select(F.col("doc_id").alias("movie_id"))
+    return corpus.exclusions(docs, lab)
+
+
+@register("a3_last_wins")
+def a3_last_wins(spark, d):
+    """Latest event per user (order: ts, then event_id), first position kept."""
+    e = table(spark, d, "events")
+    order = F.struct("ts", "event_id")
+    return (e.groupBy("user_id")
+            .agg(F.max_by(F.struct("event_id", "event_type", "value"), order).alias("_l"),
+                 F.min("event_id").alias("first_event_id"))
+            .select("user_id", "_l.event_id", "_l.event_type", "_l.value", "first_event_id"))
+
+
+@register("a5_mean_pool")
+def a5_mean_pool(spark, d):
+    e = embeddings_index(spark, d)
+    return embed.mean_pool_by_key(e, "label", "vector").select(
+        "label", "pos", F.round("value", 6).alias("value"))
+
+
+@register("p10_masked_pool")
+def p10_masked_pool(spark, d):
+    """Conversation vector = mean of its user turns' vectors (mask = role)."""
+    c = table(spark, d, "conversations")
+    v = embed.HashingEmbedder(TEXT_DIM).embed(c, "text", "vector").withColumn(
+        "mask", (F.col("role") == "user").cast("int"))
+    return embed.mean_pool_by_key(v, "conv_id", "vector", "mask").select(
+        "conv_id", "pos", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# vectors / index health
+# ---------------------------------------------------------------------------
+
+@register("p9_norm")
+def p9_norm(spark, d):
+    e = embeddings_index(spark, d)
+    u = e.withColumn("u", vx.l2_normalize("vector"))
+    return u.select("id", F.round(vx.norm("vector"), 6).alias("norm"),
+                    F.round(vx.norm("u"), 6).alias("unit_norm"),
+                    F.round(F.element_at("u", 1).cast("double"), 6).alias("u0"))
+
+
+@register("p13_cosine")
+def p13_cosine(spark, d):
+    """Cosine of every vector with the stand-in vector."""
+    e = embeddings_index(spark, d)
+    return e.select("id", F.round(vx.cosine("vector", embed.StubEmbedder(EMB_DIM).vector()),
+                                  6).alias("score"))
+
+
+@register("a4_health")
+def a4_health(spark, d):
+    return index.health(embeddings_index(spark, d), EMB_DIM)
+
+
+# ---------------------------------------------------------------------------
+# S: index maintenance
+# ---------------------------------------------------------------------------
+
+@register("s6_ids")
+def s6_ids(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang")
+    return ids.dense_ids(docs, "doc_id", "id")
+
+
+def _part_delta(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    changed = (p.where(F.col("p_size") > 45)
+               .withColumn("p_retailprice", F.col("p_retailprice") + 100))
+    new = (p.where(F.col("p_size") == 50)
+           .withColumn("p_partkey", F.col("p_partkey") + 1_000_000))
+    return changed.unionByName(new)
+
+
+@register("s8_upsert")
+def s8_upsert(spark, d):
+    base = table(spark, d, "part")
+    return index.upserted(base, _part_delta(spark, d), "p_partkey", broadcast_rows=5_000_000)
+
+
+@register("s10_set_payload")
+def s10_set_payload(spark, d):
+    base = table(spark, d, "part")
+    upd = base.where(F.col("p_size") % 10 == 0).select(
+        "p_partkey", F.concat(F.col("p_brand"), F.lit("-new")).alias("p_brand"))
+    return index.with_payload_updates(base, upd, ["p_brand"], key="p_partkey",
+                                      broadcast_rows=5_000_000)
+
+
+@register("s9_scroll")
+def s9_scroll(spark, d):
+    """First page (100, the page size is the feature) of German documents."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
+    return search.scroll(docs, F.col("lang") == "de")
+
+
+@register("s9_pages")
+def s9_pages(spark, d):
+    """Page number of every English document when scrolling by 100."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang")
+    return search.page_numbers(docs, 100, predicate=F.col("lang") == "en")
+
+
+@register("s4_count")
+def s4_count(spark, d):
+    """Line count over all document texts, with thousands separators."""
+    t = F.col("text")
+    n_nl = F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))
+    lines = n_nl + F.when((F.length(t) > 0) & ~t.endswith("\n"), 1).otherwise(0)
+    return (table(spark, d, "documents").agg(F.sum(lines).cast("long").alias("n_lines"))
+            .withColumn("label", tx.line_count_label(F.col("n_lines"))))
+
+
+# ---------------------------------------------------------------------------
+# enrichment
+# ---------------------------------------------------------------------------
+
+@register("j5_lookup")
+def j5_lookup(spark, d):
+    found = enrich.lookup(_part_points(spark, d), _part_catalogue(spark, d))
+    return found.select("id", "poster_path",
+                        tx.poster_url("poster_path", POSTER_BASE).alias("poster_url"))
+
+
+@register("f4_enriched")
+def f4_enriched(spark, d):
+    """S11 + F4 after one enrichment pass over the part points."""
+    pts = enrich.enrich(_part_points(spark, d), _part_catalogue(spark, d))
+    return pts.agg(F.count(F.lit(1)).alias("points_count"),
+                   F.coalesce(F.bool_or(F.col("thumbnail_url").isNotNull()),
+                              F.lit(False)).alias("any_enriched"),
+                   F.sum(F.when(F.col("thumbnail_url").isNull(), 1).otherwise(0))
+                   .alias("still_null"))
+
+
+# streaming and approximate queries register themselves on import
+from vecdex.plans import extra  # noqa: E402,F401

@@ -2,25 +2,314 @@
 names). Tables are the pre-registered views of the data directory.
 
 Scores are computed in DOUBLE, rounded to 6 places and ranked on the rounded
-value with ``id`` as the tie-break, exactly like the Spark side.
+value with ``id`` as the tie-break, exactly like the Spark side. The SQL is
+deliberately brute force (all pairs, naive joins): it is the reference the
+distributed plans are checked against.
 """
 
 from __future__ import annotations
 
+from vecdex.functions.text import (JAVA_WHITESPACE, JS_TRIM_CHARS, MSG_BLANK, MSG_LIMIT,
+                                   MSG_TOO_LONG)
+
 SQL: dict[str, str] = {}
 
-_COS = "list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])"
+DIM = 64
+POSTER_BASE = "https://posters.example.org/w500"
 
 
 def _cos(a: str, b: str) -> str:
-    return f"round({_COS.format(a=a, b=b)}, 6)"
+    return f"round(list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[]), 6)"
 
 
-SQL["k2_topk"] = f"""
-SELECT qid, rank, id, score FROM (
-  SELECT q.vec_id AS qid, c.vec_id AS id, {_cos('q.embedding', 'c.embedding')} AS score,
-         row_number() OVER (PARTITION BY q.vec_id
-                            ORDER BY {_cos('q.embedding', 'c.embedding')} DESC, c.vec_id) AS rank
-  FROM embeddings q, embeddings c)
-WHERE rank <= 10
-"""
+def _topk(qid: str, cid: str, qsrc: str, csrc: str, score: str, k: int) -> str:
+    return f"""
+SELECT qid, CAST(rank AS INTEGER) AS rank, id, score FROM (
+  SELECT {qid} AS qid, {cid} AS id, {score} AS score,
+         row_number() OVER (PARTITION BY {qid} ORDER BY {score} DESC, {cid}) AS rank
+  FROM {qsrc}, {csrc})
+WHERE rank <= {k}"""
+
+
+# -- text helpers (same fixed character classes as the Spark side) ----------
+def _len16(x: str) -> str:
+    return f"(length({x}) + length(regexp_replace({x}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
+
+
+def _blank(x: str) -> str:
+    return f"({x} IS NULL OR regexp_full_match({x}, '[{JAVA_WHITESPACE}]*'))"
+
+
+def _trim(x: str) -> str:
+    return f"regexp_replace({x}, '\\A[{JS_TRIM_CHARS}]+|[{JS_TRIM_CHARS}]+\\z', '', 'g')"
+
+
+def _error(q: str, lim: str) -> str:
+    return (f"CASE WHEN {_blank(q)} THEN '{_sq(MSG_BLANK)}' "
+            f"WHEN {_len16(q)} > 500 THEN '{_sq(MSG_TOO_LONG)}' "
+            f"WHEN coalesce({lim}, 10) < 1 THEN '{_sq(MSG_LIMIT)}' END")
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+_CQ = """cq AS (SELECT conv_id * 100 + turn AS qid, text AS query,
+                  CAST(CASE WHEN role = 'system' THEN NULL ELSE turn * 13 - 20 END AS INTEGER) AS lim
+           FROM conversations)"""
+
+
+def _u5(name: str, src: str, key: str, text: str) -> str:
+    """CTEs <name>_sp (k, b, v) and <name>_d (k, vec, n) for the hashing embedder."""
+    return f"""
+{name}_tok AS (SELECT {key} AS k, unnest(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) AS t
+               FROM {src}),
+{name}_sp AS (SELECT k, ('0x' || substr(md5(t), 1, 8))::BIGINT % {DIM} AS b,
+                     sum(CASE WHEN ('0x' || substr(md5(t), 9, 1))::INTEGER < 8 THEN 1 ELSE -1 END)::DOUBLE AS v
+              FROM {name}_tok WHERE t <> '' GROUP BY 1, 2),
+{name}_d AS (SELECT keys.k, list(coalesce(sp.v, 0.0) ORDER BY r.pos) AS vec
+             FROM (SELECT DISTINCT {key} AS k FROM {src}) keys CROSS JOIN range({DIM}) r(pos)
+             LEFT JOIN {name}_sp sp ON sp.k = keys.k AND sp.b = r.pos GROUP BY keys.k),
+{name}_n AS (SELECT k, vec, greatest(sqrt(list_dot_product(vec, vec)), 1e-9) AS n FROM {name}_d)"""
+
+
+def _text_search(valid_cte: str) -> str:
+    """Hits (qid, rank, id, score) of the ``v`` CTE (qid, query, k) against the
+    hashed documents; helper CTEs only."""
+    return f"""{valid_cte},
+{_u5('q', 'v', 'qid', 'query')},
+{_u5('d', 'documents', 'doc_id', 'text')},
+sc AS (SELECT q.k AS qid, d.k AS id, round(list_dot_product(q.vec, d.vec) / (q.n * d.n), 6) AS score
+       FROM q_n q, d_n d),
+rk AS (SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM sc),
+hits AS (SELECT rk.qid, CAST(rk.rank AS INTEGER) AS rank, rk.id, rk.score
+         FROM rk JOIN v USING (qid) WHERE rk.rank <= v.k)"""
+
+
+_VALID = f"""v AS (SELECT qid, query, least(coalesce(lim, 10), 50) AS k FROM cq
+          WHERE ({_error('query', 'lim')}) IS NULL)"""
+
+# ---------------------------------------------------------------------------
+# K: search
+# ---------------------------------------------------------------------------
+
+SQL["k2_topk"] = _topk("q.vec_id", "c.vec_id", "embeddings q", "embeddings c",
+                       _cos("q.embedding", "c.embedding"), 10)
+
+SQL["k1_topk_single"] = f"""
+WITH c AS (SELECT list(v ORDER BY pos) AS cen FROM (
+             SELECT pos, avg(x) AS v FROM (
+               SELECT unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos
+               FROM embeddings) GROUP BY pos)),
+s AS (SELECT vec_id AS id, {_cos('embedding', 'c.cen')} AS score FROM embeddings, c)
+SELECT CAST(rank AS INTEGER) AS rank, id, score FROM (
+  SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM s)
+WHERE rank <= 10"""
+
+SQL["f5_filtered_topk"] = _topk(
+    "q.vec_id", "c.vec_id", "embeddings q",
+    "(SELECT * FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents WHERE lang = 'en')) c",
+    _cos("q.embedding", "c.embedding"), 10)
+
+SQL["u2_stub_search"] = _topk(
+    "b.item_id", "c.vec_id",
+    "benchmark b, (SELECT list_transform(range(64), lambda i: CASE WHEN i % 2 = 0 THEN 0.1 ELSE -0.1 END) AS sv) s",
+    "embeddings c", _cos("s.sv", "c.embedding"), 10)
+
+SQL["u5_hash_embed"] = f"""
+WITH {_u5('d', 'documents', 'doc_id', 'text')}
+SELECT k AS doc_id, CAST(b AS INTEGER) AS pos, v AS value FROM d_sp WHERE v <> 0"""
+
+SQL["u3_search"] = f"""
+WITH {_CQ}, {_text_search(_VALID)}
+SELECT h.qid, h.rank, h.id, h.score, d.lang, d.source
+FROM hits h JOIN documents d ON d.doc_id = h.id"""
+
+SQL["a1_counts"] = f"""
+WITH {_CQ}, {_text_search(_VALID)},
+cnt AS (SELECT qid, count(*) AS n FROM hits GROUP BY qid)
+SELECT cq.qid, CAST(least(coalesce(cq.lim, 10), 50) AS INTEGER) AS requested_limit,
+       CAST(coalesce(cnt.n, 0) AS INTEGER) AS count, {_error('cq.query', 'cq.lim')} AS error
+FROM cq LEFT JOIN cnt USING (qid)"""
+
+SQL["k3_suggest"] = f"""
+WITH {_CQ},
+sq AS (SELECT qid, {_trim('query')} AS query FROM cq
+       WHERE coalesce({_len16(_trim('query'))} >= 2, false)),
+{_text_search(f"v AS (SELECT qid, query, 3 AS k FROM sq WHERE ({_error('query', '3')}) IS NULL)")}
+SELECT qid, rank, id, score FROM hits"""
+
+# ---------------------------------------------------------------------------
+# P / F: scalar rules
+# ---------------------------------------------------------------------------
+
+_FULL = "regexp_full_match(raw, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"
+SQL["p1_year"] = f"""
+WITH v AS (SELECT o_orderkey, CASE o_orderkey % 7
+             WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+             WHEN 1 THEN strftime(o_orderdate, '%Y')
+             WHEN 2 THEN strftime(o_orderdate, '%Y-%m')
+             WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d') || chr(10)
+             WHEN 4 THEN ''
+             WHEN 5 THEN strftime(o_orderdate, '%Y') || '-99-99'
+             ELSE 'n/a' END AS raw FROM orders)
+SELECT o_orderkey, raw,
+       CASE WHEN {_FULL} THEN CAST(substr(raw, 1, 4) AS INTEGER) END AS release_year,
+       CASE WHEN {_FULL} OR regexp_full_match(raw, '[0-9]{{4}}')
+            THEN CAST(substr(raw, 1, 4) AS INTEGER) END AS release_year_doc
+FROM v"""
+
+SQL["p2_json_values"] = """
+SELECT event_id,
+       array_to_string(list_transform(json_keys(props),
+                       lambda k: json_extract_string(props, '$."' || k || '"')), '|') AS genres,
+       CAST(len(json_keys(props)) AS INTEGER) AS n_values
+FROM events"""
+
+SQL["p3_snippet"] = """
+SELECT doc_id, left(text, 300) AS snippet, left(text, 50) AS preview FROM documents"""
+
+SQL["p4_display"] = """
+SELECT doc_id, left(coalesce(text, ''), 200) AS display FROM documents"""
+
+SQL["p8_escape"] = """
+SELECT page_id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'),
+                                '>', '&gt;'), '"', '&quot;') AS escaped FROM pages"""
+
+SQL["p14_trim"] = f"""
+WITH {_CQ}
+SELECT qid, {_trim('query')} AS trimmed, coalesce({_len16(_trim('query'))} >= 2, false) AS suggest
+FROM cq"""
+
+SQL["f1_validate"] = f"""
+WITH {_CQ}
+SELECT qid, {_error('query', 'lim')} AS error,
+       CAST(least(coalesce(lim, 10), 50) AS INTEGER) AS effective_limit,
+       CAST({_len16('query')} AS INTEGER) AS len16
+FROM cq"""
+
+# ---------------------------------------------------------------------------
+# J / A
+# ---------------------------------------------------------------------------
+
+SQL["j1_join"] = """
+SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id"""
+
+SQL["j2_unmatched"] = """
+SELECT DISTINCT doc_id AS movie_id, 'no_summary' AS reason FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL
+SELECT DISTINCT doc_id AS movie_id, 'no_metadata' AS reason FROM labels
+WHERE doc_id NOT IN (SELECT doc_id FROM documents)"""
+
+_ORD = "{'ts': ts, 'e': event_id}"
+SQL["a3_last_wins"] = f"""
+SELECT user_id, arg_max(event_id, {_ORD}) AS event_id, arg_max(event_type, {_ORD}) AS event_type,
+       arg_max(value, {_ORD}) AS value, min(event_id) AS first_event_id
+FROM events GROUP BY user_id"""
+
+SQL["a5_mean_pool"] = """
+SELECT label, CAST(pos AS INTEGER) AS pos, round(avg(x), 6) AS value FROM (
+  SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos
+  FROM embeddings)
+GROUP BY label, pos"""
+
+SQL["p10_masked_pool"] = f"""
+WITH c AS (SELECT conv_id, conv_id * 100 + turn AS k, role, text FROM conversations),
+{_u5('t', 'c', 'k', 'text')}
+SELECT c.conv_id, CAST(r.pos AS INTEGER) AS pos, round(avg(coalesce(sp.v, 0.0)), 6) AS value
+FROM c CROSS JOIN range({DIM}) r(pos)
+LEFT JOIN t_sp sp ON sp.k = c.k AND sp.b = r.pos
+WHERE c.role = 'user'
+GROUP BY c.conv_id, r.pos"""
+
+# ---------------------------------------------------------------------------
+# vectors / index health
+# ---------------------------------------------------------------------------
+
+SQL["p9_norm"] = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT vec_id, v, list_transform(v, lambda x: (x / greatest(sqrt(list_dot_product(v, v)), 1e-9))::FLOAT::DOUBLE) AS u
+      FROM e)
+SELECT vec_id AS id, round(sqrt(list_dot_product(v, v)), 6) AS norm,
+       round(sqrt(list_dot_product(u, u)), 6) AS unit_norm, round(u[1], 6) AS u0
+FROM u"""
+
+SQL["p13_cosine"] = """
+SELECT vec_id AS id, round(list_cosine_similarity(embedding::DOUBLE[], s.sv), 6) AS score
+FROM embeddings, (SELECT list_transform(range(64), lambda i: CASE WHEN i % 2 = 0 THEN 0.1 ELSE -0.1 END) AS sv) s"""
+
+SQL["a4_health"] = f"""
+SELECT count(*) AS points_count,
+       CAST(sum(CASE WHEN embedding IS NULL OR len(embedding) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_vectors,
+       CAST(sum(CASE WHEN coalesce(len(embedding) <> {DIM}, true) THEN 1 ELSE 0 END) AS BIGINT) AS bad_dim,
+       0 AS enriched,
+       round(min(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))), 6) AS min_norm,
+       round(max(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))), 6) AS max_norm
+FROM embeddings"""
+
+# ---------------------------------------------------------------------------
+# S: index maintenance
+# ---------------------------------------------------------------------------
+
+SQL["s6_ids"] = """
+SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS id FROM documents"""
+
+_DELTA = """delta AS (
+  SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice + 100 AS p_retailprice
+  FROM part WHERE p_size > 45
+  UNION ALL
+  SELECT p_partkey + 1000000, p_name, p_brand, p_type, p_size, p_retailprice
+  FROM part WHERE p_size = 50)"""
+
+SQL["s8_upsert"] = f"""
+WITH {_DELTA}
+SELECT * FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM delta)
+UNION ALL SELECT * FROM delta"""
+
+SQL["s10_set_payload"] = """
+SELECT p.p_partkey, p.p_name, coalesce(u.p_brand, p.p_brand) AS p_brand, p.p_type,
+       p.p_size, p.p_retailprice
+FROM part p LEFT JOIN (SELECT p_partkey, p_brand || '-new' AS p_brand FROM part
+                       WHERE p_size % 10 = 0) u ON u.p_partkey = p.p_partkey"""
+
+SQL["s9_scroll"] = """
+SELECT doc_id AS id, lang, source FROM documents WHERE lang = 'de' ORDER BY doc_id LIMIT 100"""
+
+SQL["s9_pages"] = """
+SELECT doc_id AS id, lang, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS page
+FROM documents WHERE lang = 'en'"""
+
+_LINES = ("(length(text) - length(replace(text, chr(10), ''))"
+          " + CASE WHEN length(text) > 0 AND NOT ends_with(text, chr(10)) THEN 1 ELSE 0 END)")
+SQL["s4_count"] = f"""
+SELECT CAST(sum({_LINES}) AS BIGINT) AS n_lines,
+       format('{{:,}}', CAST(sum({_LINES}) AS BIGINT)) AS label
+FROM documents"""
+
+# ---------------------------------------------------------------------------
+# enrichment
+# ---------------------------------------------------------------------------
+
+_LOOKUP = """pts AS (SELECT p_partkey AS id, p_name AS title,
+                    CASE WHEN p_size % 3 = 0 THEN NULL ELSE 1990 + p_size % 20 END AS year
+             FROM part),
+cat AS (SELECT p_name AS title, 1990 + p_partkey % 20 AS year,
+               row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rank,
+               CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN ''
+                    ELSE '/' || p_brand || '/' || CAST(p_partkey AS VARCHAR) || '.jpg' END AS poster_path
+        FROM part),
+m AS (SELECT p.id, c.poster_path, row_number() OVER (PARTITION BY p.id ORDER BY c.rank) AS rn
+      FROM pts p LEFT JOIN cat c ON c.title = p.title AND (p.year IS NULL OR c.year = p.year)),
+found AS (SELECT id, nullif(poster_path, '') AS poster_path FROM m WHERE rn = 1)"""
+
+SQL["j5_lookup"] = f"""
+WITH {_LOOKUP}
+SELECT id, poster_path, '{POSTER_BASE}' || poster_path AS poster_url FROM found"""
+
+SQL["f4_enriched"] = f"""
+WITH {_LOOKUP}
+SELECT count(*) AS points_count, coalesce(bool_or(poster_path IS NOT NULL), false) AS any_enriched,
+       CAST(sum(CASE WHEN poster_path IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS still_null
+FROM found"""
