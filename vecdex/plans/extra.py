@@ -1 +1,165 @@
-"""Registered queries for streaming (ST*) and approximate search (K4)."""
+"""Registered queries for the corpus files (S1/S2), streaming (ST*) and
+approximate search (K4)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vecdex.operators import corpus, embed, ivf, topk
+from vecdex.operators.index import VectorIndex
+from vecdex.plans.catalog import (DEBOUNCE_GAP, EMB_DIM, RATE_MAX, RATE_WINDOW, TEXT_DIM,
+                                  conversation_queries, register, text_index)
+from vecdex.session import scratch_path
+from vecdex.sources import tsv
+from vecdex.sources.tables import embeddings_index, table
+from vecdex.streaming import events as ev
+from vecdex.streaming import search as st
+
+_GAP_S = 3600.0      # DEBOUNCE_GAP in seconds
+_RATE_S = 3600.0     # RATE_WINDOW in seconds
+
+
+# ---------------------------------------------------------------------------
+# S1/S2 + corpus build over tab-separated files derived from the tables
+# ---------------------------------------------------------------------------
+
+def write_corpus_files(spark, d) -> tuple[str, str]:
+    """Writes a 9-column metadata file set (from documents) and a summaries
+    file set (documents that have labels; line breaks folded) as text."""
+    docs = table(spark, d, "documents")
+    n = F.col("n_chars")
+    yr = (1900 + n % 120).cast("int")
+    date = (F.when(n % 4 == 0, F.lit(""))
+            .when(n % 4 == 1, yr.cast("string"))
+            .otherwise(F.format_string("%04d-%02d-%02d", yr, (1 + n % 12).cast("int"),
+                                       (1 + n % 28).cast("int"))))
+    genres = F.concat(F.lit('{"a": "'), F.col("lang"), F.lit('", "b": "'), F.col("source"),
+                      F.lit('", "a": "'), F.upper("lang"), F.lit('"}'))
+    meta = docs.select(F.concat_ws(
+        "\t", F.col("doc_id").cast("string"), F.concat(F.lit("w"), F.col("doc_id").cast("string")),
+        F.concat(F.col("source"), F.lit(" #"), F.col("doc_id").cast("string")), date,
+        F.lit(""), F.lit(""), F.col("lang"), F.lit(""), genres).alias("value"))
+    summ = (docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi")
+            .select(F.concat_ws("\t", F.col("doc_id").cast("string"),
+                                F.regexp_replace("text", "[\\r\\n]+", " ")).alias("value")))
+    mp, sp = scratch_path(spark, "meta-tsv"), scratch_path(spark, "summ-tsv")
+    meta.write.text(mp)
+    summ.write.text(sp)
+    return mp, sp
+
+
+@register("s1_corpus_build")
+def s1_corpus_build(spark, d):
+    mp, sp = write_corpus_files(spark, d)
+    meta = tsv.metadata_rows(tsv.text_lines(spark, mp))
+    summ = tsv.summary_rows(tsv.text_lines(spark, sp))
+    rec = corpus.join_records(meta, summ)
+    return rec.select("movie_id", "title", "release_year",
+                      F.array_join("genres", "|").alias("genres"), "summary_snippet")
+
+
+# ---------------------------------------------------------------------------
+# streaming
+# ---------------------------------------------------------------------------
+
+@register("st1_stream_search")
+def st1_stream_search(spark, d):
+    """The conversations table as a query stream; hits equal u3_search."""
+    qs = st.file_stream(spark, os.path.join(d, "conversations.parquet"))
+    lim = F.when(F.col("role") == "system", F.lit(None)).otherwise(F.col("turn") * 13 - 20)
+    q = qs.select((F.col("conv_id") * 100 + F.col("turn")).alias("qid"),
+                  F.col("text").alias("query"), lim.cast("int").alias("limit"))
+    hits = st.search_stream_results(spark, q, text_index(spark, d),
+                                    embed.HashingEmbedder(TEXT_DIM), TEXT_DIM,
+                                    payload=["lang", "source"])
+    return hits.select("qid", "rank", "id", "score", "lang", "source")
+
+
+@register("st2_ingest")
+def st2_ingest(spark, d):
+    """Documents streamed into a versioned index (embed + key upsert per
+    micro-batch); result: the final index payload and vector fill."""
+    rows = st.file_stream(spark, os.path.join(d, "documents.parquet"))
+    idx = VectorIndex(spark, scratch_path(spark, "st2-index"))
+    st.run_ingest_stream(rows, idx, embed.HashingEmbedder(TEXT_DIM), "text",
+                         checkpoint=scratch_path(spark, "st2-ckpt"), dim=TEXT_DIM,
+                         prepare=lambda b: b.select(F.col("doc_id").alias("id"), "lang", "text"))
+    out = idx.read()
+    return out.select("id", "lang", F.size(F.filter("vector", lambda x: x != 0))
+                      .alias("nonzero"))
+
+
+@register("st3_debounce")
+def st3_debounce(spark, d):
+    """Batch debounce per user: keep events not followed within the gap."""
+    e = table(spark, d, "events")
+    return ev.debounce(e, "user_id", "ts", _GAP_S, tie="event_id").select(
+        "event_id", "user_id", "event_type")
+
+
+@register("st3_debounce_stream")
+def st3_debounce_stream(spark, d):
+    """Streaming debounce (session windows, append mode). Sessions the
+    watermark has not closed at the end of the input are withheld."""
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"))
+    agg = ev.debounce_stream(src, "user_id", "ts", DEBOUNCE_GAP)
+    sink, ck = scratch_path(spark, "st3-sink"), scratch_path(spark, "st3-ckpt")
+    (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
+
+
+@register("st4_rate")
+def st4_rate(spark, d):
+    """Rate audit: events of the same user in the trailing window."""
+    e = table(spark, d, "events")
+    return ev.rate_audit(e, "user_id", "ts", _RATE_S, RATE_MAX).select(
+        "event_id", "user_id", F.col("n_window").cast("long").alias("n_window"), "over_limit")
+
+
+@register("st4_replay_stream")
+def st4_replay_stream(spark, d):
+    """Limiter replay per user as a stateful stream (bounded state)."""
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"))
+    out = ev.limiter_replay_stream(src, "user_id", "ts", "event_id", RATE_MAX, _RATE_S)
+    sink, ck = scratch_path(spark, "st4-sink"), scratch_path(spark, "st4-ckpt")
+    (out.writeStream.outputMode("append").format("parquet").option("path", sink)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------------------
+# K4 approximate search
+# ---------------------------------------------------------------------------
+
+def _ivf(spark, d):
+    idx = embeddings_index(spark, d)
+    n = idx.count()
+    return idx, ivf.IVFIndex.build(idx, EMB_DIM, ivf.default_lists(n))
+
+
+@register("k4_ivf_topk")
+def k4_ivf_topk(spark, d):
+    idx, iv = _ivf(spark, d)
+    q = idx.select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    return iv.search(q, 10, nprobe=4)
+
+
+@register("k4_recall")
+def k4_recall(spark, d):
+    """recall@10 of the IVF search against exact K2, per nprobe."""
+    idx, iv = _ivf(spark, d)
+    q = idx.select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    exact = topk.knn(idx, q, EMB_DIM, 10)
+    parts = [ivf.recall_at_k(iv.search(q, 10, nprobe=p), exact).withColumn("nprobe", F.lit(p))
+             for p in (1, 4, len(iv.centroids))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("nprobe", F.round("recall", 6).alias("recall"))
+
+
+__all__ = ["DataFrame", "conversation_queries", "RATE_WINDOW"]

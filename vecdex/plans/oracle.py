@@ -313,3 +313,39 @@ WITH {_LOOKUP}
 SELECT count(*) AS points_count, coalesce(bool_or(poster_path IS NOT NULL), false) AS any_enriched,
        CAST(sum(CASE WHEN poster_path IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS still_null
 FROM found"""
+
+# ---------------------------------------------------------------------------
+# corpus files, streaming
+# ---------------------------------------------------------------------------
+
+_MDATE = ("CASE WHEN n_chars % 4 = 0 THEN '' WHEN n_chars % 4 = 1 THEN CAST(1900 + n_chars % 120 AS VARCHAR) "
+          "ELSE printf('%04d-%02d-%02d', 1900 + n_chars % 120, 1 + n_chars % 12, 1 + n_chars % 28) END")
+SQL["s1_corpus_build"] = f"""
+WITH m AS (SELECT doc_id, source, lang, {_MDATE} AS raw FROM documents)
+SELECT CAST(m.doc_id AS VARCHAR) AS movie_id, m.source || ' #' || CAST(m.doc_id AS VARCHAR) AS title,
+       CASE WHEN regexp_full_match(raw, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+            THEN CAST(substr(raw, 1, 4) AS INTEGER) END AS release_year,
+       upper(m.lang) || '|' || m.source AS genres,
+       left(regexp_replace(d.text, '[\\r\\n]+', ' ', 'g'), 300) AS summary_snippet
+FROM m JOIN documents d ON d.doc_id = m.doc_id
+WHERE m.doc_id IN (SELECT doc_id FROM labels)"""
+
+SQL["st1_stream_search"] = SQL["u3_search"]
+
+SQL["st2_ingest"] = f"""
+WITH {_u5('d', 'documents', 'doc_id', 'text')}
+SELECT doc.doc_id AS id, doc.lang,
+       CAST(coalesce((SELECT count(*) FROM d_sp WHERE d_sp.k = doc.doc_id AND d_sp.v <> 0), 0) AS INTEGER) AS nonzero
+FROM documents doc"""
+
+SQL["st3_debounce"] = """
+SELECT event_id, user_id, event_type FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts FROM events)
+WHERE nts IS NULL OR nts >= ts + INTERVAL 1 HOUR"""
+
+SQL["st4_rate"] = """
+SELECT event_id, user_id, n_window, n_window > 2 AS over_limit FROM (
+  SELECT event_id, user_id,
+         count(*) OVER (PARTITION BY user_id ORDER BY ts
+                        RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_window
+  FROM events)"""
