@@ -5,9 +5,10 @@ search and index builders take one as an argument (U4: no global switch).
 
 * ``StubEmbedder`` (U2): the deterministic stand-in, +0.1 at even and -0.1 at
   odd positions for any text. Pure SQL.
-* ``HashingEmbedder`` (U5): lexical feature hashing. Tokenising and hashing
-  run as JVM expressions; one Arrow-batched pandas UDF turns the per-row
-  bucket codes into dense signed counts with a single ``bincount`` per batch.
+* ``HashingEmbedder`` (U5): lexical feature hashing. Tokenising runs in the
+  JVM (regex split); one Arrow UDF hashes each distinct token of a batch once
+  (md5: bucket from the first 8 hex digits mod dim, sign from the 9th) and
+  fills the batch's dense signed counts with a single ``bincount``.
   Row-wise map, never a shuffle.
 * ``ModelEmbedder`` (U1): text -> tokenizer (128, pad, truncate) -> ONNX
   model -> masked mean pool, through ``predict_batch_udf`` so the model is
@@ -16,15 +17,19 @@ search and index builders take one as an argument (U4: no global switch).
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecdex.functions.vectors import NORM_FLOOR
+from vecdex.session import balance
 
 # --- fixed values -----------------------------------------------------------
 STUB_VALUE = 0.1               # U2: +0.1 at even, -0.1 at odd index
@@ -63,34 +68,43 @@ def hash_tokens(text) -> Column:
     return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT_RE), lambda t: t != "")
 
 
-def hash_codes(text, dim: int) -> Column:
-    """Per token: bucket = first 8 hex digits of md5 mod dim; sign from the
-    9th hex digit (< 8 -> +1 else -1). Encoded as (bucket + 1) * sign."""
-    def code(t):
-        h = F.md5(t)
-        bucket = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(dim))
-        sign = F.when(F.conv(F.substring(h, 9, 1), 16, 10).cast("int") < 8, 1).otherwise(-1)
-        return ((bucket + 1) * sign).cast("int")
-    return F.transform(hash_tokens(text), code)
-
-
-def _codes_to_dense(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def dense(codes: pd.Series) -> pd.Series:
-        n = len(codes)
-        lens = np.fromiter((0 if c is None else len(c) for c in codes), dtype=np.int64, count=n)
-        if lens.sum() == 0:
-            out = np.zeros((n, dim), dtype=np.float32)
-        else:
-            flat = np.concatenate([np.asarray(c, dtype=np.int64) for c in codes
-                                   if c is not None and len(c)])
+def _hash_token_table(tokens: "pa.Array", dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """md5-based (bucket, sign) for each distinct token of an Arrow array."""
+    buckets = np.empty(len(tokens), dtype=np.int64)
+    signs = np.empty(len(tokens), dtype=np.float64)
+    for i, t in enumerate(tokens.to_pylist()):
+        h = hashlib.md5(t.encode("utf-8")).hexdigest()
+        buckets[i] = int(h[:8], 16) % dim
+        signs[i] = 1.0 if int(h[8], 16) < 8 else -1.0
+    return buckets, signs
+
+
+def _tokens_to_dense(dim: int):
+    """Arrow UDF: list<string> tokens -> list<float> signed bucket counts.
+
+    Tokens of the whole batch are dictionary-encoded (C++), each distinct
+    token is hashed once, and one ``bincount`` fills the batch matrix."""
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def dense(toks: pa.Array) -> pa.Array:
+        if isinstance(toks, pa.ChunkedArray):
+            toks = toks.combine_chunks()
+        n = len(toks)
+        lens = pc.fill_null(pc.list_value_length(toks), 0).to_numpy(zero_copy_only=False)
+        flat = toks.flatten()
+        out = np.zeros(n * dim, dtype=np.float64)
+        if len(flat):
+            enc = pc.dictionary_encode(flat)
+            b, sg = _hash_token_table(enc.dictionary, dim)
+            codes = enc.indices.to_numpy(zero_copy_only=False)
             rows = np.repeat(np.arange(n), lens)
-            idx = rows * dim + (np.abs(flat) - 1)
-            out = np.bincount(idx, weights=np.sign(flat), minlength=n * dim)
-            out = out.reshape(n, dim).astype(np.float32)
-        res = pd.Series(list(out))
-        res[codes.isna().to_numpy()] = None
-        return res
+            out = np.bincount(rows * dim + b[codes], weights=sg[codes], minlength=n * dim)
+        values = pa.array(out.astype(np.float32))
+        offsets = pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32))
+        arr = pa.ListArray.from_arrays(offsets, values)
+        if toks.null_count:
+            mask = toks.is_null()
+            arr = pc.if_else(mask, pa.nulls(n, arr.type), arr)
+        return arr
     return dense
 
 
@@ -99,13 +113,13 @@ class HashingEmbedder:
 
     def __init__(self, dim: int = 64):
         self.dim = dim
-        self._dense = _codes_to_dense(dim)
+        self._dense = _tokens_to_dense(dim)
 
     def vector(self, text) -> Column:
-        return self._dense(hash_codes(text, self.dim))
+        return self._dense(hash_tokens(text))
 
     def embed(self, df: DataFrame, text_col: str, out_col: str = "vector") -> DataFrame:
-        return df.withColumn(out_col, self.vector(text_col))
+        return balance(df).withColumn(out_col, self.vector(text_col))
 
     def sparse(self, df: DataFrame, key: str, text_col: str) -> DataFrame:
         """(key, pos, value) rows of the non-zero buckets (relational form)."""
@@ -197,4 +211,4 @@ class ModelEmbedder:
         from pyspark.ml.functions import predict_batch_udf
         udf = predict_batch_udf(self.factory, return_type=T.ArrayType(T.FloatType()),
                                 batch_size=self.batch_size)
-        return df.withColumn(out_col, udf(F.col(text_col)))
+        return balance(df).withColumn(out_col, udf(F.col(text_col)))

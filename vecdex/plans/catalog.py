@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from vecdex.functions import text as tx
 from vecdex.functions import vectors as vx
 from vecdex.operators import corpus, embed, enrich, ids, index, search, topk
+from vecdex.session import ship_package
 from vecdex.sources.tables import embeddings_index, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,8 +37,14 @@ RATE_MAX = 2
 
 
 def register(name: str):
+    """Adds a query to the registry; the registered callable first makes the
+    package importable on the executors."""
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, d)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        REGISTRY[name] = run
         return fn
     return deco
 
