@@ -51,7 +51,7 @@ def metadata_rows(lines: DataFrame, strict: bool = True) -> DataFrame:
             F.lit(" columns, expected %d" % METADATA_COLUMNS)))).otherwise(F.col("_p")))
     else:
         p = p.where(n >= METADATA_COLUMNS)
-    g = lambda i: F.col("_p").getItem(i)
+    g = lambda i: F.get(F.col("_p"), i)
     return p.select(g(META_ID).alias("movie_id"), g(META_TITLE).alias("title"),
                     g(META_DATE).alias("movie_release_date"),
                     g(META_GENRES).alias("movie_genres"), "ordinal")
@@ -67,8 +67,8 @@ def metadata_rejects(lines: DataFrame) -> DataFrame:
 def summary_rows(lines: DataFrame) -> DataFrame:
     """Split on the first tab only; no tab -> empty summary."""
     p = lines.withColumn("_p", F.split(F.col("value"), "\t", 2))
-    return p.select(F.col("_p").getItem(0).alias("movie_id"),
-                    F.coalesce(F.col("_p").getItem(1), F.lit("")).alias("summary"),
+    return p.select(F.get(F.col("_p"), 0).alias("movie_id"),
+                    F.coalesce(F.get(F.col("_p"), 1), F.lit("")).alias("summary"),
                     "ordinal")
 
 
