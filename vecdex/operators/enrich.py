@@ -66,6 +66,8 @@ def enrich(points: DataFrame, catalogue: DataFrame, *, col: str = "thumbnail_url
     found = (lookup(todo, catalogue, key=key, broadcast_rows=broadcast_rows, **kw)
              .where(F.col("poster_path").isNotNull())
              .select(key, F.col("poster_path").alias("_new")))
+    if broadcast_rows is not None and found.count() <= broadcast_rows:
+        found = F.broadcast(found)
     out = points.join(found, key, "left")
     return out.select(*[F.coalesce(F.col(col), F.col("_new")).alias(col) if c == col
                         else F.col(c) for c in points.columns])

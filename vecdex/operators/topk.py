@@ -46,10 +46,23 @@ _CELL_BUDGET = 8_000_000          # float64 cells per matmul chunk (~64 MB)
 
 @dataclass(frozen=True)
 class SearchConfig:
-    broadcast_bytes: int = 256 << 20   # query matrix size allowed on every executor
-    query_block_rows: int = 4096       # block path: queries per block
-    corpus_block_rows: int = 200_000   # block path: corpus rows per block
-    payload_broadcast_rows: int = 2_000_000  # hits broadcast back to the index
+    """Size limits of the scoring plan.
+
+    ``broadcast_bytes`` bounds the float64 query matrix shipped to every
+    executor. Past it, the block path co-groups (query block, corpus block);
+    its shuffle volume is Q x corpus_blocks + N x query_blocks, so query
+    blocks are made as large as the broadcast budget (few corpus copies) and
+    corpus blocks as large as one task can hold. Row counts override bytes."""
+    broadcast_bytes: int = 256 << 20
+    query_block_bytes: int = 256 << 20
+    corpus_block_bytes: int = 512 << 20
+    query_block_rows: int | None = None
+    corpus_block_rows: int | None = None
+
+    def block_rows(self, dim: int) -> tuple[int, int]:
+        q = self.query_block_rows or max(1, self.query_block_bytes // (8 * dim))
+        c = self.corpus_block_rows or max(1, self.corpus_block_bytes // (8 * dim))
+        return q, c
 
 
 DEFAULT = SearchConfig()
@@ -197,8 +210,9 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
     else:
         n_q = qsel.count()
         n_c = csel.count()
-        qn = max(1, math.ceil(n_q / config.query_block_rows))
-        cn = max(1, math.ceil(n_c / config.corpus_block_rows))
+        q_rows, c_rows = config.block_rows(dim)
+        qn = max(1, math.ceil(n_q / q_rows))
+        cn = max(1, math.ceil(n_c / c_rows))
         qb = (qsel.where(F.col("qvec").isNotNull())
               .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qn)))
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cn - 1)))))

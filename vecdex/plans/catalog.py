@@ -366,6 +366,24 @@ def s4_count(spark, d):
             .withColumn("label", tx.line_count_label(F.col("n_lines"))))
 
 
+@register("s7_index_create")
+def s7_index_create(spark, d):
+    """Documents that have a vector become points (dense
+    ids in doc order, payload + vector zipped on doc_id, thumbnail null),
+    written as a new index (dim 64, cosine) and read back without vectors."""
+    from vecdex.session import scratch_path
+    emb = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"),
+                                               F.col("embedding").alias("vector"))
+    docs = (table(spark, d, "documents").select("doc_id", "lang", "source")
+            .join(emb.select("doc_id"), "doc_id", "left_semi"))
+    pts = index.build_points(docs, emb, order_by="doc_id", key="doc_id")
+    idx = index.VectorIndex.create(pts, scratch_path(spark, "s7-index"), EMB_DIM)
+    props = idx.properties()
+    return idx.payload().select(
+        "id", "doc_id", "lang", "thumbnail_url",
+        F.lit(int(props["dim"])).alias("dim"), F.lit(props["metric"]).alias("metric"))
+
+
 # ---------------------------------------------------------------------------
 # enrichment
 # ---------------------------------------------------------------------------

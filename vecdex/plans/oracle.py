@@ -274,6 +274,11 @@ SELECT p.p_partkey, p.p_name, coalesce(u.p_brand, p.p_brand) AS p_brand, p.p_typ
 FROM part p LEFT JOIN (SELECT p_partkey, p_brand || '-new' AS p_brand FROM part
                        WHERE p_size % 10 = 0) u ON u.p_partkey = p.p_partkey"""
 
+SQL["s7_index_create"] = """
+SELECT row_number() OVER (ORDER BY d.doc_id) - 1 AS id, d.doc_id, d.lang,
+       CAST(NULL AS VARCHAR) AS thumbnail_url, 64 AS dim, 'cosine' AS metric
+FROM documents d WHERE d.doc_id IN (SELECT vec_id FROM embeddings)"""
+
 SQL["s9_scroll"] = """
 SELECT doc_id AS id, lang, source FROM documents WHERE lang = 'de' ORDER BY doc_id LIMIT 100"""
 

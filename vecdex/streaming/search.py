@@ -23,11 +23,13 @@ from vecdex.session import scratch_path
 def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
     """Parquet files as a stream source with the batch schema. A single file
     is watched through a glob on its folder (the file source lists folders)."""
-    schema = spark.read.parquet(path).schema
+    batch = spark.read.parquet(path)
+    schema = batch.schema
     src = path
-    if os.path.isfile(path):
-        head, name = os.path.split(path)
-        src = os.path.join(head, name[:-1] + "[" + name[-1] + "]")
+    files = batch.inputFiles()
+    if len(files) == 1 and files[0].rstrip("/").endswith("/" + os.path.basename(path.rstrip("/"))):
+        head, name = os.path.split(path.rstrip("/"))
+        src = head + "/" + name[:-1] + "[" + name[-1] + "]"
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(src))
 
