@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,6 +113,10 @@ def _broadcast_kernel(bq, id_col: str, vec_col: str, dim: int, kmax: int,
         qids, qk, qmat = bq.value
         acc_q, acc_i, acc_s, held = [], [], [], 0
         for rb in batches:
+            # null vectors are skipped here rather than by a Spark filter, so
+            # an embedding UDF feeding this scan is evaluated only once
+            if rb.column(vec_col).null_count:
+                rb = rb.filter(pc.is_valid(rb.column(vec_col)))
             if rb.num_rows == 0:
                 continue
             ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -142,6 +147,8 @@ def _block_kernel(dim: int, kmax: int, normalized: bool):
                               "id": pd.Series([], dtype="int64"),
                               "score": pd.Series([], dtype="float64"),
                               "k": pd.Series([], dtype="int32")})
+        qpdf = qpdf[qpdf["qvec"].notna()]
+        cpdf = cpdf[cpdf["vec"].notna()]
         if len(qpdf) == 0 or len(cpdf) == 0:
             return empty
         qmat = normalize_rows(np.stack(qpdf["qvec"].to_numpy()).astype(np.float64))
@@ -188,13 +195,12 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
     qk = F.col(k_col).cast("int") if k_col else F.lit(k).cast("int")
     qsel = queries.select(F.col(qid_col).cast("long").alias("qid"),
                           F.col(qvec_col).alias("qvec"), qk.alias("k"))
-    csel = (index.select(F.col(id_col).cast("long").alias("id"),
-                         F.col(vec_col).alias("vec"))
-            .where(F.col("vec").isNotNull()))
+    csel = index.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     kmax = MAX_K if k_col else k
 
     max_rows = max(1, config.broadcast_bytes // (8 * dim))
-    small = qsel.where(F.col("qvec").isNotNull()).limit(max_rows + 1).toArrow()
+    small = qsel.limit(max_rows + 1).toArrow()
+    small = small.filter(pc.is_valid(small.column("qvec")))
     if small.num_rows <= max_rows:
         qids = small.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)
         ks = small.column("k").to_numpy(zero_copy_only=False).astype(np.int32)
@@ -213,7 +219,7 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
         q_rows, c_rows = config.block_rows(dim)
         qn = max(1, math.ceil(n_q / q_rows))
         cn = max(1, math.ceil(n_c / c_rows))
-        qb = (qsel.where(F.col("qvec").isNotNull())
+        qb = (qsel
               .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qn)))
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cn - 1)))))
         cb = (csel.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(cn)))
@@ -235,9 +241,7 @@ def knn_single(index: DataFrame, qvec, dim: int, k: int = 10, *,
     qmat = normalize_rows(np.asarray([qvec], dtype=np.float64))
     bq = spark.sparkContext.broadcast((np.zeros(1, dtype=np.int64),
                                        np.full(1, k, dtype=np.int32), qmat))
-    csel = (index.select(F.col(id_col).cast("long").alias("id"),
-                         F.col(vec_col).alias("vec"))
-            .where(F.col("vec").isNotNull()))
+    csel = index.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     cands = csel.mapInArrow(_broadcast_kernel(bq, "id", "vec", dim, k, index_normalized),
                             _CAND_SCHEMA)
     top = (cands.select("id", F.round("score", SCORE_DECIMALS).alias("score"))
