@@ -28,10 +28,16 @@ def test_payload_scan_prunes_vector(spark):
 
 
 def test_null_filter_and_prefilter_pushed(spark):
-    docs = table(spark, SF_ORACLE, "documents").withColumn("thumbnail_url", F.lit(None).cast("string"))
+    from vecdex.session import scratch_path
     pts = spark.read.parquet(os.path.join(SF_ORACLE, "documents.parquet"))
     assert any("lang" in f for f in pushed_filters(pts.where(F.col("lang") == "en")))
-    assert index.needs_enrichment(docs) is not None
+    path = scratch_path(spark, "plan-idx")
+    (pts.select(F.col("doc_id").alias("id"), "lang",
+                F.when(F.col("doc_id") % 2 == 0, F.lit("/x.jpg")).alias("thumbnail_url"))
+     .write.parquet(path))
+    todo = index.needs_enrichment(spark.read.parquet(path))
+    assert any("IsNull(thumbnail_url)" in f for f in pushed_filters(todo))
+    assert todo.count() == pts.count() // 2
 
 
 def test_lookup_joins_are_many_to_one(spark):

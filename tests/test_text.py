@@ -52,6 +52,13 @@ def test_html_escape_order(spark):
     assert one(spark, tx.html_escape("s"), None) is None
 
 
+def test_render_year_and_genres(spark):
+    assert one(spark, tx.render_year(F.col("y")), None, "y int") == ""
+    assert one(spark, tx.render_year(F.col("y")), 1999, "y int") == "1999"
+    assert one(spark, tx.render_genres(F.col("g")), None, "g array<string>") == ""
+    assert one(spark, tx.render_genres(F.col("g")), ["A&B"], "g array<string>") == "<span>A&amp;B</span>"
+
+
 def test_js_trim(spark):
     assert one(spark, tx.js_trim("s"), " 　 hi there﻿\t") == "hi there"
     assert one(spark, tx.js_trim("s"), "   ") == ""

@@ -100,6 +100,11 @@ def render_genres(genres) -> Column:
                                                        F.lit("</span>"))), "")
 
 
+def render_year(year) -> Column:
+    """Year shown as text; a missing year renders as ''."""
+    return F.coalesce(_c(year).cast("string"), F.lit(""))
+
+
 def js_trim(c) -> Column:
     """JavaScript ``trim()`` (drops NBSP, ideographic space, BOM too)."""
     return F.regexp_replace(_c(c), rf"\A[{JS_TRIM_CHARS}]+|[{JS_TRIM_CHARS}]+\z", "")

@@ -79,7 +79,9 @@ class VectorIndex:
                vec_col: str = "vector") -> None:
         meta = {"dim": dim, "metric": metric}
         out = df.withColumn(vec_col, F.col(vec_col).alias(vec_col, metadata=meta))
-        out.write.mode("errorifexists").parquet(os.path.join(self.path, f"v={version}"))
+        # ``version`` is past every committed version, so anything already at
+        # this path is debris of a failed attempt and may be replaced
+        out.write.mode("overwrite").parquet(os.path.join(self.path, f"v={version}"))
 
     # -- reads ----------------------------------------------------------------
     def versions(self) -> list[int]:
