@@ -21,7 +21,7 @@ def test_k2_uses_window_group_limit(spark):
 def test_payload_scan_prunes_vector(spark):
     idx = embeddings_index(spark, SF_ORACLE)
     hits = spark.createDataFrame([(0, 1, 5, 0.9)], "qid long, rank int, id long, score double")
-    out = search.attach_payload(hits, idx, ["label"], max_broadcast_rows=10)
+    out = search.attach_payload(hits, idx, ["label"], rows_bound=1)
     schemas = read_schemas(out)
     assert schemas and all("embedding" not in s for s in schemas)
     assert "BroadcastHashJoin" in plan(out)

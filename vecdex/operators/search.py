@@ -26,19 +26,23 @@ def validate(queries: DataFrame, query_col: str = "query",
 
 
 def attach_payload(hits: DataFrame, index: DataFrame, payload: list[str] | dict,
-                   id_col: str = "id", max_broadcast_rows: int | None = None) -> DataFrame:
+                   id_col: str = "id", rows_bound: int | None = None,
+                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Join hits back to the index payload (vector column pruned).
 
     ``payload`` is a list of column names or a {output: index column} map.
-    The hit side is bounded by queries x k; when that bound is under
-    ``max_broadcast_rows`` it is broadcast and the index is scanned once
-    without a shuffle."""
+    ``rows_bound`` is a proven upper bound of the hit rows (queries x k, known
+    once the query matrix is collected, see ``topk.knn``); under
+    ``max_broadcast_rows`` the hits are broadcast and the index is scanned
+    once without a shuffle. Without a bound AQE decides from runtime sizes."""
     if isinstance(payload, dict):
         cols = [F.col(src).alias(dst) for dst, src in payload.items()]
     else:
         cols = [F.col(c) for c in payload]
     side = index.select(F.col(id_col).cast("long").alias("id"), *cols)
-    h = F.broadcast(hits) if max_broadcast_rows is not None else hits
+    if rows_bound is None:
+        rows_bound = getattr(hits, "rows_bound", None)
+    h = F.broadcast(hits) if rows_bound is not None and rows_bound <= max_broadcast_rows else hits
     return side.join(h, "id", "inner")
 
 

@@ -213,6 +213,9 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
         bq = spark.sparkContext.broadcast((qids, ks, qmat))
         cands = csel.mapInArrow(
             _broadcast_kernel(bq, "id", "vec", dim, kmax, index_normalized), _CAND_SCHEMA)
+        out = rank_candidates(cands, kmax)
+        out.rows_bound = int(min(ks.astype(np.int64).clip(0, kmax).sum(), len(qids) * kmax))
+        return out
     else:
         n_q = qsel.count()
         n_c = csel.count()

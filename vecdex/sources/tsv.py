@@ -107,11 +107,15 @@ def archive_lines(spark: SparkSession, path: str,
     """S3: lines of the named members (matched by basename, directory prefix
     dropped) of every tar(.gz) under ``path``; ``members=None`` takes all.
 
-    One archive is one task (gzip is not splittable); lines stream out in
-    bounded batches. A corrupt archive fails the task."""
+    One archive is one task (gzip is not splittable; an archive must fit a
+    binary row, < 2 GB); lines stream out in bounded batches and are then
+    spread over the cluster so one large archive does not leave all later
+    work in one task. ``line_no`` keeps file order. A corrupt archive fails
+    the task."""
     raw = spark.read.format("binaryFile").load(path).select("path", "content")
-    return raw.mapInPandas(_tar_lines(members),
-                           "archive string, member string, line_no long, value string")
+    lines = raw.mapInPandas(_tar_lines(members),
+                            "archive string, member string, line_no long, value string")
+    return lines.repartition(spark.sparkContext.defaultParallelism)
 
 
 def member_lines(lines: DataFrame, member: str) -> DataFrame:
