@@ -166,6 +166,15 @@ def a1_counts(spark, d):
     return resp.select("qid", "requested_limit", "count", "error")
 
 
+@register("a2_response_json")
+def a2_response_json(spark, d):
+    """A2 + S13: one nested JSON response per query (rank-ordered hits)."""
+    q = conversation_queries(spark, d)
+    hits = search.search_hits(q, text_index(spark, d), embed.HashingEmbedder(TEXT_DIM),
+                              TEXT_DIM, payload=["lang", "source"])
+    return search.response_json(search.responses(q, hits, ["id", "score", "lang", "source"]))
+
+
 @register("k3_suggest")
 def k3_suggest(spark, d):
     """Suggestions: trimmed queries of >= 2 units, top 3 each."""
