@@ -26,6 +26,17 @@ def test_dense_ids_follow_order(spark):
     assert sorted((r["k"], r["pos"]) for r in got) == [(i, i) for i in range(1000)]
 
 
+def test_dense_ids_with_hot_key(spark):
+    df = spark.range(0, 3000).select((F.when(F.col("id") < 1000, F.lit(0))
+                                      .otherwise(F.col("id"))).alias("k"), "id")
+    out = ids.dense_ids(df, "k", "pos", num_partitions=6)
+    got = sorted((r["k"], r["pos"]) for r in out.collect())
+    assert sorted(p for _, p in got) == list(range(3000))
+    assert all(p < 1000 for k, p in got if k == 0)                  # key order kept
+    parts = out.where(F.col("k") == 0).select(F.spark_partition_id()).distinct().count()
+    assert parts > 1                                                 # hot key split
+
+
 def test_build_points_zip_and_guard(spark):
     pts = index.build_points(_corpus(spark), _vectors(spark), key="ordinal").collect()
     assert sorted(r["id"] for r in pts) == list(range(5))

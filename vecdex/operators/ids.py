@@ -3,7 +3,8 @@
 ``row_number() over (order by k)`` without a partition clause moves every
 row into one task. Instead:
 
-1. range-partition and sort by the order key (distributed sort);
+1. range-partition and sort by the order key plus a row hash (distributed
+   sort; a hot key value is split over several partitions);
 2. tag rows with ``monotonically_increasing_id`` = (partition << 33) + offset;
 3. checkpoint to the shared folder so both passes see the same rows even
    if an executor is lost and a stage re-runs;
@@ -24,7 +25,10 @@ _LOW_BITS = (1 << 33) - 1
 
 def dense_ids(df: DataFrame, order_by: str | list[str], out_col: str = "id",
               num_partitions: int | None = None) -> DataFrame:
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    keys = [F.col(k) for k in ([order_by] if isinstance(order_by, str) else order_by)]
+    # a row hash breaks ties, so rows sharing one hot key value still spread
+    # over several range partitions (and equal keys get a stable order)
+    keys.append(F.xxhash64(*[F.col(c) for c in df.columns]))
     n = num_partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mono", F.monotonically_increasing_id()))
