@@ -44,8 +44,13 @@ def join_records(meta: DataFrame, summaries: DataFrame, *, strict_json: bool = T
 
 
 def exclusions(meta: DataFrame, summaries: DataFrame, key: str = "movie_id") -> DataFrame:
-    """Ids dropped by the inner join, with the reason."""
-    m = meta.select(key).distinct()
-    s = summaries.select(key).distinct()
-    return (m.join(s, key, "left_anti").withColumn("reason", F.lit("no_summary"))
-            .unionByName(s.join(m, key, "left_anti").withColumn("reason", F.lit("no_metadata"))))
+    """Ids dropped by the inner join, with the reason.
+
+    One full outer join of the two distinct key sets: each side is shuffled
+    once (its distinct), the join reuses that partitioning, and both anti
+    sets come out of the same pass."""
+    m = meta.select(key).distinct().withColumn("_m", F.lit(True))
+    s = summaries.select(key).distinct().withColumn("_s", F.lit(True))
+    j = m.join(s, key, "full_outer").where(F.col("_m").isNull() | F.col("_s").isNull())
+    return j.select(key, F.when(F.col("_s").isNull(), F.lit("no_summary"))
+                    .otherwise(F.lit("no_metadata")).alias("reason"))

@@ -124,7 +124,9 @@ class HashingEmbedder:
     def sparse(self, df: DataFrame, key: str, text_col: str) -> DataFrame:
         """(key, pos, value) rows of the non-zero buckets (relational form)."""
         v = self.embed(df.select(key, text_col), text_col, "_v")
-        return (v.select(key, F.posexplode("_v").alias("pos", "value"))
+        # posexplode_outer: plain posexplode makes Catalyst infer a
+        # size(_v) > 0 filter and evaluate the embedding twice
+        return (v.select(key, F.posexplode_outer("_v").alias("pos", "value"))
                 .where(F.col("value") != 0))
 
 
@@ -152,7 +154,8 @@ def mean_pool_by_key(df: DataFrame, key: str | list[str], vec_col: str,
     pre-aggregated map side, never collected into one task."""
     keys = [key] if isinstance(key, str) else list(key)
     src = df if mask_col is None else df.where(F.col(mask_col) != 0)
-    return (src.select(*keys, F.posexplode(vec_col).alias("pos", "x"))
+    return (src.select(*keys, F.posexplode_outer(vec_col).alias("pos", "x"))
+            .where(F.col("pos").isNotNull())
             .groupBy(*keys, "pos").agg(F.avg(F.col("x").cast("double")).alias("value")))
 
 
