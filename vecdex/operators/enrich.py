@@ -24,14 +24,18 @@ from pyspark.sql import functions as F
 
 
 def best_matches(catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(title, year) -> best row, and title -> best row (min rank)."""
-    by_title_year = (catalogue.where(F.col("year").isNotNull())
-                     .groupBy("title", "year")
-                     .agg(F.min_by(F.col("poster_path"), F.col("rank")).alias("poster_path"),
-                          F.min("rank").alias("match_rank")))
-    by_title = (catalogue.groupBy("title")
-                .agg(F.min_by(F.col("poster_path"), F.col("rank")).alias("poster_path"),
-                     F.min("rank").alias("match_rank")))
+    """(title, year) -> best row, and title -> best row (min rank).
+
+    One aggregate per (title, year) (partial + final, so a hot title is
+    combined map-side); the per-title answer is a second, much smaller
+    aggregate over those groups, sharing the first exchange."""
+    per_ty = (catalogue.groupBy("title", "year")
+              .agg(F.min_by(F.col("poster_path"), F.col("rank")).alias("poster_path"),
+                   F.min("rank").alias("match_rank")))
+    by_title_year = per_ty.where(F.col("year").isNotNull())
+    by_title = (per_ty.groupBy("title")
+                .agg(F.min_by(F.col("poster_path"), F.col("match_rank")).alias("poster_path"),
+                     F.min("match_rank").alias("match_rank")))
     return by_title_year, by_title
 
 
