@@ -88,11 +88,25 @@ def test_limiter_replay_matches_loop():
     assert len(state) <= 2 * 2                                  # bounded state
 
 
-def test_limiter_stream(spark):
+def _ordered_files(pdf, parts):
+    """Event files that arrive in time order (distinct modification times)."""
+    import time
+    import pyarrow as pa
+    import pyarrow.parquet as pq
     d = tempfile.mkdtemp(prefix="vecdex-ev-")
+    os.makedirs(os.path.join(d, "events"))
+    chunks = np.array_split(pdf, parts)
+    for i, c in enumerate(chunks):
+        pq.write_table(pa.Table.from_pandas(c, preserve_index=False),
+                       os.path.join(d, "events", f"part-{i}.parquet"), coerce_timestamps="us")
+        time.sleep(0.05)
+    return os.path.join(d, "events"), chunks
+
+
+def test_limiter_stream(spark):
     pdf = _events(spark, n=200, users=2)
-    spark.createDataFrame(pdf).write.parquet(os.path.join(d, "events"))
-    src = st.file_stream(spark, os.path.join(d, "events"))
+    path, _ = _ordered_files(pdf, 4)
+    src = st.file_stream(spark, path)
     out = ev.limiter_replay_stream(src, "user_id", "ts", "event_id", 2, 30.0)
     sink, ck = scratch_path(spark, "t-st4"), scratch_path(spark, "t-st4c")
     (out.writeStream.outputMode("append").format("parquet").option("path", sink)

@@ -18,13 +18,25 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 _US = 1_000_000
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+def event_micros(df: DataFrame, ts: str) -> Column:
+    """Epoch microseconds of ``ts`` independent of the session time zone:
+    a TIMESTAMP_NTZ is read as UTC wall time (as the SQL engines do), a
+    TIMESTAMP is an instant already."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def event_time(df: DataFrame, ts: str) -> Column:
+    """``ts`` as a TIMESTAMP instant (what watermarks need), NTZ read as UTC."""
+    return F.timestamp_micros(event_micros(df, ts))
 
 
 def _with_context(df: DataFrame, us: Column, span_us: int, bucket_us: int,
@@ -52,7 +64,7 @@ def debounce(events: DataFrame, key: str, ts: str, gap_seconds: float, *,
     ts, then ``tie``) is absent or at least ``gap_seconds`` later."""
     gap_us = int(round(gap_seconds * _US))
     bucket_us = max(gap_us, int(bucket_seconds * _US))
-    tagged = _with_context(events, _micros(F.col(ts)), gap_us, bucket_us, -1)
+    tagged = _with_context(events, event_micros(events, ts), gap_us, bucket_us, -1)
     order = [F.col("_us")] + ([F.col(tie)] if tie else [])
     w = Window.partitionBy(key, "_b").orderBy(*order)
     nxt = F.lead("_us").over(w)
@@ -68,7 +80,7 @@ def rate_audit(events: DataFrame, key: str, ts: str, window_seconds: float, max_
     exceeds ``max_events``."""
     w_us = int(round(window_seconds * _US))
     bucket_us = max(w_us, int(bucket_seconds * _US))
-    tagged = _with_context(events, _micros(F.col(ts)), w_us, bucket_us, +1)
+    tagged = _with_context(events, event_micros(events, ts), w_us, bucket_us, +1)
     win = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-w_us, 0)
     out = (tagged.withColumn("n_window", F.count(F.lit(1)).over(win))
            .where(F.col("_own"))
@@ -119,31 +131,40 @@ def limiter_replay_stream(events: DataFrame, key: str, ts: str, id_col: str,
                           watermark: str = "10 minutes") -> DataFrame:
     """ST4 replay as a stateful stream: per key, a bounded list of recent
     admit times is the only state; rows of one micro-batch are replayed in
-    time order. Output: one row per event with its admit time and delay."""
-    src = (events.withColumn("_ts", F.col(ts).cast("timestamp"))
+    time order; a key's state expires (event-time timeout) once the
+    watermark is past its last stamp + window. Output: one row per event
+    with its admit time and delay."""
+    src = (events.withColumn("_ts", event_time(events, ts))
            .withWatermark("_ts", watermark)
            .select(F.col(id_col).alias("event_id"), F.col(key).alias("user_id"), "_ts",
-                   (_micros(F.col("_ts")) / _US).alias("arrival")))
+                   (F.unix_micros("_ts") / _US).alias("arrival")))
 
     def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            # the watermark passed every stamp of this key: its state is idle
+            state.remove()
+            return
         stamps = list(state.get[0]) if state.exists else []
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["arrival", "event_id"])
+        if len(pdf) == 0:
+            return
         adm, stamps = replay(pdf["arrival"].to_numpy(dtype=np.float64), max_per_window,
                              window_seconds, stamps)
         state.update((stamps,))
+        state.setTimeoutTimestamp(int((adm[-1] + window_seconds) * 1000) + 1)
         yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": k[0],
                             "arrival": pdf["arrival"].to_numpy(), "admitted": adm,
                             "delay": adm - pdf["arrival"].to_numpy()})
 
     return src.groupBy("user_id").applyInPandasWithState(
-        fn, REPLAY_SCHEMA, "stamps array<double>", "append", GroupStateTimeout.NoTimeout)
+        fn, REPLAY_SCHEMA, "stamps array<double>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def debounce_stream(events: DataFrame, key: str, ts: str, gap: str, *,
                     tie: str = "event_id", watermark: str = "10 minutes") -> DataFrame:
     """ST3 stream: session windows of ``gap`` per key; the last event of a
     session is the one a debouncer emits (ties broken by ``tie``)."""
-    e = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    e = events.withColumn("_ts", event_time(events, ts)).withWatermark("_ts", watermark)
     cols = [c for c in events.columns if c != key]
     return (e.groupBy(F.col(key), F.session_window("_ts", gap))
             .agg(F.max_by(F.struct(*cols), F.struct("_ts", tie)).alias("_last"))
