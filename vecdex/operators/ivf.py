@@ -35,10 +35,17 @@ class IVFIndex:
     @classmethod
     def build(cls, index: DataFrame, dim: int, lists: int, *, id_col: str = "id",
               vec_col: str = "vector", seed: int = 42, max_iter: int = 20,
-              train_fraction: float | None = None) -> "IVFIndex":
+              train_fraction: float | None = None,
+              max_train_rows: int = 1_000_000) -> "IVFIndex":
+        """Train the lists on at most ``max_train_rows`` vectors (a seeded
+        sample of a larger index; the model only places centroids) and assign
+        every vector of the index to its list."""
         unit = index.select(F.col(id_col).cast("long").alias("id"),
                             F.col(vec_col).alias("vec")).where(F.col("vec").isNotNull())
         feats = unit.withColumn("features", array_to_vector(l2_normalize("vec")))
+        if train_fraction is None:
+            n = unit.count()
+            train_fraction = None if n <= max_train_rows else max_train_rows / n
         train = feats.sample(fraction=train_fraction, seed=seed) if train_fraction else feats
         model = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="features",
                        predictionCol="list_id").fit(train)
