@@ -138,3 +138,9 @@ def test_ivf_full_probe_equals_exact(spark):
     assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, full.collect()))
     rec = ivf.recall_at_k(iv.search(q, 10, nprobe=2), exact).first()["recall"]
     assert 0.0 < rec <= 1.0
+    from vecdex.session import scratch_path
+    path = scratch_path(spark, "ivf")
+    iv.save(path)
+    back = ivf.IVFIndex.load(spark, path, 64)
+    assert sorted(map(tuple, back.search(q, 10, nprobe=2).collect())) == \
+        sorted(map(tuple, iv.search(q, 10, nprobe=2).collect()))

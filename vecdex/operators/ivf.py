@@ -53,6 +53,22 @@ class IVFIndex:
         assigned = (model.transform(feats).select("id", "vec", F.col("list_id").cast("int")))
         return cls(assigned, cents, dim)
 
+    def save(self, path: str) -> None:
+        """Lists as a parquet table partitioned by ``list_id`` (a search that
+        probes few lists reads only their folders: the join on list_id gets
+        dynamic partition pruning) plus the centroid table."""
+        spark = self.assigned.sparkSession
+        self.assigned.write.mode("overwrite").partitionBy("list_id").parquet(path + "/lists")
+        self.centroid_table(spark).write.mode("overwrite").parquet(path + "/centroids")
+
+    @classmethod
+    def load(cls, spark, path: str, dim: int) -> "IVFIndex":
+        """Re-open a saved index; the centroids (lists x dim) reach the driver."""
+        cents = spark.read.parquet(path + "/centroids").orderBy("id").collect()
+        assigned = spark.read.parquet(path + "/lists").select(
+            "id", "vec", F.col("list_id").cast("int"))
+        return cls(assigned, np.asarray([c["vector"] for c in cents], dtype=np.float64), dim)
+
     def centroid_table(self, spark) -> DataFrame:
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         return spark.createDataFrame(rows, "id long, vector array<double>")
