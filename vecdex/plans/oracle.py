@@ -354,3 +354,12 @@ SELECT event_id, user_id, n_window, n_window > 2 AS over_limit FROM (
          count(*) OVER (PARTITION BY user_id ORDER BY ts
                         RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_window
   FROM events)"""
+
+# Append-mode session windows over one input file: the batch debounce rows
+# whose session (last event + gap) has closed under the final watermark
+# (max event time - 10 minutes). Open sessions are withheld by the stream.
+SQL["st3_debounce_stream"] = """
+SELECT event_id, user_id, event_type FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts FROM events)
+WHERE (nts IS NULL OR nts >= ts + INTERVAL 1 HOUR)
+  AND ts + INTERVAL 1 HOUR < (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
