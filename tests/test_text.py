@@ -56,7 +56,9 @@ def test_render_year_and_genres(spark):
     assert one(spark, tx.render_year(F.col("y")), None, "y int") == ""
     assert one(spark, tx.render_year(F.col("y")), 1999, "y int") == "1999"
     assert one(spark, tx.render_genres(F.col("g")), None, "g array<string>") == ""
-    assert one(spark, tx.render_genres(F.col("g")), ["A&B"], "g array<string>") == "<span>A&amp;B</span>"
+    assert one(spark, tx.render_genres(F.col("g")), ["A&B"], "g array<string>") == \
+        '<span class="genre-tag">A&amp;B</span>'
+    assert one(spark, tx.html_escape("s", null_as="null"), None) == "null"
 
 
 def test_js_trim(spark):

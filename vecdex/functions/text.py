@@ -30,6 +30,7 @@ JS_TRIM_CHARS = (r"\x{09}-\x{0D}\x{20}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{
                  r"\x{202F}\x{205F}\x{3000}\x{FEFF}")
 # HTML escape order: '&' first so later entities are not escaped twice.
 HTML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
+GENRE_CHIP = ('<span class="genre-tag">', "</span>")   # result-card genre markup
 # strict release date shape YYYY-MM-DD (no calendar check)
 FULL_DATE_RE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 BARE_YEAR_RE = r"\A[0-9]{4}\z"
@@ -85,9 +86,10 @@ def poster_url(path, base: str) -> Column:
     return F.concat(F.lit(base), _c(path))
 
 
-def html_escape(c) -> Column:
-    """Escape & < > \" in that order; null stays null."""
-    out = _c(c)
+def html_escape(c, null_as: str | None = None) -> Column:
+    """Escape & < > \" in that order. A null stays null, or becomes
+    ``null_as`` (the result page stringifies a missing title to 'null')."""
+    out = _c(c) if null_as is None else F.coalesce(_c(c), F.lit(null_as))
     for a, b in HTML_ESCAPES:
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
@@ -96,8 +98,8 @@ def html_escape(c) -> Column:
 def render_genres(genres) -> Column:
     """Escaped genre chips joined without separator; null list -> ''."""
     return F.array_join(F.transform(F.coalesce(_c(genres), F.array().cast("array<string>")),
-                                    lambda g: F.concat(F.lit("<span>"), html_escape(g),
-                                                       F.lit("</span>"))), "")
+                                    lambda g: F.concat(F.lit(GENRE_CHIP[0]), html_escape(g, "null"),
+                                                       F.lit(GENRE_CHIP[1]))), "")
 
 
 def render_year(year) -> Column:
