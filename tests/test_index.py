@@ -78,7 +78,7 @@ def test_create_skip_force_upsert_set_payload(spark):
 
 def test_wrong_dim_rejected_at_create(spark):
     pts = index.build_points(_corpus(spark), _vectors(spark, dim=2), key="ordinal")
-    with pytest.raises(Exception, match="expected 3, got 2"):
+    with pytest.raises(Exception, match="unexpected vector dimension: 2"):
         index.VectorIndex.create(pts, scratch_path(spark, "idx-bad"), 3)
 
 

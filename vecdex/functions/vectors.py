@@ -16,6 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NORM_FLOOR = 1e-9
+# fixed value: the error text for a vector of the wrong width (+ actual size)
+DIM_ERROR = "Embedding service returned unexpected vector dimension: "
 
 
 def _c(c) -> Column:
@@ -68,8 +70,7 @@ def check_dim(v, dim: int, strict: bool = True) -> Column:
     return F.when(
         bad,
         F.raise_error(F.concat(
-            F.lit("Invalid vector dimension: expected %d, got " % dim),
-            F.coalesce(F.size(v).cast("string"), F.lit("null")))),
+            F.lit(DIM_ERROR), F.coalesce(F.size(v).cast("string"), F.lit("null")))),
     ).otherwise(v)
 
 
@@ -92,7 +93,7 @@ def arrow_matrix(arr: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     lengths = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
     if not np.all(lengths == dim):
         bad = int(lengths[lengths != dim][0])
-        raise ValueError(f"Invalid vector dimension: expected {dim}, got {bad}")
+        raise ValueError(f"{DIM_ERROR}{bad}")
     flat = arr.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(n, dim)
 
@@ -102,10 +103,6 @@ def normalize_rows(m: np.ndarray, floor: float = NORM_FLOOR) -> np.ndarray:
     return m / np.maximum(n, floor)
 
 
-def round6(x: np.ndarray) -> np.ndarray:
-    return np.round(x, 6)
-
-
 def topk_columns(scores: np.ndarray, ids: np.ndarray, k: int,
                  slack: float = 2e-6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per column (query) of ``scores`` [n, q], keep every row that can still

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecdex.functions.vectors import arrow_matrix, normalize_rows, topk_columns
+from vecdex.functions.vectors import DIM_ERROR, arrow_matrix, normalize_rows, topk_columns
 
 # Per-query cap enforced by the search API (F2); the kernels keep this many
 # candidates when no explicit k is given.
@@ -154,7 +154,7 @@ def _block_kernel(dim: int, kmax: int, normalized: bool):
         qmat = normalize_rows(np.stack(qpdf["qvec"].to_numpy()).astype(np.float64))
         cmat = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
         if cmat.shape[1] != dim:
-            raise ValueError(f"Invalid vector dimension: expected {dim}, got {cmat.shape[1]}")
+            raise ValueError(f"{DIM_ERROR}{cmat.shape[1]}")
         if not normalized:
             cmat = normalize_rows(cmat)
         cids = cpdf["id"].to_numpy(dtype=np.int64)
