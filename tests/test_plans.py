@@ -5,10 +5,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from vecdex.operators import enrich, index, search, topk
+from vecdex.operators import enrich, index, search
 from vecdex.plans import catalog
 from vecdex.plans.inspect import plan, pushed_filters, read_schemas
-from vecdex.sources.tables import embeddings_index, table
+from vecdex.sources.tables import embeddings_index
 from conftest import SF_ORACLE
 
 

@@ -4,7 +4,6 @@ scan for random inputs (both plan paths)."""
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from vecdex.functions import vectors as vx
 from vecdex.operators import topk

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecdex.functions import text as tx
@@ -31,9 +31,10 @@ REGISTRY: dict[str, Query] = {}
 EMB_DIM = 64          # width of the ``embeddings`` test table
 TEXT_DIM = 64         # width of the hashing embedder used on text tables
 POSTER_BASE = "https://posters.example.org/w500"
-DEBOUNCE_GAP = "1 hour"
-RATE_WINDOW = "1 hour"
-RATE_MAX = 2
+DEBOUNCE_GAP = "1 hour"       # ST3 gap on the events table (stream form)
+DEBOUNCE_GAP_S = 3600.0       # the same gap in seconds (batch form)
+RATE_WINDOW_S = 3600.0        # ST4 trailing window on the events table
+RATE_MAX = 2                  # ST4 calls allowed per window
 
 
 def register(name: str):

@@ -5,21 +5,18 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecdex.operators import corpus, embed, ivf, topk
 from vecdex.operators.index import VectorIndex
-from vecdex.plans.catalog import (DEBOUNCE_GAP, EMB_DIM, RATE_MAX, RATE_WINDOW, TEXT_DIM,
-                                  conversation_queries, register, text_index)
+from vecdex.plans.catalog import (DEBOUNCE_GAP, DEBOUNCE_GAP_S, EMB_DIM, RATE_MAX, RATE_WINDOW_S,
+                                  TEXT_DIM, register, text_index)
 from vecdex.session import scratch_path
 from vecdex.sources import tsv
 from vecdex.sources.tables import embeddings_index, table
 from vecdex.streaming import events as ev
 from vecdex.streaming import search as st
 
-_GAP_S = 3600.0      # DEBOUNCE_GAP in seconds
-_RATE_S = 3600.0     # RATE_WINDOW in seconds
 
 
 # ---------------------------------------------------------------------------
@@ -96,7 +93,7 @@ def st2_ingest(spark, d):
 def st3_debounce(spark, d):
     """Batch debounce per user: keep events not followed within the gap."""
     e = table(spark, d, "events")
-    return ev.debounce(e, "user_id", "ts", _GAP_S, tie="event_id").select(
+    return ev.debounce(e, "user_id", "ts", DEBOUNCE_GAP_S, tie="event_id").select(
         "event_id", "user_id", "event_type")
 
 
@@ -116,7 +113,7 @@ def st3_debounce_stream(spark, d):
 def st4_rate(spark, d):
     """Rate audit: events of the same user in the trailing window."""
     e = table(spark, d, "events")
-    return ev.rate_audit(e, "user_id", "ts", _RATE_S, RATE_MAX).select(
+    return ev.rate_audit(e, "user_id", "ts", RATE_WINDOW_S, RATE_MAX).select(
         "event_id", "user_id", F.col("n_window").cast("long").alias("n_window"), "over_limit")
 
 
@@ -124,7 +121,7 @@ def st4_rate(spark, d):
 def st4_replay_stream(spark, d):
     """Limiter replay per user as a stateful stream (bounded state)."""
     src = st.file_stream(spark, os.path.join(d, "events.parquet"))
-    out = ev.limiter_replay_stream(src, "user_id", "ts", "event_id", RATE_MAX, _RATE_S)
+    out = ev.limiter_replay_stream(src, "user_id", "ts", "event_id", RATE_MAX, RATE_WINDOW_S)
     sink, ck = scratch_path(spark, "st4-sink"), scratch_path(spark, "st4-ckpt")
     (out.writeStream.outputMode("append").format("parquet").option("path", sink)
      .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
@@ -166,5 +163,3 @@ def k4_recall(spark, d):
         out = out.unionByName(p)
     return out.select("nprobe", F.round("recall", 6).alias("recall"))
 
-
-__all__ = ["DataFrame", "conversation_queries", "RATE_WINDOW"]

@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vecdex.operators import search
 from vecdex.operators.index import VectorIndex
@@ -83,5 +82,3 @@ def run_ingest_stream(rows: DataFrame, idx: VectorIndex, embedder, text_col: str
         q.awaitTermination()
     return q
 
-
-__all__ = ["file_stream", "run_search_stream", "search_stream_results", "run_ingest_stream", "F"]
