@@ -50,7 +50,7 @@ def test_create_skip_force_upsert_set_payload(spark):
     pts = index.build_points(_corpus(spark), _vectors(spark), key="ordinal")
     idx = index.VectorIndex.create(pts, path, 3)
     assert idx.versions() == [0] and idx.points_count() == 5 and idx.is_loaded()
-    assert idx.properties() == {"dim": 3, "metric": "cosine"}
+    assert idx.properties() == {"dim": 3, "metric": "cosine", "partition_by": []}
     index.VectorIndex.create(pts, path, 3)                      # exists -> skipped
     assert idx.versions() == [0]
     assert "vector" not in idx.payload().columns
@@ -76,6 +76,18 @@ def test_create_skip_force_upsert_set_payload(spark):
     assert idx.points_count() == 5
 
 
+def test_partitioned_index_prunes_payload_filter(spark):
+    from vecdex.plans.inspect import plan
+    pts = index.build_points(_corpus(spark), _vectors(spark), key="ordinal").withColumn(
+        "lang", F.when(F.col("id") % 2 == 0, "en").otherwise("de"))
+    idx = index.VectorIndex.create(pts, scratch_path(spark, "idx-part"), 3, partition_by=["lang"])
+    en = idx.read().where(F.col("lang") == "en")
+    assert "PartitionFilters: [isnotnull(lang" in plan(en) and en.count() == 3
+    idx.upsert(idx.read().where(F.col("id") == 1).withColumn("title", F.lit("u")))
+    assert idx.properties()["partition_by"] == ["lang"]
+    assert idx.read().where(F.col("title") == "u").first()["lang"] == "de"
+
+
 def test_wrong_dim_rejected_at_create(spark):
     pts = index.build_points(_corpus(spark), _vectors(spark, dim=2), key="ordinal")
     with pytest.raises(Exception, match="unexpected vector dimension: 2"):

@@ -63,25 +63,31 @@ class VectorIndex:
     # -- S7 / S12 -----------------------------------------------------------
     @classmethod
     def create(cls, points: DataFrame, path: str, dim: int, *, metric: str = METRIC,
-               force: bool = False, vec_col: str = "vector") -> "VectorIndex":
+               force: bool = False, vec_col: str = "vector",
+               partition_by: list[str] | None = None) -> "VectorIndex":
         """(Re)create the collection: the first version, or a skip when one
         exists and ``force`` is off (S12). Vectors are checked against
-        ``dim`` (P12) and narrowed to float32 (P11)."""
+        ``dim`` (P12) and narrowed to float32 (P11). ``partition_by`` lays the
+        files out by low-cardinality payload columns (e.g. language), so a
+        payload pre-filter (F5) on them prunes whole folders at the scan."""
         idx = cls(points.sparkSession, path)
         if idx.versions() and not force:
             return idx
         start = (max(idx.versions()) + 1) if idx.versions() else 0
         idx._write(points.withColumn(vec_col, to_float32(check_dim(F.col(vec_col), dim))),
-                   start, dim, metric, vec_col)
+                   start, {"dim": dim, "metric": metric,
+                           "partition_by": list(partition_by or [])}, vec_col)
         return idx
 
-    def _write(self, df: DataFrame, version: int, dim: int, metric: str,
+    def _write(self, df: DataFrame, version: int, props: dict,
                vec_col: str = "vector") -> None:
-        meta = {"dim": dim, "metric": metric}
-        out = df.withColumn(vec_col, F.col(vec_col).alias(vec_col, metadata=meta))
+        out = df.withColumn(vec_col, F.col(vec_col).alias(vec_col, metadata=props))
+        w = out.write.mode("overwrite")
+        if props.get("partition_by"):
+            w = w.partitionBy(*props["partition_by"])
         # ``version`` is past every committed version, so anything already at
         # this path is debris of a failed attempt and may be replaced
-        out.write.mode("overwrite").parquet(os.path.join(self.path, f"v={version}"))
+        w.parquet(os.path.join(self.path, f"v={version}"))
 
     # -- reads ----------------------------------------------------------------
     def versions(self) -> list[int]:
@@ -127,7 +133,7 @@ class VectorIndex:
         latest = latest.select(*base.columns)
         new = upserted(base, latest, "id", broadcast_rows=broadcast_rows)
         v = self.current_version() + 1
-        self._write(new, v, int(props.get("dim", 0)), props.get("metric", METRIC))
+        self._write(new, v, props)
         return v
 
     # -- S10 ----------------------------------------------------------------
@@ -138,7 +144,7 @@ class VectorIndex:
         props = self.properties()
         new = with_payload_updates(self.read(), updates, columns, broadcast_rows=broadcast_rows)
         v = self.current_version() + 1
-        self._write(new, v, int(props.get("dim", 0)), props.get("metric", METRIC))
+        self._write(new, v, props)
         return v
 
 
