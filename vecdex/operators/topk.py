@@ -54,8 +54,8 @@ class SearchConfig:
     its shuffle volume is Q x corpus_blocks + N x query_blocks, so query
     blocks are made as large as the broadcast budget (few corpus copies) and
     corpus blocks as large as one task can hold. Row counts override bytes."""
-    broadcast_bytes: int = 256 << 20
-    query_block_bytes: int = 256 << 20
+    broadcast_bytes: int = 128 << 20
+    query_block_bytes: int = 128 << 20
     corpus_block_bytes: int = 512 << 20
     query_block_rows: int | None = None
     corpus_block_rows: int | None = None
