@@ -86,9 +86,9 @@ def _tar(members: dict[str, str]) -> str:
 
 
 def test_archive_members_by_basename(spark):
-    p = _tar({"MovieSummaries/movie.metadata.tsv": META,
-              "MovieSummaries/plot_summaries.txt": SUMM,
-              "MovieSummaries/README.txt": "ignore me\n"})
+    p = _tar({"dataset/movie.metadata.tsv": META,
+              "dataset/plot_summaries.txt": SUMM,
+              "dataset/README.txt": "ignore me\n"})
     lines = tsv.archive_lines(spark, os.path.dirname(p)).cache()
     assert {r["member"] for r in lines.select("member").distinct().collect()} == \
         {"movie.metadata.tsv", "plot_summaries.txt"}
