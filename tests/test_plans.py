@@ -51,3 +51,10 @@ def test_text_search_plan_has_no_pair_join(spark):
     p = plan(catalog.REGISTRY["u3_search"](spark, SF_ORACLE))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "MapInArrow" in p or "PythonMapInArrow" in p
+
+
+def test_embedding_udf_evaluated_once(spark):
+    import re
+    for key in ("u5_hash_embed", "u3_search", "p10_masked_pool", "k3_suggest"):
+        p = plan(catalog.REGISTRY[key](spark, SF_ORACLE), "simple")
+        assert len(re.findall(r"ArrowEvalPython", p)) <= 1, key
