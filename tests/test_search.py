@@ -74,6 +74,16 @@ def test_per_query_limit_and_cap(spark):
     assert {r["qid"]: r["count"] for r in got} == {0: 2, 1: 4}      # min(limit, available)
 
 
+def test_broadcast_cap_counts_null_queries(spark):
+    idx = _index(spark, np.eye(4))
+    rows = [(0, None)] + [(i, [1.0, 0.0, 0.0, float(i)]) for i in range(1, 4)]
+    q = spark.createDataFrame(rows, "qid long, qvec array<double>")
+    # budget for 3 rows: 4 raw rows (one null) must take the block path
+    cfg = topk.SearchConfig(broadcast_bytes=3 * 8 * 4, query_block_rows=2, corpus_block_rows=2)
+    got = topk.knn(idx, q, 4, 1, config=cfg).select("qid").distinct().collect()
+    assert sorted(r["qid"] for r in got) == [1, 2, 3]
+
+
 def test_single_query(spark):
     idx = _index(spark, np.eye(4))
     assert topk.knn_single(idx, [0, 1, 0, 0], 4, 0).count() == 0

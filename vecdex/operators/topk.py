@@ -199,9 +199,12 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
     kmax = MAX_K if k_col else k
 
     max_rows = max(1, config.broadcast_bytes // (8 * dim))
-    small = qsel.limit(max_rows + 1).toArrow()
-    small = small.filter(pc.is_valid(small.column("qvec")))
-    if small.num_rows <= max_rows:
+    # bounded collect: at most max_rows + 1 rows ever reach the driver; the
+    # size decision is taken on the raw row count (nulls included) so no
+    # query beyond the cap can be lost
+    raw = qsel.limit(max_rows + 1).toArrow()
+    if raw.num_rows <= max_rows:
+        small = raw.filter(pc.is_valid(raw.column("qvec")))
         qids = small.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)
         ks = small.column("k").to_numpy(zero_copy_only=False).astype(np.int32)
         if small.num_rows and len(small.column("k").drop_null()) != small.num_rows:
