@@ -154,3 +154,19 @@ def test_ivf_full_probe_equals_exact(spark):
     back = ivf.IVFIndex.load(spark, path, 64)
     assert sorted(map(tuple, back.search(q, 10, nprobe=2).collect())) == \
         sorted(map(tuple, iv.search(q, 10, nprobe=2).collect()))
+
+
+def test_scroll_pages_cover_index(spark):
+    docs = spark.range(0, 250).select(F.col("id"), (F.col("id") % 3).alias("g"))
+    pred = F.col("g") != 1
+    seen, after = [], None
+    while True:
+        page = [r["id"] for r in search.scroll(docs, pred, after, page_size=40).collect()]
+        if not page:
+            break
+        seen += page
+        after = page[-1]
+    want = [i for i in range(250) if i % 3 != 1]
+    assert seen == want
+    pages = {r["id"]: r["page"] for r in search.page_numbers(docs, 40, predicate=pred).collect()}
+    assert [pages[i] for i in want] == [n // 40 for n in range(len(want))]
