@@ -170,3 +170,9 @@ def test_scroll_pages_cover_index(spark):
     assert seen == want
     pages = {r["id"]: r["page"] for r in search.page_numbers(docs, 40, predicate=pred).collect()}
     assert [pages[i] for i in want] == [n // 40 for n in range(len(want))]
+
+
+def test_model_embedder_without_weights_fails_clearly(spark):
+    df = spark.createDataFrame([("ab",)], "t string")
+    with pytest.raises(Exception, match="no model.onnx"):
+        embed.ModelEmbedder(model_dir=None, dim=4).embed(df, "t").collect()
