@@ -69,7 +69,11 @@ def st1_stream_search(spark, d):
     lim = F.when(F.col("role") == "system", F.lit(None)).otherwise(F.col("turn") * 13 - 20)
     q = qs.select((F.col("conv_id") * 100 + F.col("turn")).alias("qid"),
                   F.col("text").alias("query"), lim.cast("int").alias("limit"))
-    hits = st.search_stream_results(spark, q, text_index(spark, d),
+    # the index is stored once; every micro-batch scans the stored vectors
+    # instead of re-embedding the corpus
+    stored = VectorIndex.create(text_index(spark, d).drop("text"),
+                                scratch_path(spark, "st1-index"), TEXT_DIM)
+    hits = st.search_stream_results(spark, q, stored.read(),
                                     embed.HashingEmbedder(TEXT_DIM), TEXT_DIM,
                                     payload=["lang", "source"])
     return hits.select("qid", "rank", "id", "score", "lang", "source")

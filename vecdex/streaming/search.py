@@ -38,7 +38,10 @@ def run_search_stream(queries: DataFrame, index: DataFrame, embedder, dim: int,
                       available_now: bool = True, **kw):
     """ST1: query stream -> F1/F2 -> embed -> K2 -> hits, per micro-batch.
 
-    Returns the started (or, with ``available_now``, finished) query."""
+    ``index`` should be a stored table (e.g. ``VectorIndex.read()``): each
+    micro-batch scans it, so a lazily embedded corpus would be re-embedded
+    per batch. Returns the started (or, with ``available_now``, finished)
+    query."""
     def per_batch(bdf: DataFrame, batch_id: int) -> None:
         hits = search.search_hits(bdf, index, embedder, dim, payload=payload, **kw)
         hits.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
