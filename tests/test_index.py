@@ -134,3 +134,21 @@ def test_lookup_rules(spark):
     assert out[1] == "/alpha2.jpg" and out[7] == "/kept.jpg" and out[5] is None
     twice = enrich.enrich(once, cat)
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_guard_states(spark):
+    """{missing, one of two present, present but empty, unreadable} x force."""
+    import os
+    pts = index.build_points(_corpus(spark), _vectors(spark), key="ordinal")
+    out, js = scratch_path(spark, "g-art"), scratch_path(spark, "g-json")
+    pts.write.parquet(out)                                       # one of two present
+    assert index.write_artifacts(pts, out, json_path=js) is True
+    empty = scratch_path(spark, "g-empty")                       # present but empty
+    pts.limit(0).write.parquet(empty)
+    idx = index.VectorIndex.create(pts.limit(0), empty + "-idx", 3)
+    assert idx.points_count() == 0 and not idx.is_loaded()
+    bad = scratch_path(spark, "g-bad")                           # unreadable
+    os.makedirs(os.path.join(bad, "v=0"))
+    with open(os.path.join(bad, "v=0", "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    assert index.VectorIndex(spark, bad).points_count() == 0
