@@ -148,7 +148,8 @@ def test_guard_states(spark):
     idx = index.VectorIndex.create(pts.limit(0), empty + "-idx", 3)
     assert idx.points_count() == 0 and not idx.is_loaded()
     bad = scratch_path(spark, "g-bad")                           # unreadable
-    os.makedirs(os.path.join(bad, "v=0"))
-    with open(os.path.join(bad, "v=0", "part-0.parquet"), "w") as f:
+    local = bad[len("file:"):] if bad.startswith("file:") else bad
+    os.makedirs(os.path.join(local, "v=0"))
+    with open(os.path.join(local, "v=0", "part-0.parquet"), "w") as f:
         f.write("not parquet")
     assert index.VectorIndex(spark, bad).points_count() == 0
