@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vecdex.llm import packing
+from vecdex.llm import packing, token_counts, token_files
+from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,15 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.document_pieces(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_files(spark, path)
