@@ -35,7 +35,7 @@ from vecdex.session import cut_lineage
 
 CAPACITY = 2048
 #: pieces of one length that are ranked together in one task
-RANK_ROWS = 200_000
+RANK_ROWS = 1000
 
 
 def document_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -159,9 +159,12 @@ def pack(pieces: DataFrame, length_col: str = "length", order_by: tuple[str, ...
     # at most `capacity` rows come back, however many pieces there are
     histogram = {r[0]: r[1] for r in staged.groupBy(length_col).count().collect()}
     slots, _ = plan_bins(histogram, capacity)
-    buckets = max(1, -(-max(histogram.values(), default=0) // RANK_ROWS))
+    common = {n: -(-c // RANK_ROWS) for n, c in histogram.items() if c > RANK_ROWS}
+    buckets = F.lit(1)
+    if common:
+        buckets = F.coalesce(F.create_map(*[F.lit(x) for pair in common.items() for x in pair])[F.col(length_col)], F.lit(1))
     flat = [c for c, kind in staged.dtypes if not kind.startswith(("map", "variant"))]
-    spread = staged.withColumn(bucket, F.pmod(F.xxhash64(*[F.col(c) for c in flat]), F.lit(buckets)))
+    spread = staged.withColumn(bucket, F.pmod(F.xxhash64(*[F.col(c) for c in flat]), buckets))
     sizes = spread.groupBy(F.col(length_col).alias("__l"), F.col(bucket).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(
         Window.partitionBy("__l").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")

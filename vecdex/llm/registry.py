@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vecdex.llm import packing, token_counts, token_files
+from vecdex.llm import exact_dedup, mixing, packing, sharding, token_counts, token_files
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -38,3 +39,30 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_files(table(spark, sf_dir, "documents"), path)
     return token_files.read_files(spark, path)
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.dedup(docs).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("text_digest")).alias("text_sha256"))
+
+
+SQL["op6_exact_dedup"] = exact_dedup.SQL
+
+
+@query
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sharding.hilbert_shards(docs, ["lang", "source", "n_chars"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+@query
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op10_mix"] = mixing.SQL
