@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.llm import exact_dedup, mixing, packing, sharding, token_counts, token_files
+from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, sharding, token_counts, token_files
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -51,6 +51,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op6_exact_dedup"] = exact_dedup.SQL
 
 
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
