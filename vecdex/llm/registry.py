@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, sharding, token_counts, token_files
+from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, quality_rules, sharding, token_counts, token_files
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -24,6 +24,16 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_rules.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+SQL["op1_quality_rules"] = quality_rules.SQL
+
+
 @query
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.document_pieces(table(spark, sf_dir, "documents")))
