@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, quality_rules, sharding, token_counts, token_files
+from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, quality_rules, secret_scan, sharding, token_counts, token_files
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -74,6 +74,15 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "hilbert")
 
 
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[secret_scan.n_of(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(F.encode(secret_scan.written(base), "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"))
+
+
 @query
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
