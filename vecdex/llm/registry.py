@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, quality_rules, secret_scan, sharding, token_counts, token_files
+from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, pu_classifier, quality_rules, secret_scan, sharding, token_counts, token_files
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -51,6 +51,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(spark, path)
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_classifier.quality_scores(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
