@@ -20,8 +20,9 @@ def n_words(text: Column) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z; every other character stays."""
-    return F.translate(text, _UPPER, _LOWER)
+    """A-Z to a-z; every other character stays. Texts of ASCII alone take the
+    built-in lower-casing, which is far faster and the same for them."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
 def fresh(df: DataFrame, stem: str) -> str:

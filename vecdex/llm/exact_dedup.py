@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from vecdex.llm.common import ascii_lower, fresh
 from vecdex.session import cut_lineage, scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_DISK_BACKED = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: rows of about 150 bytes that may be broadcast
+BROADCAST_ROWS = 200_000
+#: state on local disk, copied to the shared folder with every batch
+_STATE = {"spark.sql.streaming.stateStore.providerClass":
+          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def normalised(text: Column) -> Column:
@@ -56,18 +59,17 @@ def track(arrivals: DataFrame, checkpoint: str, out: str) -> None:
     spark = arrivals.sparkSession
     entries = arrivals.groupBy("digest").agg(F.max(F.struct("id", "locator")).alias("keep"),
                                              F.count(F.lit(1)).alias("group_size"))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _DISK_BACKED)
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         stream = (entries.writeStream.outputMode("update").trigger(availableNow=True)
                   .option("checkpointLocation", checkpoint)
                   .foreachBatch(lambda changed, k: changed.write.mode("overwrite").parquet(f"{out}/batch={k}"))
                   .start())
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     stream.awaitTermination()
 
 
@@ -78,8 +80,54 @@ def entries(spark: SparkSession, out: str) -> DataFrame:
             .agg(F.max("keep").alias("keep"), F.max("group_size").alias("group_size")))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          digest: Callable[[Column], Column] = sha256, files_per_batch: int = 100_000) -> DataFrame:
+def decisions(docs: DataFrame, locator: str, id_col: str = "doc_id", text_col: str = "text",
+              digest: Callable[[Column], Column] = sha256, files_per_batch: int = 100_000) -> DataFrame:
+    """``locator, id, digest, keep_id, group_size, kept`` for every row of
+    ``docs``, whose rows are named by the column ``locator``. The texts are read
+    once for the digests, and those behind hits once more."""
+    spark = docs.sparkSession
+    base = scratch_path(spark, "dedup")
+    docs.select(digest(normalised(F.col(text_col))).alias("digest"), F.col(id_col).alias("id"),
+                F.col(locator).alias("locator")).write.parquet(f"{base}/arrivals")
+    arrivals = spark.read.parquet(f"{base}/arrivals")
+    if arrivals.isEmpty():
+        found = arrivals.groupBy("digest").agg(F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    else:
+        stream = (spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", files_per_batch)
+                  .parquet(f"{base}/arrivals"))
+        track(stream, f"{base}/checkpoint", f"{base}/entries")
+        found = entries(spark, f"{base}/entries")
+
+    hits = arrivals.join(found.where("group_size > 1").select("digest", F.col("keep.locator").alias("kept_at")), "digest")
+    texts = _texts(docs, locator, text_col, hits.select("locator", "digest", "kept_at"))
+    kept_texts = texts.where(F.col("locator") == F.col("kept_at")).select("digest", F.col("text").alias("kept_text"))
+    clashing = cut_lineage(texts.join(kept_texts, "digest").where(F.col("text") != F.col("kept_text")).select("digest").distinct())
+    if clashing.isEmpty():
+        joined = arrivals.join(found, "digest")
+    else:  # different texts under one digest: group those by the full text
+        full = _texts(docs, locator, text_col, arrivals.join(clashing, "digest"))
+        split = full.groupBy("digest", "text").agg(
+            F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+        joined = (arrivals.join(found.join(clashing, "digest", "left_anti"), "digest")
+                  .unionByName(full.join(split, ["digest", "text"]).drop("text")))
+    return joined.select("locator", "id", "digest", F.col("keep.id").alias("keep_id"), "group_size",
+                         (F.col("locator") == F.col("keep.locator")).alias("kept"))
+
+
+def _texts(docs: DataFrame, locator: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (rows with a ``locator``) with the normalised text found there."""
+    rows = docs.select(F.col(locator).alias("at__"), F.col(text_col).alias("text__"))
+    return (rows.join(_small(wanted), F.col("at__") == F.col("locator"))
+            .withColumn("text", normalised(F.col("text__"))).drop("at__", "text__"))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows`` to be broadcast if they are few enough, else to be shuffled."""
+    rows = cut_lineage(rows)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with ``keep_id``, ``group_size``, ``kept`` and ``text_digest``.
 
     Of texts that are equal after lower-casing A-Z the row with the largest id
@@ -89,43 +137,26 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     new = ("keep_id", "group_size", "kept", "text_digest")
     docs, locator = located(docs.drop(*[c for c in docs.columns if c.lower() in new]))
-    spark = docs.sparkSession
-    text = normalised(F.col(text_col))
-    rows = docs.withColumn("text_digest", digest(text))
-    base = scratch_path(spark, "dedup")
-    rows.select(F.col("text_digest").alias("digest"), F.col(id_col).alias("id"),
-                F.col(locator).alias("locator")).write.parquet(f"{base}/arrivals")
-    arrivals = spark.read.parquet(f"{base}/arrivals")
-    stream = (spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(f"{base}/arrivals"))
-    track(stream, f"{base}/checkpoint", f"{base}/entries")
-    found = entries(spark, f"{base}/entries") if not arrivals.isEmpty() else (
-        arrivals.groupBy("digest").agg(F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size")))
-
-    hits = found.where("group_size > 1").select(F.col("digest").alias("__d"), F.col("keep.locator").alias("__at"))
-    members = rows.select("text_digest", F.col(locator).alias("__loc"), text.alias("__text")).join(
-        hits, F.col("text_digest") == F.col("__d"))
-    kept_texts = members.where(F.col("__loc") == F.col("__at")).select("__d", F.col("__text").alias("__kept"))
-    clashing = cut_lineage(members.drop("__d", "__at").join(kept_texts, F.col("text_digest") == F.col("__d"))
-                           .where(F.col("__text") != F.col("__kept")).select(F.col("__d").alias("digest")).distinct())
-    if clashing.isEmpty():
-        joined = rows.join(found, F.col("text_digest") == F.col("digest")).drop("digest")
-    else:  # different texts under one digest: group those by the full text
-        marked = rows.join(clashing.withColumn("__clash", F.lit(True)), F.col("text_digest") == F.col("digest"), "left").drop("digest")
-        marked = marked.withColumn("__full", F.when(F.col("__clash"), text).otherwise(F.lit("")))
-        split = (marked.where("__clash").groupBy("text_digest", "__full")
-                 .agg(F.max(F.struct(F.col(id_col).alias("id"), F.col(locator).alias("locator"))).alias("keep"),
-                      F.count(F.lit(1)).alias("group_size")))
-        whole = found.join(clashing, "digest", "left_anti").select(
-            F.col("digest").alias("text_digest"), F.lit("").alias("__full"), "keep", "group_size")
-        joined = marked.join(whole.unionByName(split), ["text_digest", "__full"]).drop("__clash", "__full")
-    return (joined.withColumn("keep_id", F.col("keep.id")).withColumn("kept", F.col(locator) == F.col("keep.locator"))
+    own = decisions(docs, locator, id_col, text_col, **options).select(
+        F.col("locator").alias("at__"), "keep_id", "group_size", "kept", F.col("digest").alias("text_digest"))
+    return (docs.join(own, F.col(locator) == F.col("at__"))
             .select(*[F.col(c) for c in docs.columns if c != locator], *new))
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with the columns of ``docs``."""
-    return dedup(docs, **options).where("kept").select(*[F.col(c) for c in docs.columns])
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with the columns of ``docs``. Only the
+    places of the rows that go are joined with the documents."""
+    rows, locator = located(docs)
+    gone = decisions(rows, locator, id_col, text_col, **options).where("not kept").select("locator")
+    return rows.join(_small(gone), F.col(locator) == F.col("locator"), "left_anti").select(*[F.col(c) for c in docs.columns])
+
+
+def kept_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``id_col, keep_id, group_size, kept, text_digest`` for every row, without
+    the documents' other columns."""
+    rows, locator = located(docs)
+    return decisions(rows, locator, id_col, text_col, **options).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.col("digest").alias("text_digest"))
 
 
 #: DuckDB SQL for op6's columns

@@ -60,7 +60,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup.dedup(docs).select(
+    return exact_dedup.kept_ids(docs).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("text_digest")).alias("text_sha256"))
 
 
