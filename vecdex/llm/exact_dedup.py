@@ -23,9 +23,11 @@ from vecdex.session import cut_lineage, scratch_path
 
 #: rows of about 150 bytes that may be broadcast
 BROADCAST_ROWS = 200_000
-#: state on local disk, copied to the shared folder with every batch
+#: state on local disk, copied to the shared folder with every batch; files are not
+#: allocated ahead, which costs 4 MB a state partition whatever it holds
 _STATE = {"spark.sql.streaming.stateStore.providerClass":
-          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(text: Column) -> Column:
