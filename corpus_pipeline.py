@@ -2,25 +2,49 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written and read again as the next one's docs.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``:
+
+1. quality rules: documents that the rules reject go;
+2. exact dedup: of equal texts the row with the largest id stays;
+3. near dedup: of each group of near-duplicates one document stays;
+4. mixing: sources meet their target weights; a document stands as often as
+   the mix takes it, so up to twice, and goes if the mix does not take it;
+5. best-fit packing: the pieces of the mix, with their sequence and place.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vecdex.llm import packing
+from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, quality_rules
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.passing(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minmax_dedup.without_near_duplicates(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.document_pieces(docs))
 
 
-STAGES = [("best-fit packing", best_fit_packing)]
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("near dedup", near),
+          ("mixing to target weights", mix), ("best-fit packing", pack)]
 
-#: several stages (streaming state, min-max hashing, packing) have no SQL form
+#: streaming state, min-max hashing and minimum bin slack have no SQL form
 ORACLE_SQL = None
 
 

@@ -266,3 +266,12 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
                                     & (F.col("x.head") < F.col("y.head"))
                                     & (F.col("x.component") != F.col("y.component")) & _agreeing("x", "y"))
             .select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct())
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with its
+    smallest id, and every row without an id. Ids should be unique by now; rows
+    that share a kept id all stay. What goes is the smaller side of the join."""
+    gone = cut_lineage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("id")).distinct())
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(side, docs[id_col] == side["id"], "left_anti")
