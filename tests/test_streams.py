@@ -65,27 +65,29 @@ def test_rate_audit(spark, w_ms, bucket_s):
     assert got == brute_rate(pdf, w_ms)
 
 
-def reference_limiter(arrivals, m, window=1.0):
-    """Straight transcription of the documented rule, as a loop with a clock."""
-    stamps, out, clock = [], [], -np.inf
+def start_times(arrivals, most, window):
+    """Brute force: the first microsecond-sized time, at or after the arrival and
+    the start before, at which fewer than ``most`` starts lie in the window."""
+    out = []
     for t in arrivals:
-        now = max(t, clock)
-        stamps = [s for s in stamps if not s < now - window]
-        if len(stamps) >= m:
-            sleep = window - (now - stamps[0])
-            if sleep > 0:
-                now += sleep
-        stamps.append(now)
-        out.append(now)
-        clock = now
+        t = max([t, *out[-1:]])
+        for candidate in sorted({t, *(s + window for s in out if s + window > t)}):
+            if sum(candidate - window < s for s in out) < most:
+                out.append(candidate)
+                break
     return out
 
 
-def test_limiter_replay_matches_loop():
-    arr = np.array([0.0, 0.1, 0.2, 0.3, 0.35, 1.05, 1.1, 3.0, 3.0, 3.0, 4.0])
-    got, state = ev.replay(arr, 2)
-    assert np.allclose(got, reference_limiter(arr, 2))
-    assert len(state) <= 2 * 2                                  # bounded state
+def test_admissions_by_brute_force():
+    r = np.random.default_rng(3)
+    for most in (1, 2, 5):
+        arr = np.sort(r.integers(0, 4000, 60))
+        got, recent = ev.admissions(arr, [], most, 100)
+        assert got.tolist() == start_times(arr.tolist(), most, 100)
+        assert recent == got.tolist()[-most:]
+        first, state = ev.admissions(arr[:25], [], most, 100)           # in two batches
+        second, _ = ev.admissions(arr[25:], state, most, 100)
+        assert first.tolist() + second.tolist() == got.tolist()
 
 
 def _ordered_files(pdf, parts):
@@ -115,7 +117,8 @@ def test_limiter_stream(spark):
     assert len(got) == len(pdf)
     for u, g in got.groupby("user_id"):
         g = g.sort_values(["arrival", "event_id"])
-        assert np.allclose(g["admitted"], reference_limiter(g["arrival"].to_numpy(), 2, 30.0))
+        us = (g["arrival"].to_numpy() * 1e6).round().astype(np.int64)
+        assert np.allclose(g["admitted"], np.array(start_times(us.tolist(), 2, 30_000_000)) / 1e6)
 
 
 def test_debounce_stream_equals_batch_on_closed_sessions(spark):

@@ -103,22 +103,27 @@ def normalize_rows(m: np.ndarray, floor: float = NORM_FLOOR) -> np.ndarray:
     return m / np.maximum(n, floor)
 
 
-def topk_columns(scores: np.ndarray, ids: np.ndarray, k: int,
-                 slack: float = 2e-6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per column (query) of ``scores`` [n, q], keep every row that can still
-    be in the top ``k`` after the final (rounded score desc, id asc) ranking.
-
-    The threshold is the k-th largest score minus ``slack``; rows tied at the
-    boundary are all kept so the exact tie-break happens later in Spark.
-    Returns (row_index, query_index, score) of the kept cells."""
+def topk_columns(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per column (query) of ``scores`` [n, q], exactly the ``min(n, k)`` rows
+    that lead by (score desc, id asc). Scores must be finite and are compared
+    as they are, so callers round first. Returns (row, query, score)."""
     n, q = scores.shape
     if n == 0 or q == 0 or k <= 0:
         e = np.zeros(0, dtype=np.int64)
         return e, e, np.zeros(0)
+    order = np.argsort(ids, kind="stable")
+    scores = scores[order]                                    # ties now follow the id
     if n <= k:
-        rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-        return rows, cols, scores[rows, cols]
-    kth = np.partition(scores, n - k, axis=0)[n - k]          # k-th largest per column
-    keep = scores >= (kth - slack)[None, :]
+        keep = np.ones(scores.shape, dtype=bool)
+    else:
+        kth = np.partition(scores, n - k, axis=0)[n - k]      # k-th largest per column
+        above = scores > kth
+        tied = scores == kth
+        keep = above | (tied & (np.cumsum(tied, axis=0, dtype=np.int32) <= k - above.sum(axis=0)))
     rows, cols = np.nonzero(keep)
-    return rows, cols, scores[rows, cols]
+    return order[rows], cols, scores[rows, cols]
+
+
+def finite_rows(m: np.ndarray) -> np.ndarray:
+    """Which rows hold finite numbers only; others cannot be ranked."""
+    return np.isfinite(m).all(axis=1)

@@ -10,15 +10,14 @@ search and index builders take one as an argument (U4: no global switch).
   (md5: bucket from the first 8 hex digits mod dim, sign from the 9th) and
   fills the batch's dense signed counts with a single ``bincount``.
   Row-wise map, never a shuffle.
-* ``ModelEmbedder`` (U1): text -> tokenizer (128, pad, truncate) -> ONNX
-  model -> masked mean pool, through ``predict_batch_udf`` so the model is
-  loaded once per Python worker and fed fixed-size batches (K6).
+* ``ModelEmbedder`` (U1): an injected batch model through
+  ``predict_batch_udf``, built once per Python worker and fed fixed-size
+  batches (K6).
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecdex.functions.vectors import NORM_FLOOR
 from vecdex.session import balance
 
 # --- fixed values -----------------------------------------------------------
 STUB_VALUE = 0.1               # U2: +0.1 at even, -0.1 at odd index
-MODEL_MAX_TOKENS = 128         # U1 tokenizer length (pad + truncate)
 MODEL_BATCH = 64               # U1 texts per model call
 # U5 token rule: maximal runs of Unicode letters/digits of the lower-cased text
 TOKEN_SPLIT_RE = r"[^\p{L}\p{N}]+"
@@ -158,59 +155,21 @@ def mean_pool_by_key(df: DataFrame, key: str | list[str], vec_col: str,
             .groupBy(*keys, "pos").agg(F.avg(F.col("x").cast("double")).alias("value")))
 
 
-def pool_numpy(token_embeddings: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
-    """P10 on a model output batch [B, seq, dim] with mask [B, seq]."""
-    m = attention_mask[..., None].astype(np.float64)
-    s = (token_embeddings * m).sum(axis=1)
-    n = m.sum(axis=1)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return (s / n).astype(np.float32)
+class ModelEmbedder:
+    """Any batch model through ``predict_batch_udf``.
 
+    ``predict_fn_factory`` is called once per Python worker and returns a
+    function from a numpy array of texts to float32 rows of width ``dim``; it
+    brings its own tokenizer, weights and pooling (P10 has a column form,
+    ``mean_pool``). A null text gives a null vector."""
 
-class ModelEmbedder:
-    """Tokenizer + ONNX model + masked mean pool via predict_batch_udf.
-
-    ``model_dir`` holds ``tokenizer.json`` and ``model.onnx``. No weights are
-    shipped; ``predict_fn_factory`` lets callers (and tests) supply another
-    batch function ``texts -> float32[B, dim]``."""
-
-    def __init__(self, model_dir: str | None = None, dim: int = 384,
-                 batch_size: int = MODEL_BATCH, normalize: bool = False,
-                 predict_fn_factory=None):
-        self.model_dir, self.dim, self.batch_size = model_dir, dim, batch_size
-        self.normalize = normalize
-        self.factory = predict_fn_factory or self._onnx_factory(model_dir, normalize)
-
-    @staticmethod
-    def _onnx_factory(model_dir, normalize):
-        def make_predict_fn():
-            import onnxruntime as ort
-            from tokenizers import Tokenizer
-            if model_dir is None or not os.path.exists(os.path.join(model_dir, "model.onnx")):
-                raise FileNotFoundError(f"no model.onnx under {model_dir!r}")
-            tok = Tokenizer.from_file(os.path.join(model_dir, "tokenizer.json"))
-            tok.enable_truncation(MODEL_MAX_TOKENS)
-            tok.enable_padding(length=MODEL_MAX_TOKENS)
-            sess = ort.InferenceSession(os.path.join(model_dir, "model.onnx"))
-            names = [i.name for i in sess.get_inputs()]
-
-            def predict(texts: np.ndarray) -> np.ndarray:
-                enc = tok.encode_batch([str(t) for t in texts])
-                ids = np.asarray([e.ids for e in enc], dtype=np.int64)
-                mask = np.asarray([e.attention_mask for e in enc], dtype=np.int64)
-                feed = {"input_ids": ids, "attention_mask": mask}
-                if "token_type_ids" in names:
-                    feed["token_type_ids"] = np.asarray([e.type_ids for e in enc], dtype=np.int64)
-                pooled = pool_numpy(sess.run(None, feed)[0], mask)
-                if normalize:
-                    pooled = pooled / np.maximum(
-                        np.linalg.norm(pooled, axis=1, keepdims=True), NORM_FLOOR)
-                return pooled.astype(np.float32)
-            return predict
-        return make_predict_fn
+    def __init__(self, predict_fn_factory, dim: int = 384, batch_size: int = MODEL_BATCH):
+        self.factory, self.dim, self.batch_size = predict_fn_factory, dim, batch_size
 
     def embed(self, df: DataFrame, text_col: str, out_col: str = "vector") -> DataFrame:
         from pyspark.ml.functions import predict_batch_udf
         udf = predict_batch_udf(self.factory, return_type=T.ArrayType(T.FloatType()),
                                 batch_size=self.batch_size)
-        return balance(df).withColumn(out_col, udf(F.col(text_col)))
+        text = F.col(text_col)
+        vector = udf(F.coalesce(text, F.lit("")))
+        return balance(df).withColumn(out_col, F.when(text.isNotNull(), vector))

@@ -26,29 +26,26 @@ from pyspark.sql import functions as F
 
 from vecdex.functions.vectors import l2_normalize
 from vecdex.operators import topk
+from vecdex.session import cut_lineage
 
 
 class IVFIndex:
-    def __init__(self, assigned: DataFrame, centroids: np.ndarray, dim: int):
+    def __init__(self, assigned: DataFrame, centroids: np.ndarray, dim: int,
+                 sizes: DataFrame | None = None):
         self.assigned, self.centroids, self.dim = assigned, centroids, dim
+        # rows per list: stored with a saved index, counted otherwise
+        self.sizes = sizes if sizes is not None else assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_c"))
 
     @classmethod
     def build(cls, index: DataFrame, dim: int, lists: int, *, id_col: str = "id",
-              vec_col: str = "vector", seed: int = 42, max_iter: int = 20,
-              train_fraction: float | None = None,
-              max_train_rows: int = 1_000_000) -> "IVFIndex":
-        """Train the lists on at most ``max_train_rows`` vectors (a seeded
-        sample of a larger index; the model only places centroids) and assign
-        every vector of the index to its list."""
+              vec_col: str = "vector", seed: int = 42, max_iter: int = 20) -> "IVFIndex":
+        """Train the lists on every vector (k-means is distributed; only
+        centroids reach the driver) and assign every vector to its list."""
         unit = index.select(F.col(id_col).cast("long").alias("id"),
                             F.col(vec_col).alias("vec")).where(F.col("vec").isNotNull())
         feats = unit.withColumn("features", array_to_vector(l2_normalize("vec")))
-        if train_fraction is None:
-            n = unit.count()
-            train_fraction = None if n <= max_train_rows else max_train_rows / n
-        train = feats.sample(fraction=train_fraction, seed=seed) if train_fraction else feats
         model = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="features",
-                       predictionCol="list_id").fit(train)
+                       predictionCol="list_id").fit(feats)
         cents = np.asarray(model.clusterCenters(), dtype=np.float64)
         assigned = (model.transform(feats).select("id", "vec", F.col("list_id").cast("int")))
         return cls(assigned, cents, dim)
@@ -59,6 +56,8 @@ class IVFIndex:
         dynamic partition pruning) plus the centroid table."""
         spark = self.assigned.sparkSession
         self.assigned.write.mode("overwrite").partitionBy("list_id").parquet(path + "/lists")
+        (spark.read.parquet(path + "/lists").groupBy(F.col("list_id").cast("int").alias("list_id"))
+         .agg(F.count(F.lit(1)).alias("n_c")).coalesce(1).write.mode("overwrite").parquet(path + "/sizes"))
         self.centroid_table(spark).write.mode("overwrite").parquet(path + "/centroids")
 
     @classmethod
@@ -67,31 +66,30 @@ class IVFIndex:
         cents = spark.read.parquet(path + "/centroids").orderBy("id").collect()
         assigned = spark.read.parquet(path + "/lists").select(
             "id", "vec", F.col("list_id").cast("int"))
-        return cls(assigned, np.asarray([c["vector"] for c in cents], dtype=np.float64), dim)
+        return cls(assigned, np.asarray([c["vector"] for c in cents], dtype=np.float64), dim,
+                   spark.read.parquet(path + "/sizes"))
 
     def centroid_table(self, spark) -> DataFrame:
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         return spark.createDataFrame(rows, "id long, vector array<double>")
 
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4, *,
-               qid_col: str = "qid", qvec_col: str = "qvec",
-               query_block_rows: int = 4096, corpus_block_rows: int = 200_000) -> DataFrame:
+    def sides(self, queries: DataFrame, k: int = 10, nprobe: int = 4, *,
+              qid_col: str = "qid", qvec_col: str = "qvec",
+              query_block_rows: int = 4096, corpus_block_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
+        """Query rows and corpus rows of the probed lists, by block. Everything
+        starts from the probed lists: the corpus side joins them on the folder
+        column, so a saved index is read for those lists only."""
         spark = queries.sparkSession
         q = queries.select(F.col(qid_col).cast("long").alias("qid"),
                            F.col(qvec_col).alias("qvec"), F.lit(k).alias("k"))
         probes = topk.knn(self.centroid_table(spark), q, self.dim, min(nprobe, len(self.centroids)),
                           qid_col="qid", qvec_col="qvec")
         qp = q.join(probes.select("qid", F.col("id").cast("int").alias("list_id")), "qid")
-        list_sizes = self.assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_c"))
-        probe_sizes = qp.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_q"))
-        # one row per list: bounded by the number of lists
-        splits = (list_sizes.join(probe_sizes, "list_id", "full")
-                  .select("list_id",
-                          F.greatest(F.lit(1), F.ceil(F.coalesce("n_c", F.lit(0)) / corpus_block_rows))
-                          .cast("int").alias("cs"),
-                          F.greatest(F.lit(1), F.ceil(F.coalesce("n_q", F.lit(0)) / query_block_rows))
-                          .cast("int").alias("qs")))
-        splits = F.broadcast(splits)
+        # one row per probed list: bounded by the number of lists
+        splits = F.broadcast(cut_lineage(
+            qp.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_q")).join(self.sizes, "list_id")
+            .select("list_id", F.ceil(F.col("n_c") / corpus_block_rows).cast("int").alias("cs"),
+                    F.ceil(F.col("n_q") / query_block_rows).cast("int").alias("qs"))))
         qside = (qp.join(splits, "list_id")
                  .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("qs")).cast("int"))
                  .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))
@@ -100,6 +98,11 @@ class IVFIndex:
                  .withColumn("cb", F.pmod(F.xxhash64("id"), F.col("cs")).cast("int"))
                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
                  .select("list_id", "qb", "cb", "id", "vec"))
+        return qside, cside
+
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4, **options) -> DataFrame:
+        """Top ``k`` among the vectors of each query's ``nprobe`` lists."""
+        qside, cside = self.sides(queries, k, nprobe, **options)
         keys = ["list_id", "qb", "cb"]
         cands = (qside.groupBy(*keys).cogroup(cside.groupBy(*keys))
                  .applyInPandas(topk._block_kernel(self.dim, k, False), topk._CAND_SCHEMA))

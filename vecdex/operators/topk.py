@@ -33,10 +33,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecdex.functions.vectors import DIM_ERROR, arrow_matrix, normalize_rows, topk_columns
+from vecdex.functions.vectors import DIM_ERROR, arrow_matrix, finite_rows, normalize_rows, topk_columns
 
-# Per-query cap enforced by the search API (F2); the kernels keep this many
-# candidates when no explicit k is given.
+# Per-query cap of the search API (F2); the operators here know no cap.
 MAX_K = 50
 # Score rounding used for ranking and output (6 decimal places).
 SCORE_DECIMALS = 6
@@ -73,30 +72,27 @@ DEFAULT = SearchConfig()
 # numpy helpers
 # ---------------------------------------------------------------------------
 
-def _prune(qidx: np.ndarray, ids: np.ndarray, scores: np.ndarray,
-           k: int, slack: float = 2e-6):
-    """Keep, per query index, every candidate within ``slack`` of its k-th best
-    raw score (exact ranking happens in Spark afterwards)."""
+def _prune(qidx: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
+    """Exactly the first ``k`` per query index by (score desc, id asc)."""
     if len(qidx) == 0:
         return qidx, ids, scores
-    order = np.lexsort((-scores, qidx))
+    order = np.lexsort((ids, -scores, qidx))
     q, i, s = qidx[order], ids[order], scores[order]
     starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-    sizes = np.diff(np.r_[starts, len(q)])
-    kth_pos = starts + np.minimum(sizes, k) - 1
-    kth = np.repeat(s[kth_pos], sizes)
-    keep = s >= kth - slack
+    place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+    keep = place < k
     return q[keep], i[keep], s[keep]
 
 
 def _score_block(cmat: np.ndarray, cids: np.ndarray, qmat: np.ndarray, k: int):
-    """All (corpus row, query) cosine scores of one block, reduced to the
-    top-k candidates per query. Returns (query_index, id, score)."""
+    """All (corpus row, query) cosine scores of one block, rounded as they are
+    ranked and reduced to exactly the top k per query. Returns (query_index, id,
+    score)."""
     out_q, out_i, out_s = [], [], []
     n = max(len(cmat), 1)
     step = max(1, _CELL_BUDGET // n)
     for a in range(0, len(qmat), step):
-        s = cmat @ qmat[a:a + step].T
+        s = np.round(cmat @ qmat[a:a + step].T, SCORE_DECIMALS) + 0.0
         r, c, sc = topk_columns(s, cids, k)
         out_q.append(c + a)
         out_i.append(cids[r])
@@ -121,12 +117,15 @@ def _broadcast_kernel(bq, id_col: str, vec_col: str, dim: int, kmax: int,
                 continue
             ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
             m = arrow_matrix(rb.column(vec_col), dim)
+            ok = finite_rows(m)
+            if not ok.all():
+                ids, m = ids[ok], m[ok]
             if not normalized:
                 m = normalize_rows(m)
             q, i, s = _score_block(m, ids, qmat, kmax)
             acc_q.append(q), acc_i.append(i), acc_s.append(s)
             held += len(q)
-            if held > 4 * len(qids) * kmax + 100_000:
+            if held > 2 * len(qids) * kmax + 100_000:
                 q, i, s = _prune(np.concatenate(acc_q), np.concatenate(acc_i),
                                  np.concatenate(acc_s), kmax)
                 acc_q, acc_i, acc_s, held = [q], [i], [s], len(q)
@@ -141,6 +140,13 @@ def _broadcast_kernel(bq, id_col: str, vec_col: str, dim: int, kmax: int,
     return run
 
 
+def _stacked(column: pd.Series, dim: int) -> np.ndarray:
+    widths = column.map(len)
+    if (widths != dim).any():
+        raise ValueError(f"{DIM_ERROR}{widths[widths != dim].iloc[0]}")
+    return np.stack(column.to_numpy()).astype(np.float64)
+
+
 def _block_kernel(dim: int, kmax: int, normalized: bool):
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"),
@@ -151,13 +157,12 @@ def _block_kernel(dim: int, kmax: int, normalized: bool):
         cpdf = cpdf[cpdf["vec"].notna()]
         if len(qpdf) == 0 or len(cpdf) == 0:
             return empty
-        qmat = normalize_rows(np.stack(qpdf["qvec"].to_numpy()).astype(np.float64))
-        cmat = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
-        if cmat.shape[1] != dim:
-            raise ValueError(f"{DIM_ERROR}{cmat.shape[1]}")
+        qmat, cmat = _stacked(qpdf["qvec"], dim), _stacked(cpdf["vec"], dim)
+        q_ok, c_ok = finite_rows(qmat), finite_rows(cmat)
+        qpdf, qmat, cmat = qpdf[q_ok], normalize_rows(qmat[q_ok]), cmat[c_ok]
         if not normalized:
             cmat = normalize_rows(cmat)
-        cids = cpdf["id"].to_numpy(dtype=np.int64)
+        cids = cpdf["id"].to_numpy(dtype=np.int64)[c_ok]
         q, i, s = _score_block(cmat, cids, qmat, kmax)
         q, i, s = _prune(q, i, s, kmax)
         return pd.DataFrame({"qid": qpdf["qid"].to_numpy(dtype=np.int64)[q], "id": i,
@@ -170,6 +175,13 @@ def _block_kernel(dim: int, kmax: int, normalized: bool):
 # public operators
 # ---------------------------------------------------------------------------
 
+def _check_queries(null_limits: int, repeated: int) -> None:
+    if null_limits:
+        raise ValueError("per-query k must not be null")
+    if repeated:
+        raise ValueError("qid must be unique")
+
+
 def rank_candidates(cands: DataFrame, kmax: int) -> DataFrame:
     """Final exact ranking of kernel candidates: rank by rounded score desc,
     id asc; keep rank <= kmax (WindowGroupLimit) then rank <= per-query k."""
@@ -188,39 +200,44 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
         index_normalized: bool = False, config: SearchConfig = DEFAULT) -> DataFrame:
     """K2: exact cosine top-k for every query row.
 
-    ``queries`` holds (qid, qvec[, k_col]). Per-query limits are taken from
-    ``k_col`` (already validated/clamped, see search.effective_limit) and are
-    capped by ``k`` when no column is given. Output: qid, rank, id, score."""
+    ``queries`` holds (qid, qvec[, k_col]), one row per qid. Limits are those of
+    ``k_col`` where it is given (they must not be null) and ``k`` otherwise; the
+    operator sets no cap of its own. Vectors that are null or hold a non-finite
+    number are not ranked, as index rows or as queries. A qid that stands twice
+    raises, on either path. Output: qid, rank, id, score."""
     spark = index.sparkSession
     qk = F.col(k_col).cast("int") if k_col else F.lit(k).cast("int")
     qsel = queries.select(F.col(qid_col).cast("long").alias("qid"),
                           F.col(qvec_col).alias("qvec"), qk.alias("k"))
     csel = index.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    kmax = MAX_K if k_col else k
-
     max_rows = max(1, config.broadcast_bytes // (8 * dim))
     # bounded collect: at most max_rows + 1 rows ever reach the driver; the
     # size decision is taken on the raw row count (nulls included) so no
     # query beyond the cap can be lost
     raw = qsel.limit(max_rows + 1).toArrow()
     if raw.num_rows <= max_rows:
+        qids = raw.column("qid").to_numpy(zero_copy_only=False)
+        _check_queries(raw.column("k").null_count, raw.num_rows - len(np.unique(qids)))
         small = raw.filter(pc.is_valid(raw.column("qvec")))
-        qids = small.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)
-        ks = small.column("k").to_numpy(zero_copy_only=False).astype(np.int32)
-        if small.num_rows and len(small.column("k").drop_null()) != small.num_rows:
-            raise ValueError("per-query k must not be null")
-        if small.num_rows == 0:
+        vectors = arrow_matrix(small.column("qvec"), dim)
+        ok = finite_rows(vectors)
+        qids = small.column("qid").to_numpy(zero_copy_only=False).astype(np.int64)[ok]
+        ks = small.column("k").to_numpy(zero_copy_only=False).astype(np.int32)[ok]
+        if not len(qids):
             return spark.createDataFrame([], "qid long, rank int, id long, score double")
-        kmax = int(min(kmax, ks.max()))
-        qmat = normalize_rows(arrow_matrix(small.column("qvec"), dim))
-        bq = spark.sparkContext.broadcast((qids, ks, qmat))
+        kmax = int(ks.max())
+        bq = spark.sparkContext.broadcast((qids, ks, normalize_rows(vectors[ok])))
         cands = csel.mapInArrow(
             _broadcast_kernel(bq, "id", "vec", dim, kmax, index_normalized), _CAND_SCHEMA)
         out = rank_candidates(cands, kmax)
-        out.rows_bound = int(min(ks.astype(np.int64).clip(0, kmax).sum(), len(qids) * kmax))
+        out.rows_bound = int(ks.astype(np.int64).clip(0).sum())
         return out
     else:
-        n_q = qsel.count()
+        seen = qsel.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"),
+                        F.sum(F.col("k").isNull().cast("int")).alias("nulls")).first()
+        twice = qsel.groupBy("qid").count().where("count > 1").limit(1).count()
+        _check_queries(seen["nulls"], twice)
+        n_q, kmax = seen["n"], seen["k"]
         n_c = csel.count()
         q_rows, c_rows = config.block_rows(dim)
         qn = max(1, math.ceil(n_q / q_rows))

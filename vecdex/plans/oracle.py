@@ -366,27 +366,23 @@ WHERE (nts IS NULL OR nts >= ts + INTERVAL 1 HOUR)
 
 
 def _replay_sql(m: int, window: float) -> str:
-    """Sequential limiter replay per user as a recursive CTE (same double
-    arithmetic as the Spark replay: t = max(arrival, last admit); stamps
-    older than t - w dropped; with m or more left, admit = t + (w - (t - oldest)))."""
-    w = repr(float(window))
-    t = "greatest(e.arrival, coalesce(r.admitted, e.arrival))"
-    kept = f"list_filter(r.stamps, lambda x: NOT (x < {t} - {w}))"
-    wait = f"({w} - ({t} - {kept}[1]))"
-    admit = f"(CASE WHEN len({kept}) >= {m} AND {wait} > 0 THEN {t} + {wait} ELSE {t} END)"
+    """Start times per user as a recursive CTE in integer microseconds: the
+    latest of the arrival, the start before, and the start m calls before plus
+    the window."""
+    w = round(window * 1_000_000)
+    start = f"greatest(e.us, coalesce(r.last[{m}], e.us), coalesce(r.last[1] + {w}, e.us))"
     return f"""
 WITH RECURSIVE ev AS (
-  SELECT event_id, user_id, CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS arrival,
+  SELECT event_id, user_id, epoch_us(ts) AS us,
          row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS i
   FROM events),
-r(user_id, i, event_id, arrival, admitted, stamps) AS (
-  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
-         CAST(NULL AS DOUBLE), CAST([] AS DOUBLE[]) FROM ev
+r(user_id, i, event_id, us, start, last) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(NULL AS BIGINT), CAST([{', '.join(['NULL'] * m)}] AS BIGINT[]) FROM ev
   UNION ALL
-  SELECT e.user_id, e.i, e.event_id, e.arrival, {admit},
-         list_filter(list_append({kept}, {admit}), lambda x: NOT (x < {admit} - {w}))
+  SELECT e.user_id, e.i, e.event_id, e.us, {start}, list_append(r.last[2:], {start})
   FROM r JOIN ev e ON e.user_id = r.user_id AND e.i = r.i + 1)
-SELECT event_id, user_id, arrival, admitted, admitted - arrival AS delay
+SELECT event_id, user_id, us / 1e6 AS arrival, start / 1e6 AS admitted, (start - us) / 1e6 AS delay
 FROM r WHERE i > 0"""
 
 

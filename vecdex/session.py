@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="vecdex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -83,16 +86,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def balance(df: DataFrame) -> DataFrame:
-    """Spread a frame over at least the cluster's parallelism before CPU-heavy
-    row work (embedding, scoring). A large scan already has far more splits
-    than cores and is returned unchanged; only a small input (few files or
-    row groups) is redistributed, by round robin."""
+    """Spread a small file scan over the cluster before CPU-heavy row work
+    (embedding, scoring). Only the plan and the files' sizes are looked at, no
+    job is started: inputs that need a shuffle anyway, are not files, or hold
+    more bytes than one split per core are returned unchanged."""
+    plan = df._jdf.queryExecution().optimizedPlan()
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    split = 4 << 20
+    if not df.inputFiles() or any(x in plan.toString() for x in ("Join", "Aggregate", "Sort", "Repartition", "Window")):
+        return df
+    if int(plan.stats().sizeInBytes()) >= want * split:
         return df
     return df.repartition(want)
 
 
+def within_bytes(df: DataFrame, limit: int = 32 << 20) -> bool:
+    """Whether all rows of ``df`` written out take at most ``limit`` bytes; the
+    check before a broadcast."""
+    written = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    return (df.agg(F.sum(written.cast("long"))).first()[0] or 0) <= limit
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint,
     survives executor loss) and return the re-read frame."""

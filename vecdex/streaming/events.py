@@ -92,35 +92,19 @@ def rate_audit(events: DataFrame, key: str, ts: str, window_seconds: float, max_
 # ST4 limiter replay (sequential per key -> state)
 # ---------------------------------------------------------------------------
 
-def limiter_step(stamps: list[float], arrival: float, max_per_window: int,
-                 window: float = 1.0) -> tuple[float, list[float]]:
-    """One call of the rate limiter: drop stamps older than ``arrival -
-    window`` (strictly older; a stamp exactly ``window`` old stays); when
-    ``max_per_window`` or more remain, wait until the oldest + window.
-    Returns (admit time, new stamps)."""
-    kept = [s for s in stamps if not s < arrival - window]
-    admit = arrival
-    if len(kept) >= max_per_window:
-        wait = window - (arrival - kept[0])
-        if wait > 0:
-            admit = arrival + wait
-    return admit, kept + [admit]
-
-
-def replay(arrivals: np.ndarray, max_per_window: int, window: float = 1.0,
-           stamps: list[float] | None = None) -> tuple[np.ndarray, list[float]]:
-    """Admit times for calls that arrive at ``arrivals`` (sorted). A call
-    cannot start before the previous one was admitted (single caller)."""
-    stamps = list(stamps or [])
-    out = np.empty(len(arrivals))
-    last = -np.inf if not stamps else stamps[-1]
-    for i, t in enumerate(arrivals):
-        t = max(float(t), last)
-        admit, stamps = limiter_step(stamps, t, max_per_window, window)
-        # keep the state bounded: only stamps that can still matter
-        stamps = [s for s in stamps if not s < admit - window]
-        out[i], last = admit, admit
-    return out, stamps
+def admissions(arrivals: np.ndarray, recent: list[int], most: int, window: int) -> tuple[np.ndarray, list[int]]:
+    """Start times (integer microseconds) of one key's calls, given in order of
+    arrival. A call starts at the latest of three times: its arrival, the start
+    of the call before it, and ``window`` after the start of the call ``most``
+    places before it. ``recent`` holds the last ``most`` starts so far; the new
+    ones are returned with them."""
+    starts = list(recent)
+    for t in arrivals.tolist():
+        earliest = [t, *starts[-1:]]
+        if len(starts) >= most:
+            earliest.append(starts[-most] + window)
+        starts.append(max(earliest))
+    return np.array(starts[len(recent):], np.int64), starts[-most:]
 
 
 REPLAY_SCHEMA = "event_id long, user_id long, arrival double, admitted double, delay double"
@@ -129,35 +113,32 @@ REPLAY_SCHEMA = "event_id long, user_id long, arrival double, admitted double, d
 def limiter_replay_stream(events: DataFrame, key: str, ts: str, id_col: str,
                           max_per_window: int, window_seconds: float = 1.0,
                           watermark: str = "10 minutes") -> DataFrame:
-    """ST4 replay as a stateful stream: per key, a bounded list of recent
-    admit times is the only state; rows of one micro-batch are replayed in
-    time order; a key's state expires (event-time timeout) once the
-    watermark is past its last stamp + window. Output: one row per event
-    with its admit time and delay."""
-    src = (events.withColumn("_ts", event_time(events, ts))
-           .withWatermark("_ts", watermark)
+    """ST4 as a stateful stream: when each call may start if at most
+    ``max_per_window`` start in any window. State is the last
+    ``max_per_window`` start times of a key and expires by event time once they
+    are a window old. Events later than the watermark are dropped by Spark. One
+    row per event: its arrival, start and delay in seconds."""
+    us, window = 1_000_000, round(window_seconds * 1_000_000)
+    src = (events.withColumn("_ts", event_time(events, ts)).withWatermark("_ts", watermark)
            .select(F.col(id_col).alias("event_id"), F.col(key).alias("user_id"), "_ts",
-                   (F.unix_micros("_ts") / _US).alias("arrival")))
+                   F.unix_micros("_ts").alias("us")))
 
-    def fn(k, pdfs, state):
+    def step(k, chunks, state):
         if state.hasTimedOut:
-            # the watermark passed every stamp of this key: its state is idle
             state.remove()
             return
-        stamps = list(state.get[0]) if state.exists else []
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["arrival", "event_id"])
-        if len(pdf) == 0:
+        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["us", "event_id"])
+        if rows.empty:
             return
-        adm, stamps = replay(pdf["arrival"].to_numpy(dtype=np.float64), max_per_window,
-                             window_seconds, stamps)
-        state.update((stamps,))
-        state.setTimeoutTimestamp(int((adm[-1] + window_seconds) * 1000) + 1)
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": k[0],
-                            "arrival": pdf["arrival"].to_numpy(), "admitted": adm,
-                            "delay": adm - pdf["arrival"].to_numpy()})
+        arrived = rows["us"].to_numpy(np.int64)
+        starts, recent = admissions(arrived, list(state.get[0]) if state.exists else [], max_per_window, window)
+        state.update((recent,))
+        state.setTimeoutTimestamp((recent[-1] + window) // 1000 + 1)
+        yield pd.DataFrame({"event_id": rows["event_id"].to_numpy(), "user_id": k[0], "arrival": arrived / us,
+                            "admitted": starts / us, "delay": (starts - arrived) / us})
 
     return src.groupBy("user_id").applyInPandasWithState(
-        fn, REPLAY_SCHEMA, "stamps array<double>", "append", GroupStateTimeout.EventTimeTimeout)
+        step, REPLAY_SCHEMA, "starts array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def debounce_stream(events: DataFrame, key: str, ts: str, gap: str, *,
