@@ -14,8 +14,12 @@ listed group by group:
    pair per member. Confirmed links merge classes into components, and buckets
    that hold a single component are done, a large group of near copies among
    them. Each round takes other leaders;
-3. in buckets that still hold several components, pairs across components (and
-   only those) are met exactly, in hash blocks, so no link is lost.
+3. in buckets that still hold several components the remaining links are found
+   exactly. Up to ``SMALL`` members, a join meets pairs across components only.
+   Larger buckets are cut into hash blocks of bounded size; a task takes two
+   blocks, counts common shingles by matrix products and emits no more than a
+   spanning forest of the links. Members of the bucket's largest component are
+   not met with each other. No link is lost, and no list of pairs is made.
 
 Proposals must first agree on at least ``SKETCH_AGREE`` of 192 one-bit sketch
 positions, which pairs at the threshold fail with probability below 1e-7.
@@ -30,6 +34,7 @@ from collections.abc import Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +46,9 @@ from vecdex.session import cut_lineage
 WORDS, PERCENT = 5, 85
 BANDS, BAND_PERMS = 32, 3
 PERMS = BANDS * BAND_PERMS
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+#: members of a bucket whose cross pairs a join may meet; members and shingles of a block beyond that
+SMALL, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
 #: of 2 * PERMS sketch bits; at similarity 0.85 they agree on 177.6 +- 3.7
 SKETCH_AGREE = 156
 #: ids up to this many are broadcast (16 bytes each), larger sets are joined by shuffle
@@ -221,19 +228,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = cut_lineage(entries.join(shared, "bucket"))
     heads = cut_lineage(entries.select(F.col("head").alias("id")).distinct())
     sets = cut_lineage(_sets(docs, heads, id_col, text_col).dropDuplicates(["id"]))
-    links, tested = [], []
+    links = []
     comp = heads.select("id", F.col("id").alias("component"))
     for k in range(STAR_ROUNDS + 1):
         open_entries = _unresolved(entries, comp)
         if open_entries.isEmpty():
             break
-        pairs = _star_pairs(open_entries, k) if k < STAR_ROUNDS else _cross_pairs(open_entries)
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        tested.append(pairs)
-        links.append(cut_lineage(confirmed(pairs, sets)))
-        comp = cut_lineage(components(heads, reduce(DataFrame.unionByName, links)))
+        if k < STAR_ROUNDS:
+            links.append(cut_lineage(confirmed(_star_pairs(open_entries, k), sets)))
+            comp = cut_lineage(components(heads, reduce(DataFrame.unionByName, links)))
+        else:
+            links.append(cut_lineage(confirmed(_cross_pairs(open_entries.where(F.col("members") <= SMALL)), sets)
+                                     .unionByName(_block_links(open_entries.where(F.col("members") > SMALL), sets))))
     every = reduce(DataFrame.unionByName, [same, *links])
     nodes = named.select("id").distinct()
     found = components(nodes, every)
@@ -246,8 +252,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _unresolved(entries: DataFrame, comp: DataFrame) -> DataFrame:
     """Entries, with their component, of the buckets that hold several."""
     marked = entries.join(comp.withColumnRenamed("id", "head"), "head")
-    several = marked.groupBy("bucket").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi")).where("__lo <> __hi")
-    return cut_lineage(marked.join(several.select("bucket"), "bucket"))
+    several = marked.groupBy("bucket").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi"),
+                                           F.count(F.lit(1)).alias("members")).where("__lo <> __hi")
+    return cut_lineage(marked.join(several.select("bucket", "members"), "bucket"))
 
 
 def _star_pairs(entries: DataFrame, k: int) -> DataFrame:
@@ -268,6 +275,86 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
             .select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct())
 
 
+def _blocks(rows: str, size: str) -> Column:
+    return F.ceil(F.greatest(F.col(rows) / BLOCK_ROWS, F.col(size) / BLOCK_SHINGLES)).cast("int")
+
+
+def _block_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links across the components of large buckets, from pairs of blocks. The
+    core (a bucket's largest component) meets the rest only."""
+    parts = entries.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
+    core = parts.groupBy("bucket").agg(
+        F.max(F.struct("rows", "component", "size")).alias("core"), F.sum("rows").alias("all_rows"), F.sum("size").alias("all_size"))
+    plan = (core.withColumn("core_rows", F.col("core.rows")).withColumn("core_size", F.col("core.size"))
+            .withColumn("rest_rows", F.col("all_rows") - F.col("core_rows")).withColumn("rest_size", F.col("all_size") - F.col("core_size"))
+            .select("bucket", F.col("core.component").alias("core"), _blocks("core_rows", "core_size").alias("cores"),
+                    _blocks("rest_rows", "rest_size").alias("rests")))
+    rows = entries.select("bucket", "head", "component").join(plan, "bucket").withColumn("in_core", F.col("component") == F.col("core"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("head"), F.when(F.col("in_core"), F.col("cores")).otherwise(F.col("rests"))).cast("int"))
+    meets = F.when(F.col("in_core"), F.expr("transform(sequence(0, rests - 1), i -> struct(i AS x, block AS y, true AS c))")).otherwise(
+        F.expr("""concat(transform(sequence(0, rests - 1), i -> struct(least(i, block) AS x, greatest(i, block) AS y, false AS c)),
+                         transform(sequence(0, cores - 1), i -> struct(block AS x, i AS y, true AS c)))"""))
+    rows = rows.select("bucket", F.col("head").alias("id"), "component", "in_core", "block", F.explode(meets).alias("meet"))
+    kind = dict(entries.dtypes)["head"]
+    return (rows.select("bucket", "id", "component", "in_core", "block", "meet.x", "meet.y", "meet.c").join(sets, "id")
+            .groupBy("bucket", "x", "y", "c").applyInPandas(_linked, f"a {kind}, b {kind}"))
+
+
+def _linked(rows: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between two blocks."""
+    if rows["c"].iloc[0]:
+        left, right = rows[~rows["in_core"]], rows[rows["in_core"]]
+    else:
+        left, right = rows[rows["block"] == rows["x"]], rows[rows["block"] == rows["y"]]
+    common = common_shingles(left["hashes"].to_list(), right["hashes"].to_list())
+    sizes = [side["hashes"].map(len).to_numpy() for side in (left, right)]
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    linked = (100 * common >= PERCENT * union) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
+    edges = spanning_edges(linked)
+    return pd.DataFrame({"a": left["id"].to_numpy()[edges[:, 0]], "b": right["id"].to_numpy()[edges[:, 1]]})
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1
+    matrices over a bounded number of shingles at a time."""
+    flat = [np.concatenate(side) if side else np.zeros(0, np.int64) for side in (left, right)]
+    owner = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    shared = np.intersect1d(flat[0], flat[1])
+    out = np.zeros((len(left), len(right)), np.int64)
+    column = []
+    for k in range(2):
+        keep = np.isin(flat[k], shared)
+        owner[k] = owner[k][keep]
+        column.append(np.searchsorted(shared, flat[k][keep]))
+    for at in range(0, len(shared), width):
+        matrix = []
+        for k, side in enumerate((left, right)):
+            here = (column[k] >= at) & (column[k] < at + width)
+            m = np.zeros((len(side), min(width, len(shared) - at)), np.float32)
+            m[owner[k][here], column[k][here] - at] = 1
+            matrix.append(m)
+        out += (matrix[0] @ matrix[1].T).astype(np.int64)
+    return out
+
+
+def spanning_edges(linked: np.ndarray) -> np.ndarray:
+    """Edges that connect what the two-sided link matrix connects, fewer than rows and columns together."""
+    free_rows, free_columns, edges = np.ones(linked.shape[0], bool), np.ones(linked.shape[1], bool), []
+    for start in np.flatnonzero(linked.any(axis=1)):
+        if not free_rows[start]:
+            continue
+        free_rows[start] = False
+        todo = [(True, start)]
+        while todo:
+            is_row, k = todo.pop()
+            line, free = (linked[k], free_columns) if is_row else (linked[:, k], free_rows)
+            found = np.flatnonzero(line & free)
+            free[found] = False
+            edges += [(k, f) if is_row else (f, k) for f in found]
+            todo += [(not is_row, f) for f in found]
+    return np.array(edges, np.int64).reshape(-1, 2)
+
+
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with its
     smallest id, and every row without an id. Ids should be unique by now; rows
