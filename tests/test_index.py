@@ -152,4 +152,46 @@ def test_guard_states(spark):
     os.makedirs(os.path.join(local, "v=0"))
     with open(os.path.join(local, "v=0", "part-0.parquet"), "w") as f:
         f.write("not parquet")
-    assert index.VectorIndex(spark, bad).points_count() == 0
+    idx = index.VectorIndex(spark, bad)
+    assert idx.versions() == []                                  # never committed
+    open(os.path.join(local, "v=0", "_SUCCESS"), "w").close()    # committed, now unreadable
+    assert not idx.is_loaded()
+    kept = index.VectorIndex.create(pts, bad, 3)                 # create does not replace it
+    assert kept.versions() == [0]
+    with pytest.raises(Exception):
+        kept.read().count()
+
+
+def test_half_written_version_is_not_read(spark):
+    import os
+    path = scratch_path(spark, "g-half")
+    idx = index.VectorIndex.create(index.build_points(_corpus(spark), _vectors(spark), key="ordinal"), path, 3)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(os.path.join(local, "v=1"))
+    assert idx.current_version() == 0 and idx.points_count() == 5
+
+
+def test_zip_needs_the_same_keys(spark):
+    other = _vectors(spark).withColumn("ordinal", F.when(F.col("ordinal") == 10, 11).otherwise(F.col("ordinal")))
+    with pytest.raises(Exception, match="no counterpart"):
+        index.build_points(_corpus(spark), other, key="ordinal").count()
+
+
+def test_updates_settle_duplicates(spark):
+    path = scratch_path(spark, "g-dup")
+    pts = index.build_points(_corpus(spark), _vectors(spark), key="ordinal")
+    idx = index.VectorIndex.create(pts, path, 3)
+    one = idx.read().where("id = 1")
+    first, second = one.withColumn("title", F.lit("a")), one.withColumn("title", F.lit("b"))
+    idx.upsert(first.unionByName(first))                         # the same row twice is one row
+    assert [r.title for r in idx.read().where("id = 1").collect()] == ["a"]
+    with pytest.raises(Exception, match="several rows for key 1"):
+        idx.upsert(first.unionByName(second))
+    both = first.withColumn("n", F.lit(1)).unionByName(second.withColumn("n", F.lit(2)))
+    idx.upsert(both, seq_col="n")
+    assert [r.title for r in idx.read().where("id = 1").collect()] == ["b"] and idx.points_count() == 5
+    upd = spark.createDataFrame([(1, "/x", 1), (1, "/y", 2), (2, None, 1)], "id long, thumbnail_url string, n int")
+    idx.set_payload(upd, ["thumbnail_url"], seq_col="n")
+    assert idx.points_count() == 5 and idx.read().where("id = 1").first().thumbnail_url == "/y"
+    with pytest.raises(index.IndexError_, match="unique"):
+        index.VectorIndex.create(pts.withColumn("id", F.lit(7).cast("long")), scratch_path(spark, "g-twice"), 3)

@@ -169,3 +169,73 @@ def test_scroll_pages_cover_index(spark):
     assert seen == want
     pages = {r["id"]: r["page"] for r in search.page_numbers(docs, 40, predicate=pred).collect()}
     assert [pages[i] for i in want] == [n // 40 for n in range(len(want))]
+
+
+def _kernel_paths():
+    return [topk.DEFAULT, topk.SearchConfig(broadcast_bytes=1, query_block_rows=2, corpus_block_rows=40)]
+
+
+@pytest.mark.parametrize("config", _kernel_paths())
+def test_topk_hard_cases(spark, config):
+    """Zero queries, equal rows, non-finite rows, and limits above the API's cap."""
+    r = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(200, 4)))]
+    rows += [(1000 + i, [1.0, 1.0, 1.0, 1.0]) for i in range(100)]
+    rows += [(2000 + i, [float("nan"), 1.0, 1.0, 1.0]) for i in range(30)] + [(3000, None), (3001, [float("inf")] * 4)]
+    idx = spark.createDataFrame(rows, "id long, vector array<double>").repartition(4)
+    q = spark.createDataFrame([(1, [0.0] * 4, 10), (2, [1.0] * 4, 60), (3, [1.0, 0.0, 0.0, 0.0], 5), (4, [float("nan")] * 4, 3), (5, None, 2)],
+                              "qid long, qvec array<double>, lim int")
+    got = {}
+    for x in topk.knn(idx, q, 4, 100, k_col="lim", config=config).collect():
+        got.setdefault(x.qid, []).append((x.rank, x.id, x.score))
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v and np.isfinite(v).all()}
+    for qid, vec, k in ((1, np.zeros(4), 10), (2, np.ones(4) / 2, 60), (3, np.array([1.0, 0, 0, 0]), 5)):
+        want = sorted(((-round(float(u @ vec), 6) + 0.0, i) for i, u in unit.items()))[:k]
+        assert [(n, i) for n, i, _ in sorted(got[qid])] == [(n, i) for n, (_, i) in enumerate(want, 1)]
+    assert set(got) == {1, 2, 3}
+
+
+@pytest.mark.parametrize("config", _kernel_paths())
+def test_topk_rejects_bad_queries(spark, config):
+    idx = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<double>")
+    null = spark.createDataFrame([(1, [1.0, 0.0], None), (2, [1.0, 0.0], 1)], "qid long, qvec array<double>, lim int")
+    with pytest.raises(ValueError, match="must not be null"):
+        topk.knn(idx, null, 2, 5, k_col="lim", config=config)
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0])], "qid long, qvec array<double>")
+    with pytest.raises(ValueError, match="unique"):
+        topk.knn(idx, twice, 2, 5, config=config)
+
+
+def test_kernel_keeps_exactly_k():
+    from vecdex.functions.vectors import topk_columns
+    ids = np.random.default_rng(2).permutation(5000)
+    rows, cols, _ = topk_columns(np.zeros((5000, 3)), ids, 7)
+    assert len(rows) == 21 and all(set(ids[rows[cols == c]]) == set(range(7)) for c in range(3))
+
+
+def test_lists_search_reads_probed_lists_only(spark):
+    from vecdex.operators import ivf
+    from vecdex.session import scratch_path
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(500, 8)))]
+    idx = spark.createDataFrame(rows, "id long, vector array<double>")
+    path = scratch_path(spark, "ivf-probe")
+    ivf.IVFIndex.build(idx, 8, 16).save(path)
+    stored = ivf.IVFIndex.load(spark, path, 8)
+    q = spark.createDataFrame([(1, rows[3][1])], "qid long, qvec array<double>")
+    sizes = {x.list_id: x.n_c for x in stored.sizes.collect()}
+    _, corpus_side = stored.sides(q, 10, nprobe=2)
+    seen = corpus_side.groupBy("list_id").count().collect()
+    assert len(seen) == 2 and sum(x["count"] for x in seen) == sum(sizes[x.list_id] for x in seen) < 500
+    everything = {(x.rank, x.id) for x in stored.search(q, 10, nprobe=16).collect()}
+    assert everything == {(x.rank, x.id) for x in topk.knn(idx, q, 8, 10).collect()}
+
+
+def test_balance_starts_no_job(spark):
+    from vecdex.session import balance
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("balance-test", "")
+    balance(df)
+    assert not status.getJobIdsForGroup("balance-test")
+    spark.sparkContext.setJobGroup("", "")

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecdex.operators.index import needs_enrichment
+
 
 
 def best_matches(catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +68,7 @@ def enrich(points: DataFrame, catalogue: DataFrame, *, col: str = "thumbnail_url
     """F3 -> J5 -> F8 -> S10 over a points frame: only rows whose ``col`` is
     null are looked up; a found path fills ``col``; everything else is
     untouched. Idempotent: a second pass changes nothing."""
-    todo = points.where(F.col(col).isNull())
+    todo = needs_enrichment(points, col)
     found = (lookup(todo, catalogue, key=key, broadcast_rows=broadcast_rows, **kw)
              .where(F.col("poster_path").isNotNull())
              .select(key, F.col("poster_path").alias("_new")))

@@ -269,10 +269,8 @@ def a3_last_wins(spark, d):
     """Latest event per user (order: ts, then event_id), first position kept."""
     e = table(spark, d, "events")
     order = F.struct("ts", "event_id")
-    return (e.groupBy("user_id")
-            .agg(F.max_by(F.struct("event_id", "event_type", "value"), order).alias("_l"),
-                 F.min("event_id").alias("first_event_id"))
-            .select("user_id", "_l.event_id", "_l.event_type", "_l.value", "first_event_id"))
+    last = corpus.last_wins(e.select("user_id", "event_id", "event_type", "value", order.alias("ordinal")), "user_id")
+    return last.select("user_id", "event_id", "event_type", "value", F.col("ordinal.event_id").alias("first_event_id"))
 
 
 @register("a5_mean_pool")
@@ -340,16 +338,19 @@ def _part_delta(spark, d) -> DataFrame:
 @register("s8_upsert")
 def s8_upsert(spark, d):
     base = table(spark, d, "part")
-    return index.upserted(base, _part_delta(spark, d), "p_partkey", broadcast_rows=5_000_000)
+    delta = _part_delta(spark, d).withColumn("seq", F.lit(2))
+    stale = delta.withColumn("p_name", F.lit("stale")).withColumn("seq", F.lit(1))
+    latest = index.one_per_key(delta.unionByName(stale), "p_partkey", "seq").select(*base.columns)
+    return index.upserted(base, latest, "p_partkey")
 
 
 @register("s10_set_payload")
 def s10_set_payload(spark, d):
     base = table(spark, d, "part")
     upd = base.where(F.col("p_size") % 10 == 0).select(
-        "p_partkey", F.concat(F.col("p_brand"), F.lit("-new")).alias("p_brand"))
-    return index.with_payload_updates(base, upd, ["p_brand"], key="p_partkey",
-                                      broadcast_rows=5_000_000)
+        "p_partkey", F.concat(F.col("p_brand"), F.lit("-new")).alias("p_brand"), F.lit(2).alias("seq"))
+    stale = upd.withColumn("p_brand", F.lit("stale")).withColumn("seq", F.lit(1))
+    return index.with_payload_updates(base, upd.unionByName(stale), ["p_brand"], key="p_partkey", seq_col="seq")
 
 
 @register("s9_scroll")
@@ -410,10 +411,8 @@ def f4_enriched(spark, d):
     """S11 + F4 after one enrichment pass over the part points."""
     pts = enrich.enrich(_part_points(spark, d), _part_catalogue(spark, d))
     return pts.agg(F.count(F.lit(1)).alias("points_count"),
-                   F.coalesce(F.bool_or(F.col("thumbnail_url").isNotNull()),
-                              F.lit(False)).alias("any_enriched"),
-                   F.sum(F.when(F.col("thumbnail_url").isNull(), 1).otherwise(0))
-                   .alias("still_null"))
+                   index.any_set().alias("any_enriched"),
+                   F.sum(F.when(index.is_missing(), 1).otherwise(0)).alias("still_null"))
 
 
 # streaming and approximate queries register themselves on import

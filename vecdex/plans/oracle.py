@@ -387,3 +387,6 @@ FROM r WHERE i > 0"""
 
 
 SQL["st4_replay_stream"] = _replay_sql(2, 3600.0)
+
+# every list probed is the exact search
+SQL["k4_ivf_full"] = SQL["k2_topk"]

@@ -112,3 +112,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     survives executor loss) and return the re-read frame."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop file system and path object of ``path`` (any store Spark reads)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job finished writing ``path``. Errors other than a
+    missing path are raised, never taken as an answer."""
+    fs, where = _filesystem(spark, path.rstrip("/") + "/_SUCCESS")
+    return fs.exists(where)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``; none if it does not exist."""
+    fs, where = _filesystem(spark, path)
+    if not fs.exists(where):
+        return []
+    return [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _filesystem(spark, path)
+    fs.delete(where, True)

@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from vecdex.operators import search
-from vecdex.operators.index import VectorIndex
+from vecdex.operators.index import VectorIndex, one_per_key
 from vecdex.session import scratch_path
 
 
@@ -65,13 +65,16 @@ def search_stream_results(spark: SparkSession, queries: DataFrame, index: DataFr
 
 def run_ingest_stream(rows: DataFrame, idx: VectorIndex, embedder, text_col: str, *,
                       checkpoint: str, dim: int, available_now: bool = True,
-                      prepare=None):
+                      prepare=None, seq_col: str | None = None):
     """ST2: new corpus rows -> embed -> key upsert into the versioned index.
 
     ``prepare`` maps a micro-batch to index rows (id + payload + text) before
-    embedding. The first batch creates the index when none exists."""
+    embedding; of several rows for an id in a batch the highest ``seq_col``
+    wins (different rows without one raise). The first batch creates the index
+    when none exists."""
     def per_batch(bdf: DataFrame, batch_id: int) -> None:
         b = prepare(bdf) if prepare else bdf
+        b = one_per_key(b, "id", seq_col)
         pts = embedder.embed(b, text_col, "vector").drop(text_col)
         if not idx.versions():
             VectorIndex.create(pts, idx.path, dim)
