@@ -111,3 +111,14 @@ def test_corrupt_archive_fails(spark):
 def test_line_count_thousands(spark):
     p = _write("".join(f"{i}\tt\n" for i in range(1234)), "s.txt")
     assert tsv.line_count(tsv.text_lines(spark, p)).first()["label"] == "1,234"
+
+
+def test_line_order_over_files(spark, tmp_path):
+    """A small first file and a larger second one: the later file's row wins."""
+    (tmp_path / "a.tsv").write_text("k\told\n")
+    (tmp_path / "b.tsv").write_text("".join(f"x{i}\t{'y' * 50}\n" for i in range(500)) + "k\tnew\n")
+    lines = tsv.text_lines(spark, str(tmp_path))
+    rows = corpus.last_wins(tsv.summary_rows(lines), "movie_id")
+    assert rows.where("movie_id = 'k'").first().summary == "new"
+    first = rows.orderBy("ordinal").first()
+    assert first.movie_id == "k" and rows.count() == 501

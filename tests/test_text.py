@@ -105,3 +105,13 @@ def test_utf16_length_and_suggest(spark):
 def test_line_count_label(spark):
     assert one(spark, tx.line_count_label(F.col("n")), 1234, "n long") == "1,234"
     assert one(spark, tx.line_count_label(F.col("n")), 42306, "n long") == "42,306"
+
+
+def test_utf16_prefix(spark):
+    texts = [None, "", "abc", "a😀b😀", "😀" * 4, "é" * 9, "x" * 5 + "😀"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (1, 2, 3, 5, 6, 8):
+        got = [r[0] for r in df.select(tx.utf16_prefix("t", n)).collect()]
+        for t, g in zip(texts, got):
+            want = None if t is None else t.encode("utf-16-le")[:2 * n].decode("utf-16-le", "ignore")
+            assert g == want

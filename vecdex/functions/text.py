@@ -73,12 +73,23 @@ def prefix(c, n: int) -> Column:
     return F.substring(_c(c), 1, n)
 
 
+def utf16_prefix(c, n: int) -> Column:
+    """First ``n`` UTF-16 code units, as Java and JavaScript cut strings; a
+    surrogate pair that the cut would split is left out."""
+    c = _c(c)
+    units = F.encode(c, "UTF-16BE")
+    last = F.hex(F.substring(units, 2 * n - 1, 1))
+    end = F.when(last.between("D8", "DB"), 2 * n - 2).otherwise(2 * n)
+    cut = F.decode(F.substring(units, F.lit(1), end), "UTF-16BE")
+    return F.when(F.length(c) * 2 <= n, c).when(F.octet_length(units) <= 2 * n, c).otherwise(cut)
+
+
 def display_snippet(c, n: int = DISPLAY_CHARS, ellipsis: bool = False) -> Column:
-    """Null -> '' then first ``n`` code points; optional ellipsis."""
+    """Null -> '' then first ``n`` UTF-16 units; optional ellipsis."""
     s = F.coalesce(_c(c), F.lit(""))
     if not ellipsis:
-        return F.substring(s, 1, n)
-    return F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit("…"))).otherwise(s)
+        return utf16_prefix(s, n)
+    return F.when(utf16_length(s) > n, F.concat(utf16_prefix(s, n), F.lit("…"))).otherwise(s)
 
 
 def poster_url(path, base: str) -> Column:

@@ -118,11 +118,13 @@ class HashingEmbedder:
         return balance(df).withColumn(out_col, self.vector(text_col))
 
     def sparse(self, df: DataFrame, key: str, text_col: str) -> DataFrame:
-        """(key, pos, value) rows of the non-zero buckets (relational form)."""
-        v = self.embed(df.select(key, text_col), text_col, "_v")
-        # posexplode_outer: plain posexplode makes Catalyst infer a
-        # size(_v) > 0 filter and evaluate the embedding twice
-        return (v.select(key, F.posexplode_outer("_v").alias("pos", "value"))
+        """(key, pos, value) rows of the non-zero buckets, by column functions
+        alone: tokens are exploded, hashed in the JVM and added up per bucket
+        with map-side combine."""
+        each = df.select(key, F.explode(hash_tokens(text_col)).alias("_t")).withColumn("_h", F.md5("_t"))
+        bucket = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") % self.dim
+        sign = F.when(F.substring("_h", 9, 1) < "8", 1).otherwise(-1)
+        return (each.groupBy(key, bucket.cast("int").alias("pos")).agg(F.sum(sign).cast("float").alias("value"))
                 .where(F.col("value") != 0))
 
 

@@ -29,7 +29,7 @@ def dense_ids(df: DataFrame, order_by: str | list[str], out_col: str = "id",
     # a row hash breaks ties, so rows sharing one hot key value still spread
     # over several range partitions (and equal keys get a stable order)
     keys.append(F.xxhash64(*[F.col(c) for c in df.columns]))
-    n = num_partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mono", F.monotonically_increasing_id()))
     tagged = cut_lineage(tagged)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from vecdex.functions import text as tx
 from vecdex.functions import vectors as vx
 from vecdex.operators import corpus, embed, enrich, ids, index, search, topk
-from vecdex.session import ship_package
+from vecdex.session import scratch_path, ship_package
 from vecdex.sources.tables import embeddings_index, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,11 +66,19 @@ def conversation_queries(spark, d) -> DataFrame:
                     F.col("text").alias("query"), lim.cast("int").alias("limit"))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def text_index(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents")
-    emb = embed.HashingEmbedder(TEXT_DIM)
-    return emb.embed(docs.select(F.col("doc_id").alias("id"), "text", "lang", "source"),
-                     "text", "vector")
+    """The documents as a stored index: embedded and written once per session
+    and data directory, then read by every search."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+        path = scratch_path(spark, "text-index")
+        index.VectorIndex.create(embed.HashingEmbedder(TEXT_DIM).embed(docs, "text", "vector"), path, TEXT_DIM)
+        _STORED[key] = path
+    return index.VectorIndex(spark, _STORED[key]).read()
 
 
 def _part_points(spark, d) -> DataFrame:
@@ -218,7 +226,7 @@ def p2_json_values(spark, d):
 def p3_snippet(spark, d):
     return table(spark, d, "documents").select(
         "doc_id", tx.prefix("text", tx.SNIPPET_CHARS).alias("snippet"),
-        tx.prefix("text", tx.LOG_PREVIEW_CHARS).alias("preview"))
+        tx.utf16_prefix("text", tx.LOG_PREVIEW_CHARS).alias("preview"))
 
 
 @register("p4_display")

@@ -2,9 +2,10 @@
 
 Both corpus files are tab-separated text with no quoting, so they are read
 with the text source and split on tabs (never the CSV reader). Every line
-keeps an ``ordinal`` that follows file order: ``monotonically_increasing_id``
-taken directly on the scan increases with the byte offset of each split of a
-file. Dedupe rules downstream (last line wins, first position kept) rely on it.
+keeps an ``ordinal`` that follows file order: (file path, start of its split,
+``monotonically_increasing_id``). The id alone grows within a split only, since
+Spark packs splits of several files by size. Dedupe rules downstream (last
+line wins, first position kept) rely on it.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ CORPUS_MEMBERS = ("movie.metadata.tsv", "plot_summaries.txt")
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one or more text files: value, ordinal, source."""
-    return (spark.read.text(path)
-            .withColumn("ordinal", F.monotonically_increasing_id())
-            .withColumn("source", F.input_file_name()))
+    """Lines of one or more text files: value, ordinal, source. Files follow
+    each other by path."""
+    ordinal = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", ordinal.alias("ordinal"), F.col("_metadata.file_path").alias("source"))
 
 
 def _meta_parts(lines: DataFrame) -> DataFrame:
