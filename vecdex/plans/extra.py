@@ -7,10 +7,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from vecdex.operators import corpus, embed, ivf, topk
-from vecdex.operators.index import VectorIndex
+from vecdex.operators import corpus, embed, ivf, search, topk
+from vecdex.operators.index import VectorIndex, build_points
 from vecdex.plans.catalog import (DEBOUNCE_GAP, DEBOUNCE_GAP_S, EMB_DIM, RATE_MAX, RATE_WINDOW_S,
-                                  TEXT_DIM, register, text_index)
+                                  TEXT_DIM, conversation_queries, register, text_index)
 from vecdex.session import scratch_path
 from vecdex.sources import tsv
 from vecdex.sources.tables import embeddings_index, table
@@ -58,6 +58,22 @@ def s1_corpus_build(spark, d):
                       F.array_join("genres", "|").alias("genres"), "summary_snippet")
 
 
+@register("p7_movie_search")
+def p7_movie_search(spark, d):
+    """From corpus files to movie hits: S1/S2 -> J1 -> U5 -> S6/S7 -> U3 with
+    a year and genre pre-filter (F5) over the stored index -> P7 fields."""
+    mp, sp = write_corpus_files(spark, d)
+    rec = corpus.join_records(tsv.metadata_rows(tsv.text_lines(spark, mp)),
+                              tsv.summary_rows(tsv.text_lines(spark, sp)))
+    emb = embed.HashingEmbedder(TEXT_DIM)
+    points = build_points(emb.embed(rec, "summary_snippet", "vector"), order_by="ordinal").drop("ordinal")
+    stored = VectorIndex.create(points, scratch_path(spark, "movies"), TEXT_DIM)
+    wanted = (F.col("release_year") >= 1950) & F.array_contains("genres", "EN")
+    hits = search.search_hits(conversation_queries(spark, d), stored.read(), emb, TEXT_DIM, prefilter=wanted,
+                              payload=["title", "release_year", "genres", "summary_snippet", "thumbnail_url"])
+    return search.movie_hits(hits).withColumn("genres", F.array_join("genres", "|"))
+
+
 # ---------------------------------------------------------------------------
 # streaming
 # ---------------------------------------------------------------------------

@@ -73,12 +73,12 @@ def _u5(name: str, src: str, key: str, text: str) -> str:
 {name}_n AS (SELECT k, vec, greatest(sqrt(list_dot_product(vec, vec)), 1e-9) AS n FROM {name}_d)"""
 
 
-def _text_search(valid_cte: str) -> str:
+def _text_search(valid_cte: str, src: str = "documents", key: str = "doc_id", text: str = "text") -> str:
     """Hits (qid, rank, id, score) of the ``v`` CTE (qid, query, k) against the
-    hashed documents; helper CTEs only."""
+    hashed texts of ``src``; helper CTEs only."""
     return f"""{valid_cte},
 {_u5('q', 'v', 'qid', 'query')},
-{_u5('d', 'documents', 'doc_id', 'text')},
+{_u5('d', src, key, text)},
 sc AS (SELECT q.k AS qid, d.k AS id, round(list_dot_product(q.vec, d.vec) / (q.n * d.n), 6) AS score
        FROM q_n q, d_n d),
 rk AS (SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM sc),
@@ -335,6 +335,18 @@ SELECT CAST(m.doc_id AS VARCHAR) AS movie_id, m.source || ' #' || CAST(m.doc_id
 FROM m JOIN documents d ON d.doc_id = m.doc_id
 WHERE m.doc_id IN (SELECT doc_id FROM labels)"""
 
+_RECORDS = SQL["s1_corpus_build"].removeprefix("\nWITH ").replace(
+    "SELECT CAST(m.doc_id AS VARCHAR) AS movie_id", "SELECT m.doc_id, CAST(m.doc_id AS VARCHAR) AS movie_id")
+_M, _SELECT = _RECORDS.split("FROM documents)\n", 1)
+SQL["p7_movie_search"] = f"""
+WITH {_CQ}, {_M}FROM documents),
+rec AS ({_SELECT}),
+f AS (SELECT * FROM rec WHERE release_year >= 1950 AND list_contains(string_split(genres, '|'), 'EN')),
+{_text_search(_VALID, "f", "doc_id", "summary_snippet")}
+SELECT h.qid, h.rank, f.title, f.release_year AS year, f.genres, h.score, f.summary_snippet,
+       CAST(NULL AS VARCHAR) AS thumbnail_url
+FROM hits h JOIN f ON f.doc_id = h.id"""
+
 SQL["st1_stream_search"] = SQL["u3_search"]
 
 SQL["st2_ingest"] = f"""
