@@ -163,3 +163,11 @@ def test_stream_search_equals_batch(spark):
     streamed = st.search_stream_results(spark, q_stream, idx, embed.HashingEmbedder(32), 32)
     assert sorted(map(tuple, streamed.select(*batch.columns).collect())) == \
         sorted(map(tuple, batch.collect()))
+
+
+def test_debounce_needs_two_characters(spark):
+    df = spark.createDataFrame([(1, 1, 0, "a"), (2, 1, 5, "ab"), (3, 2, 0, " x "), (4, 3, 0, "xy")], "event_id int, user_id int, s int, q string")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    got = [r.event_id for r in ev.debounce(df, "user_id", "ts", 0.3, tie="event_id", query_col="q").collect()]
+    assert sorted(got) == [2, 4]
+    assert ev.debounce(df, "user_id", "ts", 0.3).count() == 4

@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from vecdex.functions.text import suggest_eligible
+
 _US = 1_000_000
+# length of a time bucket in spans: one row in about so many is copied as context
+BUCKET_SPANS = 16
 
 
 def event_micros(df: DataFrame, ts: str) -> Column:
@@ -58,28 +62,38 @@ def _with_context(df: DataFrame, us: Column, span_us: int, bucket_us: int,
             .withColumn("_b", F.col("_t.b")).withColumn("_own", F.col("_t.o")).drop("_t"))
 
 
+def _bucket(span_us: int, seconds: float | None) -> int:
+    return max(span_us, 1, BUCKET_SPANS * span_us if seconds is None else int(seconds * _US))
+
+
 def debounce(events: DataFrame, key: str, ts: str, gap_seconds: float, *,
-             tie: str | None = None, bucket_seconds: float = 3600.0) -> DataFrame:
+             tie: str | None = None, bucket_seconds: float | None = None,
+             query_col: str | None = None) -> DataFrame:
     """ST3 batch: keep a row when the next row of the same key (ordered by
-    ts, then ``tie``) is absent or at least ``gap_seconds`` later."""
+    ts, then ``tie``) is absent or at least ``gap_seconds`` later. With
+    ``query_col`` the kept rows must also be eligible for suggestions (two
+    UTF-16 units or more once trimmed). Buckets last ``BUCKET_SPANS`` gaps
+    unless ``bucket_seconds`` says otherwise."""
     gap_us = int(round(gap_seconds * _US))
-    bucket_us = max(gap_us, int(bucket_seconds * _US))
+    bucket_us = _bucket(gap_us, bucket_seconds)
     tagged = _with_context(events, event_micros(events, ts), gap_us, bucket_us, -1)
     order = [F.col("_us")] + ([F.col(tie)] if tie else [])
     w = Window.partitionBy(key, "_b").orderBy(*order)
     nxt = F.lead("_us").over(w)
     out = (tagged.withColumn("_next", nxt)
            .where(F.col("_own") & (F.col("_next").isNull() | (F.col("_next") >= F.col("_us") + gap_us))))
+    if query_col:
+        out = out.where(suggest_eligible(F.col(query_col)))
     return out.drop("_us", "_b", "_own", "_next")
 
 
 def rate_audit(events: DataFrame, key: str, ts: str, window_seconds: float, max_events: int,
-               *, bucket_seconds: float = 3600.0) -> DataFrame:
+               *, bucket_seconds: float | None = None) -> DataFrame:
     """ST4 audit: rows of the same key in the trailing window [ts - w, ts]
     (both ends inclusive, equal timestamps included) and whether that count
     exceeds ``max_events``."""
     w_us = int(round(window_seconds * _US))
-    bucket_us = max(w_us, int(bucket_seconds * _US))
+    bucket_us = _bucket(w_us, bucket_seconds)
     tagged = _with_context(events, event_micros(events, ts), w_us, bucket_us, +1)
     win = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-w_us, 0)
     out = (tagged.withColumn("n_window", F.count(F.lit(1)).over(win))
@@ -144,7 +158,9 @@ def limiter_replay_stream(events: DataFrame, key: str, ts: str, id_col: str,
 def debounce_stream(events: DataFrame, key: str, ts: str, gap: str, *,
                     tie: str = "event_id", watermark: str = "10 minutes") -> DataFrame:
     """ST3 stream: session windows of ``gap`` per key; the last event of a
-    session is the one a debouncer emits (ties broken by ``tie``)."""
+    session is the one a debouncer emits (ties broken by ``tie``). A session is
+    emitted once the watermark has passed it, so the last sessions of a stream
+    that ends stay in its state; events later than the watermark are dropped."""
     e = events.withColumn("_ts", event_time(events, ts)).withWatermark("_ts", watermark)
     cols = [c for c in events.columns if c != key]
     return (e.groupBy(F.col(key), F.session_window("_ts", gap))
