@@ -12,9 +12,9 @@ Before that stand plain counts: short texts and texts that consist mostly of
 repeated word triples fail.
 
 Everything is DataFrame functions. Common words are found by a mergeable
-frequent-items sketch per language (words that occur in more than one of
-20,000 places cannot be missed); frequencies are then counted exactly. Documents are
-never shuffled: only histograms of distinct texts and one row per language are.
+frequent-items sketch per language and word range (words that occur in more
+than one of 20,000 places cannot be missed); frequencies are then counted exactly. Documents
+are never shuffled: only histograms of distinct texts and one row per language are.
 """
 
 from __future__ import annotations
@@ -25,82 +25,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecdex.llm.common import fresh, words
-from vecdex.session import cut_lineage
+from vecdex.session import cut_lineage, scratch_path
 
 MIN_WORDS, MIN_TEXTS = 50, 20
 COMMON = 24
-SKETCH_ITEMS = 1 << 16
+SKETCH_ITEMS, SKETCH_PARTS = 1 << 13, 16
 #: limits of the distances: at any length, and per root of a word
-CLASS_LIMIT, WORD_LIMIT = (0.13, 1.0), (0.12, 1.75)
+CLASS_LIMIT, WORD_LIMIT = (0.13, 1.0), (0.12, 1.85)
 #: languages up to this many are broadcast, about 1 kB each
 BROADCAST_LANGUAGES = 4096
 CLASSES = ("lower", "upper", "digit", "space", "mark", "sign", "other")
-_MARKS, _SIGNS = ".,;:'\"!?()-", "#*$%&|<>"
+_MARKS, _SIGNS = "[.,;:'\"!?()-]", "[#*$%&|<>]"
+#: one letter for each of the commonest words
+_LETTERS = "abcdefghijklmnopqrstuvwx"
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 OUTPUTS = (*_BASE, "base_failed", "class_distance", "word_distance", "kept")
 
 
-def _without(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
-
-
-def _helpers(docs: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with its text and words under names of their own."""
-    names = {}
-    for stem in ("text", "words", "common", "line", "mask", "codes", "places"):
-        names[stem] = fresh(docs, stem)
-    return (docs.withColumn(names["text"], F.coalesce(F.col(text_col), F.lit("")))
-            .withColumn(names["words"], words(F.col(names["text"])))), names
-
-
-def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None = None) -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words`` (long).
+    n_repeat_words`` (long), and the words themselves under the name ``words_as``.
 
     Repeated triples: every window of three words gets a number whose high bits
     hash its words and whose low bits are its place. Sorted, equal windows stand
     side by side; the places they cover are counted once each."""
-    rows, n = _helpers(docs, text_col)
+    n = {stem: fresh(docs, stem) for stem in ("text", "words", "line", "mask", "codes", "beside", "places")}
     text, own = F.col(n["text"]), F.col(n["words"])
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     mask, codes, places = F.col(n["mask"]), F.col(n["codes"]), F.col(n["places"])
 
     def same(a: Column, b: Column) -> Column:
         return F.coalesce(a.bitwiseXOR(b).bitwiseAND(mask) == 0, F.lit(False))
 
-    rows = rows.withColumn("n_words", F.size(own).cast("long")).withColumn(n["line"], lines)
-    rows = rows.withColumn(n["mask"], F.expr("coalesce(-shiftleft(1L, int(ceil(log2(n_words + 2.0D)))), 0L)"))
-    coded = F.transform(own, lambda x, i: F.xxhash64(x, F.get(own, i + 1), F.get(own, i + 2)).bitwiseAND(mask)
-                        + i.cast("long"))
-    rows = rows.withColumn(n["codes"], F.sort_array(F.slice(coded, 1, F.greatest(F.size(own) - 2, F.lit(0)))))
-    repeated = F.filter(codes, lambda x, i: same(x, F.get(codes, i - 1)) | same(x, F.get(codes, i + 1)))
-    rows = rows.withColumn(n["places"], F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(F.bitwise_not(mask)))))
-    covered = F.transform(places, lambda x, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(places, i + 1) - x, F.lit(3).cast("long"))))
-    return (rows.withColumn("word_chars", F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"))
-            .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, _SIGNS, ""))).cast("long"))
+    three = F.lit(3).cast("long")
+    coded = F.transform(own, lambda x, i: F.xxhash64(x, F.get(own, i + 1), F.get(own, i + 2)).bitwiseAND(mask) + i.cast("long"))
+    beside = F.zip_with(codes, F.slice(codes, F.lit(2), F.size(codes)), lambda a, b: a.bitwiseXOR(b).bitwiseAND(mask) == 0)
+    # most texts repeat no triple and are done after one comparison per window
+    repeated = F.when(F.array_contains(n["beside"], True), F.filter(
+        codes, lambda x, i: same(x, F.get(codes, i - 1)) | same(x, F.get(codes, i + 1)))).otherwise(F.array().cast("array<bigint>"))
+    covered = F.transform(places, lambda x, i: F.least(three, F.coalesce(F.get(places, i + 1) - x, three)))
+    return (docs.withColumn(n["text"], F.coalesce(F.col(text_col), F.lit("")))
+            .withColumn(n["words"], words(text))
+            .withColumn("n_words", F.size(own).cast("long"))
+            .withColumn(n["line"], F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+            .withColumn(n["mask"], F.expr("coalesce(-shiftleft(1L, int(ceil(log2(n_words + 2.0D)))), 0L)"))
+            .withColumn(n["codes"], F.sort_array(F.slice(coded, 1, F.greatest(F.size(own) - 2, F.lit(0)))))
+            .withColumn(n["beside"], beside)
+            .withColumn(n["places"], F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(F.bitwise_not(mask)))))
+            .withColumn("word_chars", F.length(F.array_join(own, "")).cast("long"))
+            .withColumn("n_symbols", F.regexp_count(text, F.lit(_SIGNS)).cast("long"))
             .withColumn("n_dup_lines", (F.size(n["line"]) - F.size(F.array_distinct(n["line"]))).cast("long"))
             .withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x))
-            .select(*[F.col(c) for c in docs.columns], *_BASE))
-
-
-def class_counts(text: Column) -> Column:
-    """Characters per class, in the order of ``CLASSES``."""
-    size, letters, upper = F.length(text), _without(text, "\\p{L}+"), _without(text, "\\p{Lu}+")
-    digits = _without(text, "\\p{N}+")
-    space = size - F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))
-    marks = size - F.length(F.translate(text, _MARKS, ""))
-    signs = size - F.length(F.translate(text, _SIGNS, ""))
-    rest = F.greatest(F.lit(0), size - letters - digits - space - marks - signs)
-    return F.array(letters - upper, upper, digits, space, marks, signs, rest).cast("array<double>")
-
-
-def word_counts(spaced: Column, common: Column) -> Column:
-    """How often each common word occurs. ``spaced`` is the lower-cased text with
-    a blank on either side of every word."""
-    def times(w: Column) -> Column:
-        gone = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))
-        return (gone / (F.octet_length(w) + 2)).cast("double")
-    return F.transform(common, times)
+            .select(*[F.col(c) for c in docs.columns], *_BASE, *([own.alias(words_as)] if words_as else [])))
 
 
 def total(values: Column) -> Column:
@@ -112,79 +87,116 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     def term(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
     both = F.zip_with(p, q, lambda a, b: term(a, b) + term(b, a))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(both, F.lit(0.0), lambda s, x: s + x) / 2))
+    return F.sqrt(F.greatest(F.lit(0.0), total(both) / 2))
 
 
 def common_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``lang, common``: each language's commonest words that hold a letter."""
-    each = docs.select(F.col(lang_col).alias("lang"), F.explode(words(F.lower(F.col(text_col)))).alias("w"))
-    top = each.where(F.col("w").rlike("\\p{L}")).groupBy("lang").agg(
+    """``lang__, codes__``: each language's commonest words that hold a letter, as
+    a map from the word to its letter of ``_LETTERS``."""
+    each = docs.select(F.col(lang_col).alias("lang__"), F.explode(words(F.col(text_col))).alias("w"))
+    # a sketch per language and range of word hashes: more than one task merges a common language
+    parts = each.groupBy("lang__", F.pmod(F.xxhash64("w"), F.lit(SKETCH_PARTS)).alias("part")).agg(
         F.expr(f"approx_top_k(w, {4 * COMMON}, {SKETCH_ITEMS})").alias("top"))
-    ranked = F.array_sort(F.transform("top", lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("w"))))
-    return top.select("lang", F.transform(F.slice(ranked, 1, COMMON), lambda x: x["w"]).alias("common"))
-
+    found = parts.select("lang__", F.explode("top").alias("x")).where(F.col("x.item").rlike("\\p{L}"))
+    top = found.groupBy("lang__").agg(F.array_sort(F.collect_list(  # at most SKETCH_PARTS * 4 * COMMON words
+        F.struct((-F.col("x.count")).alias("n"), F.col("x.item").alias("w")))).alias("all__"))
+    ranked = F.slice("all__", 1, COMMON)
+    letters = F.array(*[F.lit(c) for c in _LETTERS])
+    return (top.withColumn("ranked__", ranked).where(F.size("ranked__") > 0)
+            .select("lang__", F.map_from_arrays(F.transform("ranked__", lambda x: x["w"]),
+                                                F.slice(letters, F.lit(1), F.size("ranked__"))).alias("codes__")))
+
+
+def _with_language(docs: DataFrame, side: DataFrame, lang_col: str) -> DataFrame:
+    """``docs`` with their language's row of ``side``, which is broadcast while
+    it is small and else joined by a shuffle."""
+    few = side.count() <= BROADCAST_LANGUAGES
+    return docs.join(F.broadcast(side) if few else side, F.col(lang_col).eqNullSafe(side["lang__"]), "left")
+
+
+def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` with the base counts, ``text_id__``, and both histograms as
+    counts: ``words__`` (commonest words, then all others) and ``classes__``.
+
+    A document's common words become a string of one letter each, in which the
+    letters are then counted."""
+    top = cut_lineage(common_words(docs, text_col, lang_col))
+    rows = _with_language(base_counts(docs, text_col, "own__"), top, lang_col)
+    text = F.col("text__")
+    known = F.transform(F.array(*[F.lit(c) for c in _LETTERS]),
+                        lambda c: (F.length("hits__") - F.length(F.replace(F.col("hits__"), c, F.lit("")))).cast("double"))
+
+    def gone(pattern: str) -> Column:
+        return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
-def _with_histograms(docs: DataFrame, refs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``docs`` joined with its language's row of ``refs`` and its own shares.
-    ``refs`` is broadcast while it is small, else joined by a shuffle."""
-    few = refs.count() <= BROADCAST_LANGUAGES
-    side = F.broadcast(refs) if few else refs
-    rows = docs.join(side, F.col(lang_col).eqNullSafe(side["lang__"]), "left")
-    own = F.col("words__")
     return (rows.withColumn("text__", F.coalesce(F.col(text_col), F.lit("")))
-            .withColumn("words__", words(F.lower("text__")))
-            .withColumn("total__", F.size(own).cast("double"))
-            .withColumn("spaced__", F.concat(F.lit(" "), F.array_join(own, "  "), F.lit(" ")))
-            .withColumn("known__", word_counts(F.col("spaced__"), F.col("common__")))
-            .withColumn("counts__", F.concat("known__", F.array(F.col("total__") - total(F.col("known__")))))
-            .withColumn("word_shares__", F.transform("counts__", lambda x: F.when(F.col("total__") > 0, x / F.col("total__"))))
-            .withColumn("classes__", class_counts(F.col("text__")))
-            .withColumn("length__", total(F.col("classes__")))
-            .withColumn("class_shares__", F.transform("classes__", lambda x: F.when(F.col("length__") > 0, x / F.col("length__"))))
-            .drop("words__", "spaced__", "known__", "counts__", "classes__", "length__"))
-
-
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang__, common__, word_ref__, class_ref__``, a row per language with
-    enough texts. Copies count once; a null language is one of its own."""
-    top = cut_lineage(common_words(docs, text_col, lang_col).select(F.col("lang").alias("lang__"), F.col("common").alias("common__")))
-    own = _with_histograms(docs.select(lang_col, text_col), top, text_col, lang_col).where(
-        (F.col("total__") >= MIN_WORDS) & F.col("common__").isNotNull())
-    texts = own.groupBy("lang__", F.md5("text__").alias("digest")).agg(
-        F.first("common__").alias("common__"), F.first("word_shares__").alias("p"), F.first("class_shares__").alias("c"))
-    means = texts.groupBy("lang__").agg(
-        F.count(F.lit(1)).alias("texts"), F.first("common__").alias("common__"),
-        F.array(*[F.round(F.avg(F.coalesce(F.get("p", F.lit(k)), F.lit(0.0))), 9) for k in range(COMMON + 1)]).alias("word_ref__"),
-        F.array(*[F.round(F.avg(F.get("c", F.lit(k))), 9) for k in range(len(CLASSES))]).alias("class_ref__"))
-    return cut_lineage(means.where(F.col("texts") >= MIN_TEXTS).select(
-        "lang__", "common__", F.slice("word_ref__", F.lit(1), F.size("common__") + 1).alias("word_ref__"), "class_ref__"))
-
-
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, class_distance, word_distance, kept``.
+            .withColumn("text_id__", F.xxhash64("text__"))
+            .withColumn("hits__", F.coalesce(F.array_join(F.transform(
+                "own__", lambda w: F.element_at("codes__", w)), ""), F.lit("")))
+            .withColumn("known__", known)
+            .withColumn("words__", F.concat("known__", F.array(F.col("n_words") - total(F.col("known__")))))
+            .withColumn("size__", F.length("text__")).withColumn("upper__", gone("\\p{Lu}+"))
+            .withColumn("letter__", gone("\\p{L}+")).withColumn("digit__", gone("\\p{N}+"))
+            .withColumn("mark__", F.regexp_count("text__", F.lit(_MARKS)))
+            .withColumn("classes__", F.expr("""cast(array(letter__ - upper__, upper__, digit__, size__ - word_chars, mark__, n_symbols,
+                greatest(0, word_chars - letter__ - digit__ - mark__ - n_symbols)) AS array<double>)"""))
+            .drop("lang__", "text__", "own__", "hits__", "known__", "size__", "upper__", "letter__", "digit__", "mark__"))
+
+
+def references(rows: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """``lang__, word_ref__, class_ref__`` from measured rows: a row per language
+    with enough texts. Copies count once; a null language is one of its own."""
+    texts = (rows.where((F.col("n_words") >= MIN_WORDS) & F.col("codes__").isNotNull())
+             .groupBy(F.col(lang_col).alias("lang__"), "text_id__")
+             .agg(F.first(F.struct("words__", "classes__", "n_words")).alias("r")))
+    size = total(F.col("r.classes__"))
+    means = texts.withColumn("size__", size).groupBy("lang__").agg(
+        F.count(F.lit(1)).alias("texts"),
+        F.array(*[F.round(F.avg(F.col("r.words__")[k] / F.col("r.n_words")), 9) for k in range(COMMON + 1)]).alias("word_ref__"),
+        F.array(*[F.round(F.avg(F.col("r.classes__")[k] / F.col("size__")), 9) for k in range(len(CLASSES))]).alias("class_ref__"))
+    return cut_lineage(means.where(F.col("texts") >= MIN_TEXTS).drop("texts"))
+
+
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", carry: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``carry``) with ``n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance,
+    kept``.
 
     Null and empty texts have no words and fail. Distances are null where there
     is no verdict. Repeated rows are judged alike; input columns named like the
-    new ones are replaced. An empty table gives an empty result.
+    new ones are replaced. An empty table gives an empty result. Texts are read
+    twice, for the common words and for the counts; the carried columns and the
+    counts are written to the shared folder in between.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() in OUTPUTS])
-    refs = references(docs, text_col, lang_col)
-    rows = _with_histograms(base_counts(docs, text_col), refs, text_col, lang_col)
-    known = (F.col("n_words") >= MIN_WORDS) & F.col("common__").isNotNull()
+    carry = docs.columns if carry is None else carry
+    language = fresh(docs, "language")
+    path = scratch_path(docs.sparkSession, "measured")
+    (measured(docs, text_col, lang_col).withColumn(language, F.col(lang_col))
+     .select(*[F.col(c) for c in carry], language, "codes__", "text_id__", "words__", "classes__", *_BASE).write.parquet(path))
+    staged = docs.sparkSession.read.parquet(path)
+    rows = _with_language(staged, references(staged, language), language)
+    known = (F.col("n_words") >= MIN_WORDS) & F.col("word_ref__").isNotNull()
     root = F.sqrt(F.col("n_words").cast("double"))
     rows = (rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-            .withColumn("class_distance", F.when(known, jensen_shannon(F.col("class_shares__"), F.col("class_ref__"))))
-            .withColumn("word_distance", F.when(known, jensen_shannon(F.col("word_shares__"), F.col("word_ref__")))))
+            .withColumn("length__", total(F.col("classes__")))
+            .withColumn("c__", F.transform("classes__", lambda x: x / F.col("length__")))
+            .withColumn("w__", F.transform("words__", lambda x: x / F.col("n_words")))
+            .withColumn("class_distance", F.when(known, jensen_shannon(F.col("c__"), F.col("class_ref__"))))
+            .withColumn("word_distance", F.when(known, jensen_shannon(F.col("w__"), F.col("word_ref__")))))
     far = reduce(lambda a, b: a | b, [
         F.coalesce(F.col(c) > limit[0] + limit[1] / root, F.lit(False))
         for c, limit in (("class_distance", CLASS_LIMIT), ("word_distance", WORD_LIMIT))])
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far).select(*[F.col(c) for c in docs.columns], *OUTPUTS)
+    return rows.withColumn("kept", ~F.col("base_failed") & ~far).select(*[F.col(c) for c in carry], *OUTPUTS)
 
 
 def passing(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    return quality_rules(docs, **options).where("kept").select(*[F.col(c) for c in docs.columns])
+    names = {c: fresh(docs, f"c{k}_") for k, c in enumerate(docs.columns)}
+    text, lang = options.pop("text_col", "text"), options.pop("lang_col", "lang")
+    own = docs.select(*[F.col(c).alias(n) for c, n in names.items()])
+    return (quality_rules(own, text_col=names[text], lang_col=names[lang], **options).where("kept")
+            .select(*[F.col(n).alias(c) for c, n in names.items()]))
 
 
 #: DuckDB SQL for op1's contract columns
@@ -202,7 +214,7 @@ p AS (SELECT doc_id, count(DISTINCT place)::BIGINT AS n_repeat_words
 base AS (
   SELECT n.*, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(p.n_repeat_words, 0) AS n_repeat_words
   FROM n LEFT JOIN p USING (doc_id)),
-lw AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(t), '[^\x20\x09-\x0D]+')) AS w FROM d),
+lw AS (SELECT doc_id, lang, unnest(w) AS w FROM d),
 cw AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS k
        FROM lw WHERE regexp_matches(w, '\p{L}') GROUP BY lang, w QUALIFY k <= 24),
 wc AS (SELECT lw.doc_id, cw.k, count(*) AS c FROM lw JOIN cw ON lw.w = cw.w AND lw.lang IS NOT DISTINCT FROM cw.lang GROUP BY ALL),
@@ -227,7 +239,7 @@ js AS (
   SELECT what, doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS v
   FROM pq WHERE EXISTS (SELECT 1 FROM langs WHERE langs.lang IS NOT DISTINCT FROM pq.lang) GROUP BY what, doc_id),
 far AS (SELECT DISTINCT doc_id FROM js JOIN base USING (doc_id)
-        WHERE v > CASE what WHEN 'w' THEN 0.12 + 1.75 / sqrt(n_words::DOUBLE) ELSE 0.13 + 1.0 / sqrt(n_words::DOUBLE) END)
+        WHERE v > CASE what WHEN 'w' THEN 0.12 + 1.85 / sqrt(n_words::DOUBLE) ELSE 0.13 + 1.0 / sqrt(n_words::DOUBLE) END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM far) AS kept
