@@ -61,25 +61,29 @@ def test_op7_chains_and_groups(spark):
     r = random.Random(4)
     vocab = ["".join(r.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(4000)]
     docs, base = {}, [r.choice(vocab) for _ in range(150)]
-    for k in range(60):  # a random walk: neighbours are linked, the ends are not
+    for k in range(25):  # a random walk: neighbours are linked, the ends are not
         base = list(base)
         base[r.randrange(150)] = r.choice(vocab)
         docs[100 + k] = " ".join(base)
-    for k in range(80):  # many copies around one text, at mixed distances
+    for k in range(70):  # many copies around one text, at mixed distances
         copy = list(base)
         for _ in range(r.randint(0, 4)):
             copy[r.randrange(150)] = r.choice(vocab)
         docs[1000 + k] = " ".join(copy).upper() if k % 2 else " ".join(copy)
-    for k in range(40):  # around the threshold: 100 words, some dropped at the end
-        docs[2000 + k] = " ".join((vocab[:100] if k % 2 else vocab[200:300])[:100 - k // 2])
+    for k in range(20):  # around the threshold: 100 words, some dropped at the end
+        docs[2000 + k] = " ".join((vocab[:100] if k % 2 else vocab[200:300])[:100 - k])
     docs |= {1: None, 2: "", 3: " \n", 4: "one two", 5: "ONE  two", 6: "two one", 7: "a " * 40_000, 8: "a " * 39_000}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(6)
     check_components(minmax_dedup.near_duplicates(df).collect(), docs)
 
 
-def test_op7_cross_component_round(spark, monkeypatch):
-    """Without star rounds the exact round alone finds the same."""
+@pytest.mark.parametrize("small", [64, 1])
+def test_op7_cross_component_round(spark, monkeypatch, small):
+    """Without star rounds the exact round alone finds the same, by the join and
+    by blocks of a few rows."""
     monkeypatch.setattr(minmax_dedup, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(minmax_dedup, "SMALL", small)
+    monkeypatch.setattr(minmax_dedup, "BLOCK_ROWS", 2)
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     check_components(minmax_dedup.near_duplicates(table(spark, SF, "documents")).collect(), docs)
 
@@ -93,6 +97,27 @@ def test_op7_edges(spark):
     assert minmax_dedup.without_near_duplicates(df).columns == df.columns
 
 
+def test_common_shingles_and_spanning_edges():
+    r = np.random.default_rng(8)
+    left, right = ([np.unique(r.integers(0, 60, r.integers(0, 40))) for _ in range(n)] for n in (13, 9))
+    want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert minmax_dedup.common_shingles(left, right, width=7).tolist() == want
+    linked = r.random((30, 20)) < 0.05
+    edges = minmax_dedup.spanning_edges(linked)
+
+    def parts(pairs):
+        parent = {("l", i): ("l", i) for i in range(30)} | {("r", i): ("r", i) for i in range(20)}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+        for a, b in pairs:
+            parent[find(("l", int(a)))] = find(("r", int(b)))
+        return {frozenset(y for y in parent if find(y) == find(x)) for x in parent}
+    assert parts(edges) == parts(np.argwhere(linked)) and len(edges) == 50 - len(parts(edges)) and all(linked[a, b] for a, b in edges)
+
+
 def test_signature_estimates_similarity():
     r = np.random.default_rng(1)
     shared, own = r.integers(0, 2 ** 63, 900, np.uint64), r.integers(0, 2 ** 63, 200, np.uint64)

@@ -20,7 +20,8 @@ from functools import lru_cache
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: characters with the Unicode White_Space property, as the vocabularies' patterns see them
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
+WHITE = ("\t\n\x0b\x0c\r \x85\xa0"
+         "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 #: white space other than the space and the line feed, and the controls Python also counts as space
 _ODD = WHITE.replace(" ", "").replace("\n", "") + "\x1c\x1d\x1e\x1f"
 _PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
