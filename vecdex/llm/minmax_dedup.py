@@ -224,7 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = named.join(classes.select("set_a", "set_b", "n", "head"), ["set_a", "set_b", "n"]).where("id <> head").select(
         F.col("id").alias("a"), F.col("head").alias("b"))
     entries = classes.select("head", "n", "sketch", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").select("bucket")
+    # grouped sides are materialised before they are joined, so that both sides of
+    # the join are shuffled and a bucket that holds a third of the rows can be split
+    shared = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").select("bucket"))
     entries = cut_lineage(entries.join(shared, "bucket"))
     heads = cut_lineage(entries.select(F.col("head").alias("id")).distinct())
     sets = cut_lineage(_sets(docs, heads, id_col, text_col).dropDuplicates(["id"]))
@@ -254,14 +256,15 @@ def _unresolved(entries: DataFrame, comp: DataFrame) -> DataFrame:
     marked = entries.join(comp.withColumnRenamed("id", "head"), "head")
     several = marked.groupBy("bucket").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi"),
                                            F.count(F.lit(1)).alias("members")).where("__lo <> __hi")
-    return cut_lineage(marked.join(several.select("bucket", "members"), "bucket"))
+    return cut_lineage(marked.join(cut_lineage(several.select("bucket", "members")), "bucket"))
 
 
 def _star_pairs(entries: DataFrame, k: int) -> DataFrame:
     """Each member with its bucket's leader of round ``k``, across components."""
     by = F.xxhash64("head", F.lit(k)) if k else F.col("head")
     leader = entries.groupBy("bucket").agg(F.min_by(F.struct("head", "n", "sketch", "component"), by).alias("l"))
-    return (entries.alias("x").join(leader.select("bucket", "l.*").alias("y"), "bucket")
+    leader = cut_lineage(leader.select("bucket", "l.*"))
+    return (entries.alias("x").join(leader.alias("y"), "bucket")
             .where((F.col("x.component") != F.col("y.component")) & _agreeing("x", "y"))
             .select(F.least("x.head", "y.head").alias("a"), F.greatest("x.head", "y.head").alias("b")).distinct())
 
