@@ -24,10 +24,12 @@ from vecdex.session import cut_lineage, scratch_path
 #: rows of about 150 bytes that may be broadcast
 BROADCAST_ROWS = 200_000
 #: state on local disk, copied to the shared folder with every batch; files are not
-#: allocated ahead, which costs 4 MB a state partition whatever it holds
+#: allocated ahead, which costs 4 MB a state partition whatever it holds, and an executor
+#: releases a partition's memory and files once its task has committed
 _STATE = {"spark.sql.streaming.stateStore.providerClass":
           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+          "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
 
 def normalised(text: Column) -> Column:
@@ -98,7 +100,9 @@ def decisions(docs: DataFrame, locator: str, id_col: str = "doc_id", text_col: s
         stream = (spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", files_per_batch)
                   .parquet(f"{base}/arrivals"))
         track(stream, f"{base}/checkpoint", f"{base}/entries")
-        found = entries(spark, f"{base}/entries")
+        # materialised, so that the joins below shuffle both sides and Spark can split
+        # a digest that holds a third of all rows
+        found = cut_lineage(entries(spark, f"{base}/entries"))
 
     hits = arrivals.join(found.where("group_size > 1").select("digest", F.col("keep.locator").alias("kept_at")), "digest")
     texts = _texts(docs, locator, text_col, hits.select("locator", "digest", "kept_at"))
