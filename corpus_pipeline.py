@@ -38,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.document_pieces(docs))
+    # workers may still hold what the stage before remembers, so less is kept here
+    return packing.pack(packing.document_pieces(docs, known=700_000))
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact), ("near dedup", near),

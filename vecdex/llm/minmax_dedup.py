@@ -79,7 +79,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000 and len(word) < 100:
+        if len(self) < 200_000 and len(word) < 100:
             self[word] = value
         return value
 

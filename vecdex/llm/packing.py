@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecdex.llm.common import fresh
-from vecdex.llm.tokens import encoder, vocabulary
+from vecdex.llm.tokens import MEMO_LIMIT, encoder, vocabulary
 from vecdex.session import cut_lineage
 
 CAPACITY = 2048
@@ -40,13 +40,14 @@ RANK_ROWS = 1000
 
 def document_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     vocab: str | None = None, end_id: int = 0, capacity: int = CAPACITY,
-                    with_ids: bool = False) -> DataFrame:
+                    with_ids: bool = False, known: int = MEMO_LIMIT) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, with
     ``with_ids``, the ids themselves.
 
     A null text counts as empty and gives one piece that holds the end id
     alone; repeated rows and null ids give pieces like any other row. Columns
-    other than the two named ones are not read.
+    other than the two named ones are not read. A worker remembers the ids of
+    up to ``known`` pieces of text, about 0.2 kB each.
     """
     vocab = vocab or vocabulary("word_bpe_49k.json")
     fields = [T.StructField("doc_id", docs.schema[id_col].dataType),
@@ -58,7 +59,7 @@ def document_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab).encode
+        encode = encoder(vocab, known).encode
         for batch in batches:
             keys, rows, piece, length, crc, ids = batch.column(0), [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
