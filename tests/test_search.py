@@ -155,6 +155,36 @@ def test_ivf_full_probe_equals_exact(spark):
         sorted(map(tuple, iv.search(q, 10, nprobe=2).collect()))
 
 
+@pytest.mark.parametrize("folder", [SF_ORACLE, "/root/testdata/sf0.1"])
+def test_ivf_query_reaches_the_recall(spark, folder):
+    from vecdex.plans import extra
+    idx = catalog.embeddings_index(spark, folder)
+    q = idx.select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    exact = topk.knn(idx, q, 64, 10)
+    assert ivf.recall_at_k(extra.k4_ivf_topk(spark, folder), exact).first()["recall"] >= 0.9
+    some = exact.where("qid % 50 = 0")
+    assert ivf.recall_at_k(extra.k4_ivf_topk(spark, folder), some).first()["recall"] >= 0.9
+
+
+def test_ivf_tuning(spark):
+    from vecdex.session import scratch_path
+    r = np.random.default_rng(6)
+    idx = _index(spark, r.normal(size=(400, 8)))
+    q = idx.where("id % 4 = 0").select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    exact = topk.knn(idx, q, 8, 10)
+    iv = ivf.IVFIndex.build(idx, 8, 20)
+    assert iv.nprobe == 20                                      # not tuned: every list
+    curve, n = iv.recall_curve(q, exact)
+    assert n == 1000 and len(curve) == 20 and curve == sorted(curve) and curve[-1] == 1.0
+    for p in (1, 5):
+        assert ivf.recall_at_k(iv.search(q, 10, nprobe=p), exact).first()["recall"] == pytest.approx(curve[p - 1])
+    assert curve[iv.tune(q, exact).nprobe - 1] >= 0.9 and iv.nprobe < 20
+    path = scratch_path(spark, "ivf-tuned")
+    iv.save(path)
+    assert ivf.IVFIndex.load(spark, path, 8).nprobe == iv.nprobe
+    assert iv.tune(q.limit(0), exact.limit(0)).nprobe == 20
+
+
 def test_scroll_pages_cover_index(spark):
     docs = spark.range(0, 250).select(F.col("id"), (F.col("id") % 3).alias("g"))
     pred = F.col("g") != 1

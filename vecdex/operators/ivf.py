@@ -11,7 +11,9 @@
   queries probing it are split into blocks of ``query_block_rows``; every
   co-group is therefore bounded however skewed the lists are.
 
-``nprobe = lists`` scores every vector and equals exact K2.
+``nprobe = lists`` scores every vector and equals exact K2. Below that,
+``tune`` measures how many lists a search must probe for the recall wanted; an
+index that was not tuned probes every list.
 """
 
 from __future__ import annotations
@@ -26,13 +28,17 @@ from pyspark.sql import functions as F
 
 from vecdex.functions.vectors import l2_normalize
 from vecdex.operators import topk
-from vecdex.session import cut_lineage
+from vecdex.session import committed, cut_lineage
+
+# share of the true neighbours a tuned index finds at least
+RECALL = 0.9
 
 
 class IVFIndex:
     def __init__(self, assigned: DataFrame, centroids: np.ndarray, dim: int,
-                 sizes: DataFrame | None = None):
+                 sizes: DataFrame | None = None, nprobe: int | None = None):
         self.assigned, self.centroids, self.dim = assigned, centroids, dim
+        self.nprobe = nprobe or len(centroids)
         # rows per list: stored with a saved index, counted otherwise
         self.sizes = sizes if sizes is not None else assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_c"))
 
@@ -59,6 +65,8 @@ class IVFIndex:
         (spark.read.parquet(path + "/lists").groupBy(F.col("list_id").cast("int").alias("list_id"))
          .agg(F.count(F.lit(1)).alias("n_c")).coalesce(1).write.mode("overwrite").parquet(path + "/sizes"))
         self.centroid_table(spark).write.mode("overwrite").parquet(path + "/centroids")
+        (spark.range(1).select(F.lit(self.nprobe).alias("nprobe")).coalesce(1)
+         .write.mode("overwrite").parquet(path + "/nprobe"))
 
     @classmethod
     def load(cls, spark, path: str, dim: int) -> "IVFIndex":
@@ -66,14 +74,44 @@ class IVFIndex:
         cents = spark.read.parquet(path + "/centroids").orderBy("id").collect()
         assigned = spark.read.parquet(path + "/lists").select(
             "id", "vec", F.col("list_id").cast("int"))
+        nprobe = (spark.read.parquet(path + "/nprobe").first()["nprobe"]
+                  if committed(spark, path + "/nprobe") else None)
         return cls(assigned, np.asarray([c["vector"] for c in cents], dtype=np.float64), dim,
-                   spark.read.parquet(path + "/sizes"))
+                   spark.read.parquet(path + "/sizes"), nprobe)
 
     def centroid_table(self, spark) -> DataFrame:
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         return spark.createDataFrame(rows, "id long, vector array<double>")
 
-    def sides(self, queries: DataFrame, k: int = 10, nprobe: int = 4, *,
+    def recall_curve(self, queries: DataFrame, exact: DataFrame, *, qid_col: str = "qid",
+                     qvec_col: str = "qvec") -> tuple[list[float], int]:
+        """Recall against the ``exact`` hits of ``queries`` for ``nprobe`` = 1, 2,
+        ... up to every list, from one pass: a true neighbour is found exactly
+        when its list is probed, so the place of that list among the query's
+        lists says from which ``nprobe`` on. At most one count per list reaches
+        the driver. The number of exact hits comes with the curve."""
+        lists = len(self.centroids)
+        exact = cut_lineage(exact.select("qid", "id"))
+        places = topk.knn(self.centroid_table(queries.sparkSession), queries, self.dim, lists,
+                          qid_col=qid_col, qvec_col=qvec_col)
+        found = (exact.join(self.assigned.select("id", "list_id"), "id")
+                 .join(places.select("qid", F.col("id").cast("int").alias("list_id"), "rank"), ["qid", "list_id"])
+                 .groupBy("rank").agg(F.count(F.lit(1)).alias("n")).collect())
+        total, hits = exact.count(), np.zeros(lists)
+        for r in found:
+            hits[r["rank"] - 1] = r["n"]
+        return (hits.cumsum() / max(total, 1)).tolist(), total
+
+    def tune(self, queries: DataFrame, exact: DataFrame, recall: float = RECALL, **columns) -> "IVFIndex":
+        """Set ``nprobe`` to the smallest number of lists whose measured recall is
+        at least ``recall`` by two standard errors, so that it holds beyond the
+        measured queries; every list if none is (or nothing was measured)."""
+        curve, n = self.recall_curve(queries, exact, **columns)
+        self.nprobe = next((p for p, r in enumerate(curve, 1) if n and r - 2 * math.sqrt(r * (1 - r) / n) >= recall),
+                           len(self.centroids))
+        return self
+
+    def sides(self, queries: DataFrame, k: int = 10, nprobe: int | None = None, *,
               qid_col: str = "qid", qvec_col: str = "qvec",
               query_block_rows: int = 4096, corpus_block_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
         """Query rows and corpus rows of the probed lists, by block. Everything
@@ -82,7 +120,7 @@ class IVFIndex:
         spark = queries.sparkSession
         q = queries.select(F.col(qid_col).cast("long").alias("qid"),
                            F.col(qvec_col).alias("qvec"), F.lit(k).alias("k"))
-        probes = topk.knn(self.centroid_table(spark), q, self.dim, min(nprobe, len(self.centroids)),
+        probes = topk.knn(self.centroid_table(spark), q, self.dim, min(nprobe or self.nprobe, len(self.centroids)),
                           qid_col="qid", qvec_col="qvec")
         qp = q.join(probes.select("qid", F.col("id").cast("int").alias("list_id")), "qid")
         # one row per probed list: bounded by the number of lists
@@ -100,8 +138,9 @@ class IVFIndex:
                  .select("list_id", "qb", "cb", "id", "vec"))
         return qside, cside
 
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4, **options) -> DataFrame:
-        """Top ``k`` among the vectors of each query's ``nprobe`` lists."""
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int | None = None, **options) -> DataFrame:
+        """Top ``k`` among the vectors of each query's ``nprobe`` lists; as many
+        as the index was tuned to unless given."""
         qside, cside = self.sides(queries, k, nprobe, **options)
         keys = ["list_id", "qb", "cb"]
         cands = (qside.groupBy(*keys).cogroup(cside.groupBy(*keys))
