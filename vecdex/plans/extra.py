@@ -119,14 +119,14 @@ def st3_debounce(spark, d):
 
 @register("st3_debounce_stream")
 def st3_debounce_stream(spark, d):
-    """Streaming debounce (session windows, append mode). Sessions the
-    watermark has not closed at the end of the input are withheld."""
-    src = st.file_stream(spark, os.path.join(d, "events.parquet"))
+    """Streaming debounce (session windows, append mode), all files in one
+    micro-batch as they need not be in time order. Sessions the watermark has
+    not closed at the end of the input are withheld, as the SQL has it;
+    ``run_debounce_stream`` gives them with ``flush``."""
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
     agg = ev.debounce_stream(src, "user_id", "ts", DEBOUNCE_GAP)
-    sink, ck = scratch_path(spark, "st3-sink"), scratch_path(spark, "st3-ckpt")
-    (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
-     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
+    out = ev.run_debounce_stream(agg, sink=scratch_path(spark, "st3-sink"), checkpoint=scratch_path(spark, "st3-ckpt"))
+    return out.select("event_id", "user_id", "event_type")
 
 
 @register("st4_rate")
@@ -140,7 +140,7 @@ def st4_rate(spark, d):
 @register("st4_replay_stream")
 def st4_replay_stream(spark, d):
     """Limiter replay per user as a stateful stream (bounded state)."""
-    src = st.file_stream(spark, os.path.join(d, "events.parquet"))
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
     out = ev.limiter_replay_stream(src, "user_id", "ts", "event_id", RATE_MAX, RATE_WINDOW_S)
     sink, ck = scratch_path(spark, "st4-sink"), scratch_path(spark, "st4-ckpt")
     (out.writeStream.outputMode("append").format("parquet").option("path", sink)

@@ -160,9 +160,25 @@ def debounce_stream(events: DataFrame, key: str, ts: str, gap: str, *,
     """ST3 stream: session windows of ``gap`` per key; the last event of a
     session is the one a debouncer emits (ties broken by ``tie``). A session is
     emitted once the watermark has passed it, so the last sessions of a stream
-    that ends stay in its state; events later than the watermark are dropped."""
+    that ends stay in its state (``run_debounce_stream`` can flush them); events
+    later than the watermark are dropped."""
     e = events.withColumn("_ts", event_time(events, ts)).withWatermark("_ts", watermark)
     cols = [c for c in events.columns if c != key]
     return (e.groupBy(F.col(key), F.session_window("_ts", gap))
             .agg(F.max_by(F.struct(*cols), F.struct("_ts", tie)).alias("_last"))
             .select(key, "_last.*"))
+
+
+def run_debounce_stream(debounced: DataFrame, *, sink: str, checkpoint: str, flush: bool = False) -> DataFrame:
+    """Run a ``debounce_stream`` over the input there is and read its result.
+    With ``flush`` the input ends there: sessions the watermark has not closed
+    are given too, so the result is that of the batch form. The state keeps
+    every session for that and a micro-batch writes them all anew."""
+    if flush:
+        def whole(sessions: DataFrame, batch_id: int) -> None:
+            sessions.write.mode("overwrite").parquet(sink)
+        w = debounced.writeStream.outputMode("complete").foreachBatch(whole)
+    else:
+        w = debounced.writeStream.outputMode("append").format("parquet").option("path", sink)
+    w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return debounced.sparkSession.read.parquet(sink)

@@ -19,9 +19,11 @@ from vecdex.operators.index import VectorIndex, one_per_key
 from vecdex.session import scratch_path
 
 
-def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """Parquet files as a stream source with the batch schema. A single file
-    is watched through a glob on its folder (the file source lists folders)."""
+def file_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
+    """Parquet files as a stream source with the batch schema, ``max_files`` in
+    a micro-batch; with None all there are, so that no event is late behind
+    those of another file. A single file is watched through a glob on its folder
+    (the file source lists folders)."""
     batch = spark.read.parquet(path)
     schema = batch.schema
     src = path
@@ -29,8 +31,8 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     if len(files) == 1 and files[0].rstrip("/").endswith("/" + os.path.basename(path.rstrip("/"))):
         head, name = os.path.split(path.rstrip("/"))
         src = head + "/" + name[:-1] + "[" + name[-1] + "]"
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .parquet(src))
+    reader = spark.readStream.schema(schema)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(src)
 
 
 def run_search_stream(queries: DataFrame, index: DataFrame, embedder, dim: int, *,
