@@ -6,7 +6,8 @@ All but the last return the columns of ``documents``:
 
 1. quality rules: documents that the rules reject go;
 2. exact dedup: of equal texts the row with the largest id stays;
-3. near dedup: of each group of near-duplicates one document stays;
+3. near dedup: of each group of near-duplicates (similarity 0.85 or more) one
+   document stays;
 4. mixing: sources meet their target weights; a document stands as often as
    the mix takes it, so up to twice, and goes if the mix does not take it;
 5. best-fit packing: the pieces of the mix, with their sequence and place.
@@ -30,7 +31,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minmax_dedup.without_near_duplicates(docs)
+    return minmax_dedup.without_near_duplicates(docs, percent=85)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

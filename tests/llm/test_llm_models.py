@@ -242,6 +242,29 @@ def test_pipeline_by_stages(spark, tmp_path):
     assert len({r.sequence_id for r in packed}) <= -(-sum(r.length for r in packed) // 2048) + 1
 
 
+def test_near_dedup_at_80(spark):
+    """Pairs at 0.78 to 0.87 by one replaced end: at 80 those from 0.80 are linked."""
+    rows, want = [], []
+    for k in range(60):
+        own = [f"w{k}x{j}" for j in range(104)]
+        n = 7 + k % 6                                             # of 100 shingles, n at the end differ
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own[:104 - n] + [f"v{k}x{j}" for j in range(n)]))]
+        want += [2 * k] + [2 * k + 1] * (100 * (100 - n) < 80 * (100 + n))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in minmax_dedup.without_near_duplicates(df, percent=80).collect()) == want
+    a, b = shingle_set(rows[4][1]), shingle_set(rows[5][1])       # n = 9: between 0.80 and 0.85
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_near_settings_follow_the_threshold(percent):
+    from math import comb
+    s, bits = percent / 100, minmax_dedup.SKETCH_BITS
+    assert (1 - s ** (2 * minmax_dedup.BAND_PERMS)) ** minmax_dedup.bands_for(percent) < 3e-7
+    assert sum(comb(bits, k) * ((1 + s) / 2) ** k * ((1 - s) / 2) ** (bits - k) for k in range(minmax_dedup.sketch_agree(percent))) < 1e-7
+    assert 2 * minmax_dedup.perms_for(percent) >= bits
+
+
 def test_pipeline_empty(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

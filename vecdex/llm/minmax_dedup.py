@@ -3,8 +3,9 @@
 Every permutation of the 64-bit shingle hashes yields two signature values, its
 minimum and its maximum, so a signature of ``2 * perms`` values costs ``perms``
 hash evaluations. Three permutations make a band of six values; documents that
-agree on a band are candidates. With 32 bands two documents of similarity 0.85
-miss each other with probability (1 - 0.85^6)^32 < 3e-7, and less above that.
+agree on a band are candidates. There are as many bands as it takes for two
+documents at the threshold s to miss each other with probability
+(1 - s^6)^bands < 3e-7, and less above it: 32 bands for 0.85, 50 for 0.80.
 
 Candidates only propose; a link needs the full shingle sets. Pairs are never
 listed group by group:
@@ -21,7 +22,7 @@ listed group by group:
    spanning forest of the links. Members of the bucket's largest component are
    not met with each other. No link is lost, and no list of pairs is made.
 
-Proposals must first agree on at least ``SKETCH_AGREE`` of 192 one-bit sketch
+Proposals must first agree on at least ``sketch_agree`` of 192 one-bit sketch
 positions, which pairs at the threshold fail with probability below 1e-7.
 Components are found by repeated minimum over neighbours with pointer jumping,
 on tables in the shared folder.
@@ -29,6 +30,7 @@ on tables in the shared folder.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -44,13 +46,14 @@ from vecdex.llm.common import fresh
 from vecdex.session import cut_lineage
 
 WORDS, PERCENT = 5, 85
-BANDS, BAND_PERMS = 32, 3
-PERMS = BANDS * BAND_PERMS
+BAND_PERMS = 3
+#: permutations at least; the first SKETCH_BITS of their values make the sketch
+PERMS, SKETCH_BITS = 96, 192
+#: a pair at the threshold misses every band, or fails the sketch, with less probability
+BAND_MISS, SKETCH_MISS = 3e-7, 1e-7
 STAR_ROUNDS = 2
 #: members of a bucket whose cross pairs a join may meet; members and shingles of a block beyond that
 SMALL, BLOCK_ROWS, BLOCK_SHINGLES = 64, 1024, 1_000_000
-#: of 2 * PERMS sketch bits; at similarity 0.85 they agree on 177.6 +- 3.7
-SKETCH_AGREE = 156
 #: ids up to this many are broadcast (16 bytes each), larger sets are joined by shuffle
 BROADCAST_IDS = 1_000_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,10 +70,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    seed = _mixed(np.arange(1, 2 * PERMS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return seed[:PERMS] | np.uint64(1), seed[PERMS:]
+def bands_for(percent: int) -> int:
+    """Bands that pairs of this similarity all miss with probability below ``BAND_MISS``."""
+    return max(1, math.ceil(math.log(BAND_MISS) / math.log1p(-min(percent / 100, 0.999) ** (2 * BAND_PERMS))))
+
+
+def perms_for(percent: int) -> int:
+    return max(PERMS, BAND_PERMS * bands_for(percent))
+
+
+@lru_cache(maxsize=8)
+def sketch_agree(percent: int) -> int:
+    """Sketch positions that pairs of this similarity agree on, but for a
+    probability below ``SKETCH_MISS``: a value that differs still agrees in its
+    bit half the time."""
+    p, below = (1 + percent / 100) / 2, 0.0
+    for k in range(SKETCH_BITS + 1):
+        below += math.comb(SKETCH_BITS, k) * p ** k * (1 - p) ** (SKETCH_BITS - k)
+        if below >= SKETCH_MISS:
+            return k
+    return SKETCH_BITS
+
+
+@lru_cache(maxsize=4)
+def _permutations(perms: int = PERMS) -> tuple[np.ndarray, np.ndarray]:
+    seed = _mixed(np.arange(1, 2 * perms + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return seed[:perms] | np.uint64(1), seed[perms:]
 
 
 class _Words(dict):
@@ -103,13 +128,13 @@ def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(value)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """Minimum and maximum under each permutation, ``(PERMS, 2)``."""
-    multiply, add = _permutations()
-    out = np.empty((PERMS, 2), np.uint64)
+def signature(hashes: np.ndarray, perms: int = PERMS) -> np.ndarray:
+    """Minimum and maximum under each permutation, ``(perms, 2)``."""
+    multiply, add = _permutations(perms)
+    out = np.empty((perms, 2), np.uint64)
     for at in range(0, len(hashes), _CHUNK):
         part = hashes[at:at + _CHUNK]
-        for k in range(0, PERMS, 16):
+        for k in range(0, perms, 16):
             values = (part[None, :] ^ add[k:k + 16, None]) * multiply[k:k + 16, None]
             low, high = values.min(axis=1), values.max(axis=1)
             if at:
@@ -118,17 +143,18 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per band of ``BAND_PERMS`` permutations, both ends each."""
-    rows = sig.reshape(BANDS, 2 * BAND_PERMS)
-    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
+    rows = sig[:bands * BAND_PERMS].reshape(bands, 2 * BAND_PERMS)
+    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
     for column in rows.T:
         key = _mixed(key ^ column)
     return key
 
 
-def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _features(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """A row per document: set size, a 128-bit name of the set, band keys and sketch."""
+    bands_wanted, perms = bands_for(percent), perms_for(percent)
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
                            T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()),
                            T.StructField("bands", T.ArrayType(T.LongType())),
@@ -143,11 +169,11 @@ def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not len(own):
                     a.append(0), b.append(0), bands.append([]), sketch.append([0, 0, 0])
                     continue
-                sig = signature(own)
+                sig = signature(own, perms)
                 a.append(int(_mixed(own).sum(dtype=np.uint64).view(np.int64)))
                 b.append(int(np.bitwise_xor.reduce(_mixed(own * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)))
-                bands.append(band_keys(sig).view(np.int64))
-                bits = (_mixed(sig.ravel()) & np.uint64(1)).astype(np.uint8)
+                bands.append(band_keys(sig, bands_wanted).view(np.int64))
+                bits = (_mixed(sig.ravel()[:SKETCH_BITS]) & np.uint64(1)).astype(np.uint8)
                 sketch.append(np.packbits(bits).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
@@ -171,19 +197,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     return own.mapInArrow(run, schema)
 
 
-def _agreeing(a: str, b: str) -> Column:
+def _agreeing(a: str, b: str, percent: int) -> Column:
     """Sizes and sketches allow the similarity."""
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.sketch")[k].bitwiseXOR(F.col(f"{b}.sketch")[k])) for k in range(3)])
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (100 * small >= PERCENT * large) & (differ <= 2 * PERMS - SKETCH_AGREE)
+    return (100 * small >= percent * large) & (differ <= SKETCH_BITS - sketch_agree(percent))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b"))
     common = F.size(F.array_intersect("ha", "hb"))
-    return both.where(100 * common >= PERCENT * (F.size("ha") + F.size("hb") - common)).select("a", "b")
+    return both.where(100 * common >= percent * (F.size("ha") + F.size("hb") - common)).select("a", "b")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -206,8 +232,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             .select("id", F.coalesce("component", "id").alias("component")))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_shingles, component_id, kept`` for every row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``id_col, n_shingles, component_id, kept`` for every row. Documents whose
+    shingle sets have a similarity of ``percent`` hundredths or more are linked.
 
     Texts without words, null ones among them, have no shingles and link to
     nothing. Rows that share an id count as one node with several sets: they
@@ -217,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are read.
     """
     docs = docs.select(F.col(id_col), F.col(text_col))
-    features = cut_lineage(_features(docs, id_col, text_col))
+    features = cut_lineage(_features(docs, id_col, text_col, percent))
     named = features.where("id is not null and n > 0")
     classes = cut_lineage(named.groupBy("set_a", "set_b", "n").agg(
         F.min("id").alias("head"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
@@ -237,11 +264,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if open_entries.isEmpty():
             break
         if k < STAR_ROUNDS:
-            links.append(cut_lineage(confirmed(_star_pairs(open_entries, k), sets)))
+            links.append(cut_lineage(confirmed(_star_pairs(open_entries, k, percent), sets, percent)))
             comp = cut_lineage(components(heads, reduce(DataFrame.unionByName, links)))
         else:
-            links.append(cut_lineage(confirmed(_cross_pairs(open_entries.where(F.col("members") <= SMALL)), sets)
-                                     .unionByName(_block_links(open_entries.where(F.col("members") > SMALL), sets))))
+            links.append(cut_lineage(confirmed(_cross_pairs(open_entries.where(F.col("members") <= SMALL), percent), sets, percent)
+                                     .unionByName(_block_links(open_entries.where(F.col("members") > SMALL), sets, percent))))
     every = reduce(DataFrame.unionByName, [same, *links])
     nodes = named.select("id").distinct()
     found = components(nodes, every)
@@ -259,22 +286,22 @@ def _unresolved(entries: DataFrame, comp: DataFrame) -> DataFrame:
     return cut_lineage(marked.join(cut_lineage(several.select("bucket", "members")), "bucket"))
 
 
-def _star_pairs(entries: DataFrame, k: int) -> DataFrame:
+def _star_pairs(entries: DataFrame, k: int, percent: int) -> DataFrame:
     """Each member with its bucket's leader of round ``k``, across components."""
     by = F.xxhash64("head", F.lit(k)) if k else F.col("head")
     leader = entries.groupBy("bucket").agg(F.min_by(F.struct("head", "n", "sketch", "component"), by).alias("l"))
     leader = cut_lineage(leader.select("bucket", "l.*"))
     return (entries.alias("x").join(leader.alias("y"), "bucket")
-            .where((F.col("x.component") != F.col("y.component")) & _agreeing("x", "y"))
+            .where((F.col("x.component") != F.col("y.component")) & _agreeing("x", "y", percent))
             .select(F.least("x.head", "y.head").alias("a"), F.greatest("x.head", "y.head").alias("b")).distinct())
 
 
-def _cross_pairs(entries: DataFrame) -> DataFrame:
+def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs across components of a bucket that could be similar enough; the
     join's condition keeps members of one component apart."""
     return (entries.alias("x").join(entries.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
                                     & (F.col("x.head") < F.col("y.head"))
-                                    & (F.col("x.component") != F.col("y.component")) & _agreeing("x", "y"))
+                                    & (F.col("x.component") != F.col("y.component")) & _agreeing("x", "y", percent))
             .select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct())
 
 
@@ -282,7 +309,7 @@ def _blocks(rows: str, size: str) -> Column:
     return F.ceil(F.greatest(F.col(rows) / BLOCK_ROWS, F.col(size) / BLOCK_SHINGLES)).cast("int")
 
 
-def _block_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
+def _block_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across the components of large buckets, from pairs of blocks. The
     core (a bucket's largest component) meets the rest only."""
     parts = entries.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
@@ -300,10 +327,10 @@ def _block_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     rows = rows.select("bucket", F.col("head").alias("id"), "component", "in_core", "block", F.explode(meets).alias("meet"))
     kind = dict(entries.dtypes)["head"]
     return (rows.select("bucket", "id", "component", "in_core", "block", "meet.x", "meet.y", "meet.c").join(sets, "id")
-            .groupBy("bucket", "x", "y", "c").applyInPandas(_linked, f"a {kind}, b {kind}"))
+            .groupBy("bucket", "x", "y", "c").applyInPandas(lambda pair: _linked(pair, percent), f"a {kind}, b {kind}"))
 
 
-def _linked(rows: pd.DataFrame) -> pd.DataFrame:
+def _linked(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """A spanning forest of the links between two blocks."""
     if rows["c"].iloc[0]:
         left, right = rows[~rows["in_core"]], rows[rows["in_core"]]
@@ -312,7 +339,7 @@ def _linked(rows: pd.DataFrame) -> pd.DataFrame:
     common = common_shingles(left["hashes"].to_list(), right["hashes"].to_list())
     sizes = [side["hashes"].map(len).to_numpy() for side in (left, right)]
     union = sizes[0][:, None] + sizes[1][None, :] - common
-    linked = (100 * common >= PERCENT * union) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
+    linked = (100 * common >= percent * union) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
     edges = spanning_edges(linked)
     return pd.DataFrame({"a": left["id"].to_numpy()[edges[:, 0]], "b": right["id"].to_numpy()[edges[:, 1]]})
 
@@ -358,10 +385,10 @@ def spanning_edges(linked: np.ndarray) -> np.ndarray:
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with its
     smallest id, and every row without an id. Ids should be unique by now; rows
     that share a kept id all stay. What goes is the smaller side of the join."""
-    gone = cut_lineage(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("id")).distinct())
+    gone = cut_lineage(near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("id")).distinct())
     side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     return docs.join(side, docs[id_col] == side["id"], "left_anti")

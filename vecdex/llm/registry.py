@@ -69,7 +69,7 @@ SQL["op6_exact_dedup"] = exact_dedup.SQL
 
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query
