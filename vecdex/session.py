@@ -79,10 +79,57 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(id(sc))
 
 
+#: folders named by ``scratch_path`` in this driver, oldest first
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _MADE.append(os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}"))
+    return _MADE[-1]
+
+
+def scratch_mark() -> int:
+    """A point in time for ``drop_scratch``."""
+    return len(_MADE)
+
+
+def drop_scratch(spark: SparkSession, since: int, keep: tuple[str, ...] = ()) -> None:
+    """Remove the folders that ``scratch_path`` named after the mark ``since``,
+    once nothing reads them any more."""
+    for path in _MADE[since:]:
+        if path not in keep:
+            remove_folder(spark, path)
+    _MADE[since:] = [path for path in _MADE[since:] if path in keep]
+
+
+class Scratch:
+    """Intermediate tables of one job: parquet under one folder of the shared
+    checkpoint folder. A table written and read back has no lineage and a real
+    size in later plans, and goes as soon as its job is done with it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, name)
+        self._held: dict[str, DataFrame] = {}
+        self._made = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{self._made}"
+        self._made += 1
+        df.write.parquet(path)
+        self._held[path] = self.spark.read.schema(df.schema).parquet(path)
+        return self._held[path]
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove tables that ``write`` returned; other frames are left alone."""
+        for path in [p for p, held in self._held.items() if any(held is f for f in frames)]:
+            remove_folder(self.spark, path)
+            del self._held[path]
+
+    def close(self, keep: DataFrame | None = None) -> None:
+        """Remove every table but ``keep``."""
+        self.drop(*[held for held in self._held.values() if held is not keep])
 
 
 def balance(df: DataFrame) -> DataFrame:
