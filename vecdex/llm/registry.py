@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecdex.llm import exact_dedup, minmax_dedup, mixing, packing, pu_classifier, quality_rules, secret_scan, sharding, token_counts, token_files
+from vecdex.llm import (exact_dedup, minmax_dedup, mixing, packing, piece_bpe, pu_classifier, quality_rules, secret_scan, sharding,
+                        spelling, token_counts, token_files, whitening)
+from vecdex.llm.tokens import vocabulary
 from vecdex.session import scratch_path
 from vecdex.sources.tables import table
 
@@ -96,3 +98,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_mix"] = mixing.SQL
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    both = piece_bpe.decoded(piece_bpe.encoded(table(spark, sf_dir, "documents"), model), model)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.encode(F.array_join("ids", ","), "UTF-8"), 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
