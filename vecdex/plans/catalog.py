@@ -14,6 +14,7 @@ Test-table stand-ins (all derived by Spark from the given tables):
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from vecdex.functions import text as tx
 from vecdex.functions import vectors as vx
 from vecdex.operators import corpus, embed, enrich, ids, index, search, topk
-from vecdex.session import scratch_path, ship_package
+from vecdex.session import committed, file_state, scratch_path, ship_package
 from vecdex.sources.tables import embeddings_index, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,19 +67,28 @@ def conversation_queries(spark, d) -> DataFrame:
                     F.col("text").alias("query"), lim.cast("int").alias("limit"))
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark, d, name: str, tables: tuple[str, ...], build: Callable[[str], object]) -> str:
+    """The folder of something built from tables of ``d``: built once per session
+    and state of the tables' files, then read by every query."""
+    state = tuple(file_state(spark, os.path.join(d, f"{t}.parquet")) for t in tables)
+    key = (spark.sparkContext.applicationId, name, d, state)
+    if key not in _STORED or not committed(spark, _STORED[key] + "/done"):
+        path = scratch_path(spark, name)
+        build(path)
+        spark.range(1).coalesce(1).write.parquet(path + "/done")
+        _STORED[key] = path
+    return _STORED[key]
 
 
 def text_index(spark, d) -> DataFrame:
-    """The documents as a stored index: embedded and written once per session
-    and data directory, then read by every search."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STORED:
+    """The documents as a stored index, embedded once."""
+    def build(path: str) -> None:
         docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
-        path = scratch_path(spark, "text-index")
         index.VectorIndex.create(embed.HashingEmbedder(TEXT_DIM).embed(docs, "text", "vector"), path, TEXT_DIM)
-        _STORED[key] = path
-    return index.VectorIndex(spark, _STORED[key]).read()
+    return index.VectorIndex(spark, stored(spark, d, "text-index", ("documents",), build)).read()
 
 
 def _part_points(spark, d) -> DataFrame:

@@ -402,3 +402,4 @@ SQL["st4_replay_stream"] = _replay_sql(2, 3600.0)
 
 # every list probed is the exact search
 SQL["k4_ivf_full"] = SQL["k2_topk"]
+SQL["k2_pruned_topk"] = SQL["k2_topk"]

@@ -182,6 +182,13 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of the data files of a table; differs once they change."""
+    fs, where = _filesystem(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in fs.listStatus(where) if not f.getPath().getName().startswith(("_", "."))))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, where = _filesystem(spark, path)
     fs.delete(where, True)
