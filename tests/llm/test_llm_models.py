@@ -22,7 +22,7 @@ def shingle_set(text):
     return frozenset(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def brute_components(docs):
+def brute_components(docs, percent=85):
     """Every pair, then the smallest id reachable."""
     sets = {i: shingle_set(t) for i, t in docs.items()}
     parent = {i: i for i in docs}
@@ -35,9 +35,9 @@ def brute_components(docs):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * min(len(x), len(y)) >= 85 * max(len(x), len(y)):
+            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                 both = len(x & y)
-                if 100 * both >= 85 * (len(x) + len(y) - both):
+                if 100 * both >= percent * (len(x) + len(y) - both):
                     p, q = find(a), find(b)
                     parent[max(p, q)] = min(p, q)
     return {i: (len(sets[i]), find(i)) for i in docs}
@@ -216,8 +216,9 @@ def test_op5_edges(spark):
     assert pu_classifier.quality_scores(df.limit(0), odd).count() == 0
 
 
-def test_pipeline_by_stages(spark, tmp_path):
+def test_pipeline_by_stages(spark, tmp_path, monkeypatch):
     """Each stage against a plain version of its rule, on its own input."""
+    monkeypatch.setattr(corpus_pipeline, "NEAR_PERCENT", 85)
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     columns, steps = docs.columns, []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
@@ -242,6 +243,44 @@ def test_pipeline_by_stages(spark, tmp_path):
     assert len({r.sequence_id for r in packed}) <= -(-sum(r.length for r in packed) // 2048) + 1
 
 
+def test_pipeline_near_stage_at_80(spark):
+    """The stage as it ships, against all pairs, on texts with pairs between 0.80 and 0.85."""
+    assert corpus_pipeline.NEAR_PERCENT == 80
+    docs = table(spark, SF, "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = list(texts.items())
+    for k, i in enumerate(sorted(texts)[:40]):
+        words = texts[i].split()
+        rows.append((10_000 + k, " ".join(words[:max(1, len(words) * (88 + k % 6) // 100)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(r.doc_id for r in corpus_pipeline.near(spark, df, SF).collect())
+    assert got == sorted(i for i, (_, c) in brute_components(dict(rows), 80).items() if i == c)
+    assert got != sorted(i for i, (_, c) in brute_components(dict(rows), 85).items() if i == c)
+
+
+def test_op7_repeated_id_in_any_order(spark):
+    """Id 1 stands on texts A and B; 2 is near B. However the rows lie, 2 is linked with 1."""
+    a, b = ([f"{c}{k}" for k in range(100)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(b[:99]))]
+    for order in ((0, 1, 2), (1, 0, 2), (2, 1, 0)):
+        df = spark.createDataFrame([rows[k] for k in order], "doc_id long, text string").repartition(1)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minmax_dedup.near_duplicates(df).collect())
+        assert got == [(1, 96, 1, True), (1, 96, 1, True), (2, 95, 1, False)]
+
+
+def test_op7_long_chain(spark):
+    """2,000 texts, each near the next only: one component, in bounded time."""
+    import time
+    word = [f"w{k}" for k in range(100 + 6 * 2000)]
+    place = list(range(2000))
+    random.Random(2).shuffle(place)
+    df = spark.createDataFrame([(i, " ".join(word[6 * k:6 * k + 100])) for i, k in enumerate(place)], "doc_id long, text string").repartition(8)
+    start = time.time()
+    rows = minmax_dedup.near_duplicates(df).collect()
+    assert {r.component_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
+    assert time.time() - start < 120
+
+
 def test_near_dedup_at_80(spark):
     """Pairs at 0.78 to 0.87 by one replaced end: at 80 those from 0.80 are linked."""
     rows, want = [], []

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecdex.llm.common import ascii_lower, fresh
-from vecdex.session import cut_lineage, scratch_path
+from vecdex.session import Scratch
 
 #: rows of about 150 bytes that may be broadcast
 BROADCAST_ROWS = 200_000
@@ -90,7 +90,8 @@ def decisions(docs: DataFrame, locator: str, id_col: str = "doc_id", text_col: s
     ``docs``, whose rows are named by the column ``locator``. The texts are read
     once for the digests, and those behind hits once more."""
     spark = docs.sparkSession
-    base = scratch_path(spark, "dedup")
+    work = Scratch(spark, "dedup")
+    base = work.path
     docs.select(digest(normalised(F.col(text_col))).alias("digest"), F.col(id_col).alias("id"),
                 F.col(locator).alias("locator")).write.parquet(f"{base}/arrivals")
     arrivals = spark.read.parquet(f"{base}/arrivals")
@@ -102,16 +103,19 @@ def decisions(docs: DataFrame, locator: str, id_col: str = "doc_id", text_col: s
         track(stream, f"{base}/checkpoint", f"{base}/entries")
         # materialised, so that the joins below shuffle both sides and Spark can split
         # a digest that holds a third of all rows
-        found = cut_lineage(entries(spark, f"{base}/entries"))
+        found = work.write(entries(spark, f"{base}/entries"))
 
     hits = arrivals.join(found.where("group_size > 1").select("digest", F.col("keep.locator").alias("kept_at")), "digest")
-    texts = _texts(docs, locator, text_col, hits.select("locator", "digest", "kept_at"))
+    texts = _texts(work, docs, locator, text_col, hits.select("locator", "digest", "kept_at"))
     kept_texts = texts.where(F.col("locator") == F.col("kept_at")).select("digest", F.col("text").alias("kept_text"))
-    clashing = cut_lineage(texts.join(kept_texts, "digest").where(F.col("text") != F.col("kept_text")).select("digest").distinct())
+    # the clashes, none as a rule, are written before they are made distinct: that
+    # step shares no shuffle with the join, which can then split a frequent digest
+    clashes = work.write(texts.join(kept_texts, "digest").where(F.col("text") != F.col("kept_text")).select("digest"))
+    clashing = work.write(clashes.distinct())
     if clashing.isEmpty():
         joined = arrivals.join(found, "digest")
     else:  # different texts under one digest: group those by the full text
-        full = _texts(docs, locator, text_col, arrivals.join(clashing, "digest"))
+        full = _texts(work, docs, locator, text_col, arrivals.join(clashing, "digest"))
         split = full.groupBy("digest", "text").agg(
             F.max(F.struct("id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
         joined = (arrivals.join(found.join(clashing, "digest", "left_anti"), "digest")
@@ -120,16 +124,16 @@ def decisions(docs: DataFrame, locator: str, id_col: str = "doc_id", text_col: s
                          (F.col("locator") == F.col("keep.locator")).alias("kept"))
 
 
-def _texts(docs: DataFrame, locator: str, text_col: str, wanted: DataFrame) -> DataFrame:
+def _texts(work: Scratch, docs: DataFrame, locator: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """``wanted`` (rows with a ``locator``) with the normalised text found there."""
     rows = docs.select(F.col(locator).alias("at__"), F.col(text_col).alias("text__"))
-    return (rows.join(_small(wanted), F.col("at__") == F.col("locator"))
+    return (rows.join(_small(work, wanted), F.col("at__") == F.col("locator"))
             .withColumn("text", normalised(F.col("text__"))).drop("at__", "text__"))
 
 
-def _small(rows: DataFrame) -> DataFrame:
+def _small(work: Scratch, rows: DataFrame) -> DataFrame:
     """``rows`` to be broadcast if they are few enough, else to be shuffled."""
-    rows = cut_lineage(rows)
+    rows = work.write(rows)
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
@@ -154,7 +158,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places of the rows that go are joined with the documents."""
     rows, locator = located(docs)
     gone = decisions(rows, locator, id_col, text_col, **options).where("not kept").select("locator")
-    return rows.join(_small(gone), F.col(locator) == F.col("locator"), "left_anti").select(*[F.col(c) for c in docs.columns])
+    return rows.join(_small(Scratch(docs.sparkSession, "gone"), gone), F.col(locator) == F.col("locator"), "left_anti").select(*[F.col(c) for c in docs.columns])
 
 
 def kept_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

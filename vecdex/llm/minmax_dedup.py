@@ -10,7 +10,8 @@ documents at the threshold s to miss each other with probability
 Candidates only propose; a link needs the full shingle sets. Pairs are never
 listed group by group:
 
-1. documents with the same set are one class, whatever their number;
+1. documents with the same set are one class, whatever their number; sets, bucket
+   entries and links belong to classes, so an id may stand on several texts;
 2. star rounds: in every bucket each class meets the bucket's leader only, one
    pair per member. Confirmed links merge classes into components, and buckets
    that hold a single component are done, a large group of near copies among
@@ -24,8 +25,8 @@ listed group by group:
 
 Proposals must first agree on at least ``sketch_agree`` of 192 one-bit sketch
 positions, which pairs at the threshold fail with probability below 1e-7.
-Components are found by repeated minimum over neighbours with pointer jumping,
-on tables in the shared folder.
+Components are found by alternating large and small stars. Rounds are tables in
+the shared folder, removed once the next one is written.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecdex.llm.common import fresh
-from vecdex.session import cut_lineage
+from vecdex.session import Scratch
 
 WORDS, PERCENT = 5, 85
 BAND_PERMS = 3
@@ -152,6 +153,14 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
+def set_name(own: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit sums over a set of shingles; with its size they name it."""
+    if not len(own):
+        return 0, 0
+    return (int(_mixed(own).sum(dtype=np.uint64).view(np.int64)),
+            int(np.bitwise_xor.reduce(_mixed(own * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)))
+
+
 def _features(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """A row per document: set size, a 128-bit name of the set, band keys and sketch."""
     bands_wanted, perms = bands_for(percent), perms_for(percent)
@@ -166,12 +175,12 @@ def _features(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Data
             for text in batch.column(1).to_pylist():
                 own = shingles(text)
                 n.append(len(own))
+                name = set_name(own)
+                a.append(name[0]), b.append(name[1])
                 if not len(own):
-                    a.append(0), b.append(0), bands.append([]), sketch.append([0, 0, 0])
+                    bands.append([]), sketch.append([0, 0, 0])
                     continue
                 sig = signature(own, perms)
-                a.append(int(_mixed(own).sum(dtype=np.uint64).view(np.int64)))
-                b.append(int(np.bitwise_xor.reduce(_mixed(own * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)))
                 bands.append(band_keys(sig, bands_wanted).view(np.int64))
                 bits = (_mixed(sig.ravel()[:SKETCH_BITS]) & np.uint64(1)).astype(np.uint8)
                 sketch.append(np.packbits(bits).view(np.int64))
@@ -182,19 +191,23 @@ def _features(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Data
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, hashes`` of the wanted documents, from their whole texts. A document
-    id that stands on several rows gives the set of each."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("hashes", T.ArrayType(T.LongType()))])
-    few = wanted.count() <= BROADCAST_IDS
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col)).join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``cls, hashes`` of the wanted classes, from the whole texts of the
+    documents that head them. A document id may stand on rows with other sets."""
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("set_a", "set_b", "n")], T.StructField("hashes", T.ArrayType(T.LongType()))])
+    heads, names = classes.select(F.col("head").alias("id")).distinct(), classes.select("set_a", "set_b", "n", "cls")
+    if classes.count() <= BROADCAST_IDS:
+        heads, names = F.broadcast(heads), F.broadcast(names)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col)).join(heads, "id", "left_semi").select(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema.names)
+            sets = [shingles(t) for t in batch.column(0).to_pylist()]
+            marks = np.array([(*set_name(s), len(s)) for s in sets], np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, marks.T), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema.names)
 
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(run, schema).join(names, ["set_a", "set_b", "n"]).select("cls", "hashes").dropDuplicates(["cls"])
 
 
 def _agreeing(a: str, b: str, percent: int) -> Column:
@@ -206,30 +219,36 @@ def _agreeing(a: str, b: str, percent: int) -> Column:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b"))
+    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a")
+            .join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b"))
     common = F.size(F.array_intersect("ha", "hb"))
     return both.where(100 * common >= percent * (F.size("ha") + F.size("hb") - common)).select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``id, component``: the smallest id reachable over ``links`` (``a, b``).
+def components(links: DataFrame, work: Scratch) -> DataFrame:
+    """``a, b``: every node of ``links`` (``a, b``) but the smallest of its
+    component, with that smallest one.
 
-    Every round takes the minimum over the neighbours' labels and then jumps to
-    the label's own label; labels fall until nothing changes."""
-    both = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    Edges point from the larger node to the smaller. Large stars (larger
+    neighbours move to the smallest neighbour) and small stars (smaller
+    neighbours and the node itself do) alternate until nothing changes; a chain
+    takes about as many rounds as its length has binary digits. Every round is a
+    table that goes once the next one is written."""
+    edges = work.write(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    before = None
     while True:
-        near = (both.join(label, both.b == label.id).groupBy("a").agg(F.min("component").alias("near")))
-        lower = label.join(near, label.id == near.a).select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        jump = lower.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        step = cut_lineage(lower.join(jump, "component", "left")
-                           .select("id", "old", F.least("component", "further").alias("component")))
-        if step.where("component < old").isEmpty():
-            break
-        label = step.drop("old")
-    return (nodes.select("id").join(label, "id", "left")
-            .select("id", F.coalesce("component", "id").alias("component")))
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == before:
+            return edges
+        before = state
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        large = work.write(both.join(lowest, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
+        work.drop(edges)
+        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
+        edges = work.write(lowest.select("a", F.col("low").alias("b")).unionByName(
+            large.join(lowest, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
+        work.drop(large)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -237,72 +256,92 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingle sets have a similarity of ``percent`` hundredths or more are linked.
 
     Texts without words, null ones among them, have no shingles and link to
-    nothing. Rows that share an id count as one node with several sets: they
-    share a component, and all of them are kept or none. A null id is a node
-    like any other only if it stands alone; rows without an id never link and
-    are kept. An empty table gives an empty result. Only the two named columns
-    are read.
+    nothing. Rows that share an id count as one node with several sets: links of
+    any of them are links of the node, they share a component, and all of them
+    are kept or none. A null id is a node like any other only if it stands alone;
+    rows without an id never link and are kept. An empty table gives an empty
+    result. Only the two named columns are read. The result is a table in the
+    shared folder; every other table made on the way is removed before it returns.
     """
     docs = docs.select(F.col(id_col), F.col(text_col))
-    features = cut_lineage(_features(docs, id_col, text_col, percent))
+    work = Scratch(docs.sparkSession, "near")
+    name = ["set_a", "set_b", "n"]
+    features = work.write(_features(docs, id_col, text_col, percent))
     named = features.where("id is not null and n > 0")
-    classes = cut_lineage(named.groupBy("set_a", "set_b", "n").agg(
-        F.min("id").alias("head"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    same = named.join(classes.select("set_a", "set_b", "n", "head"), ["set_a", "set_b", "n"]).where("id <> head").select(
-        F.col("id").alias("a"), F.col("head").alias("b"))
-    entries = classes.select("head", "n", "sketch", F.explode("bands").alias("bucket"))
-    # grouped sides are materialised before they are joined, so that both sides of
+    # numbers are given once, when the table is written
+    classes = work.write(named.groupBy(*name).agg(F.min("id").alias("head"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+                         .withColumn("cls", F.monotonically_increasing_id()))
+    own = named.select("id", *name).join(classes.select(*name, "cls"), name).select("id", "cls")
+    spans = own.groupBy("id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
+    spans = work.write(spans.select("id", "lo"))
+    stars = components(own.join(spans, "id").select(F.col("cls").alias("a"), F.col("lo").alias("b")), work)
+    entries = classes.select("cls", "n", "sketch", F.explode("bands").alias("bucket"))
+    # grouped sides are written before they are joined, so that both sides of
     # the join are shuffled and a bucket that holds a third of the rows can be split
-    shared = cut_lineage(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").select("bucket"))
-    entries = cut_lineage(entries.join(shared, "bucket"))
-    heads = cut_lineage(entries.select(F.col("head").alias("id")).distinct())
-    sets = cut_lineage(_sets(docs, heads, id_col, text_col).dropDuplicates(["id"]))
-    links = []
-    comp = heads.select("id", F.col("id").alias("component"))
+    shared = work.write(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("__m")).where("__m > 1").select("bucket"))
+    left = work.write(entries.join(shared, "bucket"))
+    wanted = work.write(left.select("cls").distinct())
+    sets = work.write(_sets(docs, classes.join(wanted, "cls"), id_col, text_col))
+    work.drop(shared, wanted)
     for k in range(STAR_ROUNDS + 1):
-        open_entries = _unresolved(entries, comp)
-        if open_entries.isEmpty():
+        opened = _unresolved(left, stars, work)
+        work.drop(left)
+        left = opened
+        if opened.isEmpty():
             break
         if k < STAR_ROUNDS:
-            links.append(cut_lineage(confirmed(_star_pairs(open_entries, k, percent), sets, percent)))
-            comp = cut_lineage(components(heads, reduce(DataFrame.unionByName, links)))
+            leader, pairs = _star_pairs(opened, k, percent, work)
         else:
-            links.append(cut_lineage(confirmed(_cross_pairs(open_entries.where(F.col("members") <= SMALL), percent), sets, percent)
-                                     .unionByName(_block_links(open_entries.where(F.col("members") > SMALL), sets, percent))))
-    every = reduce(DataFrame.unionByName, [same, *links])
-    nodes = named.select("id").distinct()
-    found = components(nodes, every)
-    name = fresh(features, "c")
-    return (features.join(found.withColumnRenamed("component", name), "id", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce(name, "id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
-
-
-def _unresolved(entries: DataFrame, comp: DataFrame) -> DataFrame:
+            leader, pairs = None, _cross_pairs(opened.where(F.col("members") <= SMALL), percent)
+        links = confirmed(pairs, sets, percent)
+        if k == STAR_ROUNDS:
+            links = links.unionByName(_block_links(opened.where(F.col("members") > SMALL), sets, percent))
+        new = work.write(links)
+        merged = components(stars.unionByName(new), work)
+        work.drop(stars, new, *([leader] if leader else []))
+        stars = merged
+    label = classes.select(*name, "cls", "head").join(stars, F.col("cls") == F.col("a"), "left").select(
+        *name, "head", F.coalesce("b", "cls").alias("root"))
+    first = label.groupBy("root").agg(F.min("head").alias("component"))
+    label = work.write(label.select(*name, "root").join(first, "root").select(*name, "component"))
+    found = features.select("id", *name).join(label, name, "left")
+    out = work.write(found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")).alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
+    work.close(keep=out)
+    return out
+
+
+def _unresolved(entries: DataFrame, stars: DataFrame, work: Scratch) -> DataFrame:
     """Entries, with their component, of the buckets that hold several."""
-    marked = entries.join(comp.withColumnRenamed("id", "head"), "head")
-    several = marked.groupBy("bucket").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi"),
-                                           F.count(F.lit(1)).alias("members")).where("__lo <> __hi")
-    return cut_lineage(marked.join(cut_lineage(several.select("bucket", "members")), "bucket"))
+    marked = (entries.select("bucket", "cls", "n", "sketch").join(stars.withColumnRenamed("a", "cls"), "cls", "left")
+              .select("bucket", "cls", "n", "sketch", F.coalesce("b", "cls").alias("component")))
+    several = work.write(marked.groupBy("bucket").agg(
+        F.min("component").alias("__lo"), F.max("component").alias("__hi"), F.count(F.lit(1)).alias("members"))
+        .where("__lo <> __hi").select("bucket", "members"))
+    out = work.write(marked.join(several, "bucket"))
+    work.drop(several)
+    return out
 
 
-def _star_pairs(entries: DataFrame, k: int, percent: int) -> DataFrame:
-    """Each member with its bucket's leader of round ``k``, across components."""
-    by = F.xxhash64("head", F.lit(k)) if k else F.col("head")
-    leader = entries.groupBy("bucket").agg(F.min_by(F.struct("head", "n", "sketch", "component"), by).alias("l"))
-    leader = cut_lineage(leader.select("bucket", "l.*"))
-    return (entries.alias("x").join(leader.alias("y"), "bucket")
-            .where((F.col("x.component") != F.col("y.component")) & _agreeing("x", "y", percent))
-            .select(F.least("x.head", "y.head").alias("a"), F.greatest("x.head", "y.head").alias("b")).distinct())
+def _star_pairs(entries: DataFrame, k: int, percent: int, work: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The leaders of round ``k``, and each member with its bucket's leader, across components."""
+    by = F.xxhash64("cls", F.lit(k)) if k else F.col("cls")
+    leader = entries.groupBy("bucket").agg(F.min_by(F.struct("cls", "n", "sketch", "component"), by).alias("l"))
+    leader = work.write(leader.select("bucket", "l.*"))
+    return leader, (entries.alias("x").join(leader.alias("y"), "bucket")
+                    .where((F.col("x.component") != F.col("y.component")) & _agreeing("x", "y", percent))
+                    .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct())
 
 
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs across components of a bucket that could be similar enough; the
     join's condition keeps members of one component apart."""
     return (entries.alias("x").join(entries.alias("y"), (F.col("x.bucket") == F.col("y.bucket"))
-                                    & (F.col("x.head") < F.col("y.head"))
+                                    & (F.col("x.cls") < F.col("y.cls"))
                                     & (F.col("x.component") != F.col("y.component")) & _agreeing("x", "y", percent))
-            .select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct())
+            .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
 
 
 def _blocks(rows: str, size: str) -> Column:
@@ -319,15 +358,14 @@ def _block_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .withColumn("rest_rows", F.col("all_rows") - F.col("core_rows")).withColumn("rest_size", F.col("all_size") - F.col("core_size"))
             .select("bucket", F.col("core.component").alias("core"), _blocks("core_rows", "core_size").alias("cores"),
                     _blocks("rest_rows", "rest_size").alias("rests")))
-    rows = entries.select("bucket", "head", "component").join(plan, "bucket").withColumn("in_core", F.col("component") == F.col("core"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("head"), F.when(F.col("in_core"), F.col("cores")).otherwise(F.col("rests"))).cast("int"))
+    rows = entries.select("bucket", "cls", "component").join(plan, "bucket").withColumn("in_core", F.col("component") == F.col("core"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.when(F.col("in_core"), F.col("cores")).otherwise(F.col("rests"))).cast("int"))
     meets = F.when(F.col("in_core"), F.expr("transform(sequence(0, rests - 1), i -> struct(i AS x, block AS y, true AS c))")).otherwise(
         F.expr("""concat(transform(sequence(0, rests - 1), i -> struct(least(i, block) AS x, greatest(i, block) AS y, false AS c)),
                          transform(sequence(0, cores - 1), i -> struct(block AS x, i AS y, true AS c)))"""))
-    rows = rows.select("bucket", F.col("head").alias("id"), "component", "in_core", "block", F.explode(meets).alias("meet"))
-    kind = dict(entries.dtypes)["head"]
-    return (rows.select("bucket", "id", "component", "in_core", "block", "meet.x", "meet.y", "meet.c").join(sets, "id")
-            .groupBy("bucket", "x", "y", "c").applyInPandas(lambda pair: _linked(pair, percent), f"a {kind}, b {kind}"))
+    rows = rows.select("bucket", "cls", "component", "in_core", "block", F.explode(meets).alias("meet"))
+    return (rows.select("bucket", "cls", "component", "in_core", "block", "meet.x", "meet.y", "meet.c").join(sets, "cls")
+            .groupBy("bucket", "x", "y", "c").applyInPandas(lambda pair: _linked(pair, percent), "a long, b long"))
 
 
 def _linked(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -341,7 +379,7 @@ def _linked(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     union = sizes[0][:, None] + sizes[1][None, :] - common
     linked = (100 * common >= percent * union) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
     edges = spanning_edges(linked)
-    return pd.DataFrame({"a": left["id"].to_numpy()[edges[:, 0]], "b": right["id"].to_numpy()[edges[:, 1]]})
+    return pd.DataFrame({"a": left["cls"].to_numpy()[edges[:, 0]], "b": right["cls"].to_numpy()[edges[:, 1]]})
 
 
 def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -389,6 +427,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of ``docs`` that stay: of each component the one with its
     smallest id, and every row without an id. Ids should be unique by now; rows
     that share a kept id all stay. What goes is the smaller side of the join."""
-    gone = cut_lineage(near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("id")).distinct())
+    marked = near_duplicates(docs, id_col, text_col, percent)
+    gone = marked.where("not kept").select(F.col(id_col).alias(fresh(docs, "gone"))).distinct()
     side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(side, docs[id_col] == side["id"], "left_anti")
+    return docs.join(side, docs[id_col] == side[side.columns[0]], "left_anti")
