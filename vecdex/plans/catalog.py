@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from vecdex.functions import text as tx
 from vecdex.functions import vectors as vx
-from vecdex.operators import corpus, embed, enrich, ids, index, search, topk
+from vecdex.operators import corpus, embed, enrich, fuzzy, ids, index, search, topk
+from vecdex.operators.buckets import BucketIndex
 from vecdex.session import committed, file_state, scratch_path, ship_package
 from vecdex.sources.tables import embeddings_index, table
 
@@ -353,22 +354,37 @@ def _part_delta(spark, d) -> DataFrame:
     return changed.unionByName(new)
 
 
+def _part_index(spark, d) -> BucketIndex:
+    """The parts as a bucketed index: the part key is the id, size and price the vector."""
+    p = table(spark, d, "part")
+    return BucketIndex.create(_as_points(p), scratch_path(spark, "part-index"), 2, buckets=16)
+
+
+def _as_points(part: DataFrame) -> DataFrame:
+    return part.withColumnRenamed("p_partkey", "id").withColumn(
+        "vector", F.array(F.col("p_size").cast("float"), F.col("p_retailprice").cast("float")))
+
+
 @register("s8_upsert")
 def s8_upsert(spark, d):
-    base = table(spark, d, "part")
-    delta = _part_delta(spark, d).withColumn("seq", F.lit(2))
+    """Key upsert into a stored index: the changed and new rows replace or join
+    theirs, of several rows for an id the last by ``seq``."""
+    idx = _part_index(spark, d)
+    delta = _as_points(_part_delta(spark, d)).withColumn("seq", F.lit(2))
     stale = delta.withColumn("p_name", F.lit("stale")).withColumn("seq", F.lit(1))
-    latest = index.one_per_key(delta.unionByName(stale), "p_partkey", "seq").select(*base.columns)
-    return index.upserted(base, latest, "p_partkey")
+    idx.upsert(delta.unionByName(stale), seq_col="seq")
+    return idx.payload().withColumnRenamed("id", "p_partkey")
 
 
 @register("s10_set_payload")
 def s10_set_payload(spark, d):
-    base = table(spark, d, "part")
-    upd = base.where(F.col("p_size") % 10 == 0).select(
-        "p_partkey", F.concat(F.col("p_brand"), F.lit("-new")).alias("p_brand"), F.lit(2).alias("seq"))
+    """Partial payload update of a stored index; its vectors are not rewritten."""
+    idx = _part_index(spark, d)
+    upd = table(spark, d, "part").where(F.col("p_size") % 10 == 0).select(
+        F.col("p_partkey").alias("id"), F.concat(F.col("p_brand"), F.lit("-new")).alias("p_brand"), F.lit(2).alias("seq"))
     stale = upd.withColumn("p_brand", F.lit("stale")).withColumn("seq", F.lit(1))
-    return index.with_payload_updates(base, upd.unionByName(stale), ["p_brand"], key="p_partkey", seq_col="seq")
+    idx.set_payload(upd.unionByName(stale), ["p_brand"], seq_col="seq")
+    return idx.payload().withColumnRenamed("id", "p_partkey")
 
 
 @register("s9_scroll")
@@ -424,6 +440,29 @@ def j5_lookup(spark, d):
                         tx.poster_url("poster_path", POSTER_BASE).alias("poster_url"))
 
 
+def _misspelt(title: F.Column, key: F.Column) -> F.Column:
+    """A title as given, with a letter less, one more, or another in upper case."""
+    at = (1 + key % F.length(title)).cast("int")
+    head, tail = F.substring(title, F.lit(1), at - 1), F.substring(title, at + 1, F.length(title))
+    return (F.when(key % 4 == 0, title).when(key % 4 == 1, F.concat(head, tail))
+            .when(key % 4 == 2, F.concat(head, F.lit("x"), F.substring(title, at, F.length(title))))
+            .otherwise(F.upper(F.concat(head, F.lit("q"), tail))))
+
+
+@register("j5_fuzzy_lookup")
+def j5_fuzzy_lookup(spark, d):
+    """Misspelt part titles looked up in the catalogue, two edits at most."""
+    p = table(spark, d, "part").withColumn("title", F.concat_ws(" ", "p_name", "p_type", "p_size"))
+    from pyspark.sql import Window
+    rank = F.row_number().over(Window.partitionBy("title").orderBy("p_partkey")).cast("int")
+    path = F.when(F.col("p_partkey") % 11 == 0, F.lit(None)).when(F.col("p_partkey") % 13 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".jpg")))
+    catalogue = p.select("title", (1990 + F.col("p_partkey") % 20).cast("int").alias("year"), rank.alias("rank"), path.alias("poster_path"))
+    year = F.when(F.col("p_size") % 3 == 0, F.lit(None)).otherwise(1990 + F.col("p_partkey") % 20)
+    points = p.select(F.col("p_partkey").alias("id"), _misspelt(F.col("title"), F.col("p_partkey")).alias("title"), year.cast("int").alias("release_year"))
+    return fuzzy.fuzzy_lookup(points, catalogue)
+
+
 @register("f4_enriched")
 def f4_enriched(spark, d):
     """S11 + F4 after one enrichment pass over the part points."""

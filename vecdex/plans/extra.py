@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecdex.operators import corpus, embed, ivf, search, topk
 from vecdex.operators.lists import ListIndex
+from vecdex.operators.buckets import BucketIndex
 from vecdex.operators.index import VectorIndex, build_points
 from vecdex.plans.catalog import (DEBOUNCE_GAP, DEBOUNCE_GAP_S, EMB_DIM, RATE_MAX, RATE_WINDOW_S,
                                   TEXT_DIM, conversation_queries, register, stored, text_index)
@@ -98,10 +99,11 @@ def st1_stream_search(spark, d):
 
 @register("st2_ingest")
 def st2_ingest(spark, d):
-    """Documents streamed into a versioned index (embed + key upsert per
-    micro-batch); result: the final index payload and vector fill."""
+    """Documents streamed into a bucketed index (embed + key upsert per
+    micro-batch, touched buckets only); result: the final index payload and
+    vector fill."""
     rows = st.file_stream(spark, os.path.join(d, "documents.parquet"))
-    idx = VectorIndex(spark, scratch_path(spark, "st2-index"))
+    idx = BucketIndex(spark, scratch_path(spark, "st2-index"))
     st.run_ingest_stream(rows, idx, embed.HashingEmbedder(TEXT_DIM), "text",
                          checkpoint=scratch_path(spark, "st2-ckpt"), dim=TEXT_DIM,
                          prepare=lambda b: b.select(F.col("doc_id").alias("id"), "lang", "text"))

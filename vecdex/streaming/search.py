@@ -68,7 +68,8 @@ def search_stream_results(spark: SparkSession, queries: DataFrame, index: DataFr
 def run_ingest_stream(rows: DataFrame, idx: VectorIndex, embedder, text_col: str, *,
                       checkpoint: str, dim: int, available_now: bool = True,
                       prepare=None, seq_col: str | None = None):
-    """ST2: new corpus rows -> embed -> key upsert into the versioned index.
+    """ST2: new corpus rows -> embed -> key upsert into the index (a ``BucketIndex``
+    rewrites only the buckets that a micro-batch touches).
 
     ``prepare`` maps a micro-batch to index rows (id + payload + text) before
     embedding; of several rows for an id in a batch the highest ``seq_col``
@@ -79,7 +80,7 @@ def run_ingest_stream(rows: DataFrame, idx: VectorIndex, embedder, text_col: str
         b = one_per_key(b, "id", seq_col)
         pts = embedder.embed(b, text_col, "vector").drop(text_col)
         if not idx.versions():
-            VectorIndex.create(pts, idx.path, dim)
+            type(idx).create(pts, idx.path, dim)
         else:
             idx.upsert(pts)
 
