@@ -410,8 +410,8 @@ WITH p AS (SELECT *, p_name || ' ' || p_type || ' ' || p_size AS t, 1 + p_partke
 c AS (SELECT lower(t) AS t, 1990 + p_partkey % 20 AS year, row_number() OVER (PARTITION BY t ORDER BY p_partkey) AS rank,
              CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN '' ELSE '/' || p_partkey || '.jpg' END AS path FROM p),
 q AS (SELECT p_partkey AS id, CASE WHEN p_size % 3 <> 0 THEN 1990 + p_partkey % 20 END AS year,
-             lower(CASE p_partkey % 4 WHEN 0 THEN t WHEN 1 THEN left(t, pos - 1) || substr(t, pos + 1)
-                   WHEN 2 THEN left(t, pos - 1) || 'x' || substr(t, pos) ELSE left(t, pos - 1) || 'q' || substr(t, pos + 1) END) AS t FROM p),
+             lower(trim(CASE p_partkey % 4 WHEN 0 THEN t WHEN 1 THEN left(t, pos - 1) || substr(t, pos + 1)
+                   WHEN 2 THEN left(t, pos - 1) || 'x' || substr(t, pos) ELSE left(t, pos - 1) || 'q' || substr(t, pos + 1) END)) AS t FROM p),
 m AS (SELECT q.id, c.t AS match_title, levenshtein(q.t, c.t) AS edits, path,
              row_number() OVER (PARTITION BY q.id ORDER BY levenshtein(q.t, c.t), c.rank, c.t) AS k
       FROM q JOIN c ON levenshtein(q.t, c.t) <= 2 AND (q.year IS NULL OR q.year = c.year))
