@@ -211,3 +211,59 @@ def test_debounce_stream_flushed_equals_batch(spark, shuffled_events):
     assert got == sorted(r.event_id for r in batch.collect())
     appended = ev.run_debounce_stream(agg, sink=scratch_path(spark, "t-app"), checkpoint=scratch_path(spark, "t-appc"))
     assert appended.count() < len(got)
+
+
+@pytest.mark.parametrize("key", ["st3_timer_stream", "st4_timer_audit"])
+def test_timer_streams_over_files_without_time_order(spark, shuffled_events, key):
+    import duckdb
+    import __spark_entry__ as E
+    got = E.queries()[key](spark, shuffled_events).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_ORACLE}/events.parquet')")
+    want = con.execute(E.oracle_sql()[key]).df()
+    order = lambda p: p[sorted(p.columns)].sort_values("event_id", ignore_index=True)
+    pd.testing.assert_frame_equal(order(got), order(want), check_dtype=False)
+
+
+def _state_rows(spark, checkpoint):
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "rows").load()
+
+
+def test_timers_fire_as_the_watermark_moves(spark):
+    """Files in time order, one a micro-batch: most events are emitted on the way,
+    the state holds the rest only, and all of it together is the batch answer."""
+    from vecdex.streaming import timers
+    pdf = _events(spark)
+    path, _ = _ordered_files(pdf, 4)
+    for make, brute in ((lambda s: timers.debounce_timers(s, "user_id", "ts", 20.0, watermark="1 second", bucket_seconds=300.0), None),
+                        (lambda s: timers.audit_timers(s, "user_id", "ts", 30.0, 2, watermark="1 second", bucket_seconds=300.0), "rate")):
+        sink, ck = scratch_path(spark, "t-timers"), scratch_path(spark, "t-timersc")
+        rows = make(st.file_stream(spark, path)).run(sink, ck).collect()
+        early = {r.event_id for r in spark.read.parquet(os.path.join(sink, "decided")).collect()}
+        assert len(rows) == len({r.event_id for r in rows})
+        if brute:
+            assert {r.event_id: r.n_window for r in rows} == brute_rate(pdf, 30_000)
+            assert all(r.over_limit == (r.n_window > 2) for r in rows)
+        else:
+            assert {r.event_id for r in rows} == brute_debounce(pdf, 20_000)
+        assert len(early) > 0.6 * len(rows)
+        assert _state_rows(spark, ck).count() < 0.35 * len(pdf)
+
+
+def test_timer_streams_edges(spark):
+    """A hot key over many buckets, equal times, an event at a bucket's edge, no events."""
+    from vecdex.streaming import timers
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, t0 + dt.timedelta(seconds=10 * k), 1) for k in range(200)] + [(900, t0 + dt.timedelta(seconds=600), 2), (901, t0 + dt.timedelta(seconds=600), 2),
+                                                                             (902, t0 + dt.timedelta(seconds=599), 2)]
+    pdf = pd.DataFrame(rows, columns=["event_id", "ts", "user_id"])
+    path, _ = _ordered_files(pdf, 1)
+    src = st.file_stream(spark, path, max_files=None)
+    for gap in (10.0, 10.000001):
+        out = timers.debounce_timers(src, "user_id", "ts", gap, bucket_seconds=60.0).run(scratch_path(spark, "t-e"), scratch_path(spark, "t-ec"))
+        want = ev.debounce(spark.createDataFrame(pdf), "user_id", "ts", gap, tie="event_id")
+        assert sorted(r.event_id for r in out.collect()) == sorted(r.event_id for r in want.collect())
+    empty = scratch_path(spark, "t-none")
+    spark.createDataFrame(pdf).limit(0).write.parquet(empty)
+    out = timers.audit_timers(st.file_stream(spark, empty), "user_id", "ts", 5.0, 1).run(scratch_path(spark, "t-n"), scratch_path(spark, "t-nc"))
+    assert out.count() == 0

@@ -18,6 +18,7 @@ from vecdex.sources import tsv
 from vecdex.sources.tables import embeddings_index, table
 from vecdex.streaming import events as ev
 from vecdex.streaming import search as st
+from vecdex.streaming import timers
 
 
 
@@ -132,6 +133,28 @@ def st3_debounce_stream(spark, d):
     return out.select("event_id", "user_id", "event_type")
 
 
+#: a state holds the events of one user and week
+WEEK_S = 7 * 86400.0
+
+
+@register("st3_timer_stream")
+def st3_timer_stream(spark, d):
+    """Streaming debounce with event-time timers; what still waits at the end of the
+    input is decided from the state, so every event that closes a burst is there."""
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
+    stream = timers.debounce_timers(src, "user_id", "ts", DEBOUNCE_GAP_S, bucket_seconds=WEEK_S)
+    return stream.run(scratch_path(spark, "st3-timers"), scratch_path(spark, "st3-timers-ckpt")).select("event_id", "user_id", "event_type")
+
+
+@register("st4_timer_audit")
+def st4_timer_audit(spark, d):
+    """The rate audit as a stream whose state expires a window after its events."""
+    src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
+    stream = timers.audit_timers(src, "user_id", "ts", RATE_WINDOW_S, RATE_MAX, bucket_seconds=WEEK_S)
+    return stream.run(scratch_path(spark, "st4-timers"), scratch_path(spark, "st4-timers-ckpt")).select(
+        "event_id", "user_id", "n_window", "over_limit")
+
+
 @register("st4_rate")
 def st4_rate(spark, d):
     """Rate audit: events of the same user in the trailing window."""

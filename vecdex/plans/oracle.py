@@ -417,3 +417,7 @@ m AS (SELECT q.id, c.t AS match_title, levenshtein(q.t, c.t) AS edits, path,
       FROM q JOIN c ON levenshtein(q.t, c.t) <= 2 AND (q.year IS NULL OR q.year = c.year))
 SELECT q.id, match_title, CAST(edits AS INTEGER) AS edits, nullif(path, '') AS poster_path
 FROM q LEFT JOIN m ON m.id = q.id AND m.k = 1"""
+
+# streams that decide what waits at the end equal the batch forms
+SQL["st3_timer_stream"] = SQL["st3_debounce"]
+SQL["st4_timer_audit"] = SQL["st4_rate"]
