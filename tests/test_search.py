@@ -269,3 +269,50 @@ def test_balance_starts_no_job(spark):
     balance(df)
     assert not status.getJobIdsForGroup("balance-test")
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_candidates_are_bounded_by_groups(spark):
+    """An index of many files is scanned in few tasks; the answer is the same."""
+    from vecdex.plans.inspect import plan
+    from vecdex.session import scratch_path
+    path = scratch_path(spark, "many-files")
+    df = spark.range(2000).select("id", F.array(*[F.sin(F.col("id") * (k + 1)).cast("float") for k in range(4)]).alias("vector"))
+    df.repartition(60).write.parquet(path)
+    index = spark.read.parquet(path)
+    q = df.where("id % 50 = 0").select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        few = topk.knn(index, q, 4, 5, config=topk.SearchConfig(candidate_groups=3))
+        assert "Coalesce (" in plan(few) and "Coalesce (" not in plan(topk.knn(index, q, 4, 5, config=topk.SearchConfig(candidate_groups=10_000)))
+        got = sorted(map(tuple, few.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted(map(tuple, topk.knn(df, q, 4, 5).collect()))
+
+
+def test_scroll_skips_files_by_id(spark):
+    """Pages after an id read only files that can hold later ids."""
+    from vecdex.session import scratch_path
+    rows = spark.range(40_000).select("id", F.concat(F.lit("row "), "id").alias("title"))
+    stored = search.write_scrollable(rows.repartition(8), scratch_path(spark, "sorted"))
+    spans = [(r.lo, r.hi) for r in stored.groupBy(F.input_file_name()).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()]
+    spans.sort()
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))            # disjoint ranges
+    seen, after = [], None
+    while True:
+        page = search.scroll(stored, F.col("id") % 2 == 0, after, page_size=7000)
+        got = [r.id for r in page.collect()]
+        seen += got
+        if len(got) < 7000:
+            break
+        after = got[-1]
+    assert seen == list(range(0, 40_000, 2))
+    late = search.scroll(stored, after=39_000)
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,39000)]" in late._jdf.queryExecution().executedPlan().toString()
+    # row groups that the filter's statistics rule out are not read
+    late.collect()
+    scan = late._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() <= max(hi - lo + 1 for lo, hi in spans)

@@ -7,9 +7,9 @@ search and index builders take one as an argument (U4: no global switch).
   odd positions for any text. Pure SQL.
 * ``HashingEmbedder`` (U5): lexical feature hashing. Tokenising runs in the
   JVM (regex split); one Arrow UDF hashes each distinct token of a batch once
-  (md5: bucket from the first 8 hex digits mod dim, sign from the 9th) and
-  fills the batch's dense signed counts with a single ``bincount``.
-  Row-wise map, never a shuffle.
+  (md5: bucket from the first 8 hex digits mod dim, sign from the 9th; hashes of
+  frequent tokens are remembered) and fills the batch's dense signed counts with
+  a single ``bincount``. Row-wise map, never a shuffle.
 * ``ModelEmbedder`` (U1): an injected batch model through
   ``predict_batch_udf``, built once per Python worker and fed fixed-size
   batches (K6).
@@ -22,6 +22,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,8 @@ from vecdex.session import balance
 # --- fixed values -----------------------------------------------------------
 STUB_VALUE = 0.1               # U2: +0.1 at even, -0.1 at odd index
 MODEL_BATCH = 64               # U1 texts per model call
+# U5 token hashes remembered per worker process, about 0.15 kB each
+TOKEN_MEMO = 500_000
 # U5 token rule: maximal runs of Unicode letters/digits of the lower-cased text
 TOKEN_SPLIT_RE = r"[^\p{L}\p{N}]+"
 # ---------------------------------------------------------------------------
@@ -64,15 +68,24 @@ def hash_tokens(text) -> Column:
     return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT_RE), lambda t: t != "")
 
 
+class _TokenHashes(dict):
+    """First five bytes of a token's md5 as one number, remembered up to a bound."""
+
+    def __missing__(self, token: str) -> int:
+        code = int.from_bytes(hashlib.md5(token.encode("utf-8")).digest()[:5], "big")
+        if len(self) < TOKEN_MEMO and len(token) < 100:
+            self[token] = code
+        return code
+
+
+_HASHES = _TokenHashes()
+
+
 def _hash_token_table(tokens: "pa.Array", dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """md5-based (bucket, sign) for each distinct token of an Arrow array."""
-    buckets = np.empty(len(tokens), dtype=np.int64)
-    signs = np.empty(len(tokens), dtype=np.float64)
-    for i, t in enumerate(tokens.to_pylist()):
-        h = hashlib.md5(t.encode("utf-8")).hexdigest()
-        buckets[i] = int(h[:8], 16) % dim
-        signs[i] = 1.0 if int(h[8], 16) < 8 else -1.0
-    return buckets, signs
+    """md5-based (bucket, sign) for each distinct token of an Arrow array: bucket
+    from the first four bytes, sign from the top bit of the fifth."""
+    code = np.fromiter(map(_HASHES.__getitem__, tokens.to_pylist()), np.int64, len(tokens))
+    return (code >> 8) % dim, np.where(code & 0x80, -1.0, 1.0)
 
 
 def _tokens_to_dense(dim: int):
@@ -118,14 +131,10 @@ class HashingEmbedder:
         return balance(df).withColumn(out_col, self.vector(text_col))
 
     def sparse(self, df: DataFrame, key: str, text_col: str) -> DataFrame:
-        """(key, pos, value) rows of the non-zero buckets, by column functions
-        alone: tokens are exploded, hashed in the JVM and added up per bucket
-        with map-side combine."""
-        each = df.select(key, F.explode(hash_tokens(text_col)).alias("_t")).withColumn("_h", F.md5("_t"))
-        bucket = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") % self.dim
-        sign = F.when(F.substring("_h", 9, 1) < "8", 1).otherwise(-1)
-        return (each.groupBy(key, bucket.cast("int").alias("pos")).agg(F.sum(sign).cast("float").alias("value"))
-                .where(F.col("value") != 0))
+        """(key, pos, value) rows of the non-zero buckets: the dense vectors of a
+        batch, unrolled where they lie. No shuffle."""
+        rows = balance(df.select(key, text_col)).select(key, F.posexplode(self.vector(text_col)).alias("pos", "value"))
+        return rows.where(F.col("value") != 0)
 
 
 def mean_pool(token_vectors, mask) -> Column:
@@ -148,13 +157,17 @@ def mean_pool_by_key(df: DataFrame, key: str | list[str], vec_col: str,
                      mask_col: str | None = None) -> DataFrame:
     """A5: masked mean of vectors grouped by ``key`` -> (key..., pos, value).
 
-    posexplode + partial/final hash aggregate on (key, pos): a hot key is
-    pre-aggregated map side, never collected into one task."""
+    Vectors are added up as vectors, one partial sum per group and map task (a hot
+    key is combined there), and unrolled once per group. Null vectors and rows
+    that are masked out do not count; a group without any has no rows. Vectors of
+    a group must have one width and no null elements."""
     keys = [key] if isinstance(key, str) else list(key)
     src = df if mask_col is None else df.where(F.col(mask_col) != 0)
-    return (src.select(*keys, F.posexplode_outer(vec_col).alias("pos", "x"))
-            .where(F.col("pos").isNotNull())
-            .groupBy(*keys, "pos").agg(F.avg(F.col("x").cast("double")).alias("value")))
+    # unwrapped by a generator, which the null check cannot pass: an embedding UDF
+    # that feeds the vectors is evaluated once
+    rows = src.select(*keys, F.explode_outer(F.array(vec_col)).alias("_v")).where(F.size("_v") > 0)
+    pooled = rows.groupBy(*keys).agg(Summarizer.mean(array_to_vector("_v")).alias("_mean"))
+    return pooled.select(*keys, F.posexplode(vector_to_array("_mean")).alias("pos", "value"))
 
 
 class ModelEmbedder:

@@ -117,6 +117,14 @@ def scroll(index: DataFrame, predicate: Column | None = None, after=None,
     return df.orderBy(id_col).limit(page_size)
 
 
+def write_scrollable(index: DataFrame, path: str, id_col: str = "id") -> DataFrame:
+    """The index range-sorted by id, so that files and row groups hold disjoint
+    id ranges and ``scroll`` with ``after`` skips those before it by their
+    statistics. Returns the stored table."""
+    index.repartitionByRange(id_col).sortWithinPartitions(id_col).write.mode("overwrite").parquet(path)
+    return index.sparkSession.read.parquet(path)
+
+
 def page_numbers(index: DataFrame, page_size: int = 100, id_col: str = "id",
                  predicate: Column | None = None) -> DataFrame:
     """S9 over the whole index: the page each row falls on when scrolling

@@ -15,7 +15,8 @@ task emits no more than ``k`` candidates per query:
   co-grouped on (query block, corpus block); every group is bounded by the
   block sizes, so no task ever holds a whole side.
 
-Candidates (at most partitions x Q x k rows) are then ranked by
+Candidates (at most tasks x Q x k rows, with a bound on the tasks that does not
+grow with the index) are then ranked by
 ``row_number() over (partition by qid order by round(score,6) desc, id)``,
 which Catalyst turns into a partial + final ``WindowGroupLimit`` around one
 shuffle on ``qid``.
@@ -52,12 +53,16 @@ class SearchConfig:
     executor. Past it, the block path co-groups (query block, corpus block);
     its shuffle volume is Q x corpus_blocks + N x query_blocks, so query
     blocks are made as large as the broadcast budget (few corpus copies) and
-    corpus blocks as large as one task can hold. Row counts override bytes."""
+    corpus blocks as large as one task can hold. Row counts override bytes.
+    An index of more splits than ``candidate_groups`` (four per core unless given)
+    is scanned in that many tasks, so that the candidates shuffled are at most
+    groups x queries x k however large the index is."""
     broadcast_bytes: int = 128 << 20
     query_block_bytes: int = 128 << 20
     corpus_block_bytes: int = 512 << 20
     query_block_rows: int | None = None
     corpus_block_rows: int | None = None
+    candidate_groups: int | None = None
 
     def block_rows(self, dim: int) -> tuple[int, int]:
         q = self.query_block_rows or max(1, self.query_block_bytes // (8 * dim))
@@ -171,6 +176,18 @@ def _block_kernel(dim: int, kmax: int, normalized: bool):
     return run
 
 
+def scan_tasks(df: DataFrame) -> int:
+    """Tasks that a scan of stored files will take, from the files' bytes and the
+    split size; 1 where the input is no file scan. No job is started."""
+    files = df.inputFiles()
+    if not files:
+        return 1
+    conf = df.sparkSession.conf
+    split = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, size // max(1, split))
+
+
 # ---------------------------------------------------------------------------
 # public operators
 # ---------------------------------------------------------------------------
@@ -227,6 +244,9 @@ def knn(index: DataFrame, queries: DataFrame, dim: int, k: int = 10, *,
             return spark.createDataFrame([], "qid long, rank int, id long, score double")
         kmax = int(ks.max())
         bq = spark.sparkContext.broadcast((qids, ks, normalize_rows(vectors[ok])))
+        groups = config.candidate_groups or 4 * spark.sparkContext.defaultParallelism
+        if scan_tasks(csel) > groups:  # a task takes several splits and keeps k rows a query over all of them
+            csel = csel.coalesce(groups)
         cands = csel.mapInArrow(
             _broadcast_kernel(bq, "id", "vec", dim, kmax, index_normalized), _CAND_SCHEMA)
         out = rank_candidates(cands, kmax)

@@ -195,6 +195,26 @@ def a2_response_json(spark, d):
     return search.response_json(search.responses(q, hits, ["id", "score", "lang", "source"]))
 
 
+@register("a2_response_rows")
+def a2_response_rows(spark, d):
+    """A2 + S13 unrolled: the JSON responses parsed back, a row per hit in rank order."""
+    shape = ("query string, requested_limit int, count int, "
+             "results array<struct<id: bigint, score: double, lang: string, source: string>>")
+    parsed = a2_response_json(spark, d).select("qid", F.from_json("json", shape).alias("r"))
+    return parsed.select("qid", "r.requested_limit", "r.count", F.posexplode("r.results").alias("pos", "hit")).select(
+        "qid", "requested_limit", "count", (F.col("pos") + 1).alias("rank"), "hit.id", "hit.score", "hit.lang", "hit.source")
+
+
+@register("k5_result_cap")
+def k5_result_cap(spark, d):
+    """K5: one query with a limit beyond the rows there are gives them all; 0 gives none."""
+    idx = embeddings_index(spark, d)
+    q = centroid(idx, "vector")
+    some = idx.where(F.col("label") == 0)
+    all_of_them = topk.knn_single(some, q, EMB_DIM, 1_000_000)
+    return all_of_them.unionByName(topk.knn_single(some, q, EMB_DIM, 0))
+
+
 @register("k3_suggest")
 def k3_suggest(spark, d):
     """Suggestions: trimmed queries of >= 2 units, top 3 each."""
@@ -309,6 +329,19 @@ def p10_masked_pool(spark, d):
         "conv_id", "pos", F.round("value", 6).alias("value"))
 
 
+@register("p10_token_pool")
+def p10_token_pool(spark, d):
+    """P10 per row: a conversation as a sequence of turn vectors with a mask (user
+    turns); the masked mean over the sequence."""
+    c = table(spark, d, "conversations")
+    v = embed.HashingEmbedder(TEXT_DIM).embed(c, "text", "vector")
+    turn = F.struct("turn", "vector", (F.col("role") == "user").cast("int").alias("mask"))
+    rows = v.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+    pooled = rows.select("conv_id", embed.mean_pool(F.col("t.vector"), F.col("t.mask")).alias("pooled"))
+    return pooled.select("conv_id", F.posexplode("pooled").alias("pos", "value")).select(
+        "conv_id", "pos", F.round("value", 6).alias("value"))
+
+
 # ---------------------------------------------------------------------------
 # vectors / index health
 # ---------------------------------------------------------------------------
@@ -330,6 +363,23 @@ def p13_cosine(spark, d):
                                   6).alias("score"))
 
 
+@register("p11_float32")
+def p11_float32(spark, d):
+    """Narrowing to float32: the stored price of a part as FLOAT, in DOUBLE again."""
+    p = table(spark, d, "part").select("p_partkey", F.array(F.col("p_retailprice") / 3, F.col("p_retailprice") * 7).alias("v"))
+    return p.select("p_partkey", F.posexplode(vx.to_float32("v")).alias("pos", "x")).select(
+        "p_partkey", "pos", F.col("x").cast("double").alias("value"))
+
+
+@register("p12_dimensions")
+def p12_dimensions(spark, d):
+    """Dimension audit: vectors cut to a width that depends on the label, against
+    the width of the index; null vectors count as bad."""
+    e = embeddings_index(spark, d)
+    cut = F.when(F.col("label") % 5 == 0, F.lit(None)).otherwise(F.slice("vector", 1, F.lit(EMB_DIM) - F.col("label") % 3))
+    return e.select("id", vx.check_dim(cut, EMB_DIM, strict=False).alias("bad"))
+
+
 @register("a4_health")
 def a4_health(spark, d):
     return index.health(embeddings_index(spark, d), EMB_DIM)
@@ -429,6 +479,44 @@ def s7_index_create(spark, d):
         F.lit(int(props["dim"])).alias("dim"), F.lit(props["metric"]).alias("metric"))
 
 
+def _artifacts(spark, d) -> DataFrame:
+    emb = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+    return table(spark, d, "documents").select("doc_id", "lang", "source").join(emb, "doc_id")
+
+
+@register("s5_artifacts")
+def s5_artifacts(spark, d):
+    """Vectors and records written as artefacts, read back and put together."""
+    out, records = scratch_path(spark, "s5-vectors"), scratch_path(spark, "s5-records")
+    index.write_artifacts(_artifacts(spark, d), out, json_path=records)
+    vectors = spark.read.parquet(out).select("doc_id", F.size("vector").alias("dim"), F.round(vx.norm("vector"), 6).alias("norm"))
+    rows = spark.read.schema("doc_id long, lang string, source string").json(records)
+    return rows.join(vectors, "doc_id")
+
+
+@register("s12_guard")
+def s12_guard(spark, d):
+    """S11 + S12: points after making an index, after making it again from other
+    rows without and with ``force``, and whether each call wrote."""
+    points = embeddings_index(spark, d)
+    path, rows = scratch_path(spark, "s12-index"), []
+    idx = index.VectorIndex(spark, path)
+    for step, (df, force) in enumerate([(points, False), (points.where("label = 0"), False), (points.where("label = 0"), True)]):
+        before = len(idx.versions())
+        index.VectorIndex.create(df, path, EMB_DIM, force=force)
+        rows.append((step, idx.points_count(), idx.is_loaded(), len(idx.versions()) > before))
+    return spark.createDataFrame(rows, "step int, points_count long, loaded boolean, wrote boolean")
+
+
+@register("s9_scrollable")
+def s9_scrollable(spark, d):
+    """S9 over a range-sorted index: the page of English documents after the middle id."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
+    stored_rows = search.write_scrollable(docs, scratch_path(spark, "s9-sorted"))
+    middle = stored_rows.agg(F.floor((F.min("id") + F.max("id")) / 2).alias("m")).first()["m"]
+    return search.scroll(stored_rows, F.col("lang") == "en", after=middle)
+
+
 # ---------------------------------------------------------------------------
 # enrichment
 # ---------------------------------------------------------------------------

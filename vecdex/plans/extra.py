@@ -61,6 +61,22 @@ def s1_corpus_build(spark, d):
                       F.array_join("genres", "|").alias("genres"), "summary_snippet")
 
 
+@register("f6_rows")
+def f6_rows(spark, d):
+    """metadata lines whose last columns are cut off for some documents; lenient
+    reading keeps the whole rows and lists the rejects with their width."""
+    mp, _ = write_corpus_files(spark, d)
+    lines = spark.read.text(mp)
+    cut = F.length("value") % 4
+    short = F.array_join(F.slice(F.split("value", "\t", -1), 1, 9 - cut), "\t")
+    path = scratch_path(spark, "f6-tsv")
+    lines.select(F.when(cut > 1, short).otherwise(F.col("value")).alias("value")).write.text(path)
+    read = tsv.text_lines(spark, path)
+    kept = tsv.metadata_rows(read, strict=False).select(F.col("movie_id").cast("long").alias("doc_id"), F.lit(9).alias("n_columns"), F.lit(True).alias("kept"))
+    bad = tsv.metadata_rejects(read).select(F.element_at(F.split("value", "\t"), 1).cast("long").alias("doc_id"), "n_columns", F.lit(False).alias("kept"))
+    return kept.unionByName(bad)
+
+
 @register("p7_movie_search")
 def p7_movie_search(spark, d):
     """From corpus files to movie hits: S1/S2 -> J1 -> U5 -> S6/S7 -> U3 with

@@ -421,3 +421,47 @@ FROM q LEFT JOIN m ON m.id = q.id AND m.k = 1"""
 # streams that decide what waits at the end equal the batch forms
 SQL["st3_timer_stream"] = SQL["st3_debounce"]
 SQL["st4_timer_audit"] = SQL["st4_rate"]
+
+# a masked mean over no rows is null, and has no rows once unrolled
+SQL["p10_token_pool"] = SQL["p10_masked_pool"]
+
+SQL["p11_float32"] = """
+SELECT p_partkey, CAST(pos AS INTEGER) AS pos, CAST(CAST(CASE pos WHEN 0 THEN p_retailprice / 3 ELSE p_retailprice * 7 END AS FLOAT) AS DOUBLE) AS value
+FROM part, range(2) r(pos)"""
+
+SQL["p12_dimensions"] = """
+SELECT vec_id AS id, label % 5 = 0 OR label % 3 <> 0 AS bad FROM embeddings"""
+
+SQL["a2_response_rows"] = f"""
+WITH {_CQ}, {_text_search(_VALID)},
+n AS (SELECT qid, count(*) AS count FROM hits GROUP BY qid)
+SELECT h.qid, CAST(v.k AS INTEGER) AS requested_limit, CAST(n.count AS INTEGER) AS count, h.rank, h.id, h.score, d.lang, d.source
+FROM hits h JOIN v USING (qid) JOIN n USING (qid) JOIN documents d ON d.doc_id = h.id"""
+
+SQL["k5_result_cap"] = f"""
+WITH c AS (SELECT list(v ORDER BY pos) AS cen FROM (
+             SELECT pos, avg(x) AS v FROM (
+               SELECT unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos
+               FROM embeddings) GROUP BY pos)),
+s AS (SELECT vec_id AS id, {_cos('embedding', 'cen')} AS score FROM embeddings, c WHERE label = 0)
+SELECT CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank, id, score FROM s"""
+
+SQL["s5_artifacts"] = """
+SELECT d.doc_id, d.lang, d.source, len(e.embedding) AS dim,
+       round(sqrt(list_dot_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[])), 6) AS norm
+FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id"""
+
+SQL["s12_guard"] = """
+WITH a AS (SELECT count(*) AS n, count(*) FILTER (label = 0) AS m FROM embeddings)
+SELECT 0 AS step, n AS points_count, n > 0 AS loaded, TRUE AS wrote FROM a
+UNION ALL SELECT 1, n, n > 0, FALSE FROM a UNION ALL SELECT 2, m, m > 0, TRUE FROM a"""
+
+SQL["s9_scrollable"] = """
+SELECT doc_id AS id, lang, source FROM documents
+WHERE lang = 'en' AND doc_id > (SELECT floor((min(doc_id) + max(doc_id)) / 2) FROM documents) ORDER BY doc_id LIMIT 100"""
+
+SQL["f6_rows"] = f"""
+WITH m AS (SELECT doc_id, source, lang, {_MDATE} AS raw FROM documents),""" + """
+l AS (SELECT doc_id, length(concat_ws(chr(9), doc_id, 'w' || doc_id, source || ' #' || doc_id, raw, '', '', lang, '',
+             '{"a": "' || lang || '", "b": "' || source || '", "a": "' || upper(lang) || '"}')) % 4 AS cut FROM m)
+SELECT doc_id, CAST(CASE WHEN cut > 1 THEN 9 - cut ELSE 9 END AS INTEGER) AS n_columns, cut <= 1 AS kept FROM l"""
