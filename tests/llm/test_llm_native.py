@@ -57,6 +57,32 @@ def test_base_counts_by_brute_force(spark):
         assert r.n_dup_lines == len(lines) - len(set(lines)) and r.n_repeat_words == repeats(words), repr(t)
 
 
+def test_equal_hashes_are_compared_by_words(spark, monkeypatch):
+    """Under a hash with eight values most windows clash; the counts stay exact."""
+    import random
+    r = random.Random(6)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randint(0, 60))) for _ in range(60)]
+    real = F.xxhash64
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *c: F.shiftleft(F.pmod(real(*c), F.lit(8)), 40))
+    rows = quality_rules.base_counts(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).collect()
+    assert [x.n_repeat_words for x in sorted(rows, key=lambda x: x.i)] == [repeats(t.split()) for t in texts]
+
+
+def test_common_words_are_ranked_by_exact_counts(spark):
+    """Many words whose counts differ by one, spread over partitions."""
+    rows = [(k, f"w{k % 40:02d}x " * (1 + (k % 40) // 2) + "1 2 3", "en" if k % 5 else None) for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(16)
+    got = {x.lang__: x.codes__ for x in quality_rules.common_words(df, "text", "lang").collect()}
+    for lang in ("en", None):
+        count = {}
+        for _, t, g in rows:
+            if g == lang:
+                for w in t.split():
+                    count[w] = count.get(w, 0) + 1
+        best = sorted((w for w in count if w[0] == "w"), key=lambda w: (-count[w], w))[:24]
+        assert got[lang] == dict(zip(best, quality_rules._LETTERS))
+
+
 def test_quality_edges(spark):
     got = {r.doc_id: r for r in quality_rules.quality_rules(edge(spark)).collect()}
     assert not any(r.kept for r in got.values())  # short, or made of repeats
@@ -157,6 +183,39 @@ def test_shard_edges(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 7
 
 
+def test_cuts_are_exact_quantiles_of_whole_values(spark):
+    """Strings with long common prefixes, numbers with ties and odd values, against sorted lists."""
+    import math
+    import random
+    r = random.Random(4)
+    rows = [(r.choice(["common_crawl_a", "common_crawl_b", "common_crawl_c", "https://x.example/1", "https://x.example/2", None]),
+             r.choice([1.0, 2.0, float("nan"), None, float("inf"), r.random()]), r.randint(0, 40)) for _ in range(800)]
+    df = spark.createDataFrame(rows, "s string, f double, n int").repartition(5)
+    for bits in (1, 3, 5):
+        cuts = sharding.cut_points(df, ["s", "f", "n"], bits)
+        for k, name in enumerate(("s", "f", "n")):
+            values = sorted(x[k] for x in rows if x[k] is not None and x[k] == x[k])
+            at = {values[math.ceil(len(values) * j / (1 << bits)) - 1] for j in range(1, 1 << bits)}
+            assert cuts[name] == sorted(at - {values[-1]} | ({values[-1]} & set(cuts[name]))), (bits, name)
+    cells = df.select("s", sharding.cell(F.col("s"), sharding.cut_points(df, ["s"])["s"]).alias("c")).distinct().collect()
+    by = {x.s: x.c for x in cells}
+    assert len({by[s] for s in by if s}) == 5 and by[None] == 0
+    order = sorted(s for s in by if s)
+    assert [by[s] for s in order] == sorted(by[s] for s in order)
+
+
+def test_shards_prune_by_sources_with_one_prefix(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"),
+                                    F.concat(F.lit("common_crawl_"), F.col("id") % 16).alias("source"), (F.hash("id") % 100).alias("n"))
+    sharding.write_shards(rows, str(tmp_path / "p"), ["source", "n"], files=16)
+    held = spark.read.parquet(str(tmp_path / "p")).groupBy(F.input_file_name()).agg(F.countDistinct("source").alias("k")).collect()
+    assert sum(r.k for r in held) / len(held) < 8  # of 16 sources a file holds a part
+    cells = sharding.hilbert_shards(rows, ["source", "n"])
+    again = sharding.hilbert_shards(rows.repartition(7), ["source", "n"])
+    key = lambda df: sorted((r.doc_id, r.hilbert, r.shard, r.slot) for r in df.collect())
+    assert key(cells) == key(again)
+
+
 def test_targets_by_hand(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 100), (None, 50), ("d", 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
@@ -183,3 +242,27 @@ def test_mix_meets_targets(spark):
     rows = mixing.mix(table(spark, "/root/testdata/sf0.01", "documents")).groupBy("source").agg(
         F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("largest")).collect()
     assert all(abs(r.taken - r.target) <= r.largest / 2 + 1 for r in rows)
+
+
+@pytest.mark.parametrize("weight", [0.02, 1 / 21, 1.0, 30.0, "mixed"])
+def test_mix_ranges_stay_small_at_any_weight(spark, weight, monkeypatch):
+    """The largest key range of a source, as a share of its rows, with weights far from 1."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("one word").alias("text"), F.lit("a").alias("source"),
+                                      F.when(F.col("id") % 3 == 0, 0.01).when(F.col("id") % 3 == 1, 1.0).otherwise(50.0).alias("score"))
+    quality = F.col("score") if weight == "mixed" else F.lit(weight)
+    kept, cut = [], mixing.cut_lineage
+    monkeypatch.setattr(mixing, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    out = mixing.mix(rows, quality=quality, buckets=64)
+    largest = kept[0].agg(F.max("__n")).first()[0]
+    assert largest < 2 * 60_000 * 0.26 / 64 * 1.5
+    taken = out.agg(F.sum("taken")).first()[0]
+    assert abs(taken - 1.5 * 120_000) <= 2
+    if weight == "mixed":  # good documents are in the sampled half more often
+        odds = {r.score: r.share for r in out.groupBy("score").agg(F.avg((F.col("copies") == 2).cast("int")).alias("share")).collect()}
+        assert odds[50.0] > 0.9 > odds[1.0] > odds[0.01]
+
+
+def test_mix_rows_without_ids_spread(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("a").alias("source"))
+    taken = mixing.mix(rows)
+    assert abs(taken.agg(F.sum("taken")).first()[0] - 9000) <= 2 and taken.where("copies = 2").count() == 1500

@@ -9,9 +9,11 @@ documents of a source are ordered by that key, and the sorted run is taken
 while the running size stays near the budget.
 
 The running size is not one window per source, since a source may hold a third
-of all rows: keys are cut into ``buckets`` ranges of about equal odds, sizes
+of all rows: keys are cut into ``buckets`` ranges per doubling of the key, sizes
 are summed per (source, range) with map-side aggregation, and a window runs
-inside each range only.
+inside each range only. The key of weight w is exponential with rate w, and on
+the logarithmic scale a weight only shifts it: whatever the weights are, and
+however they differ, a range expects less than 0.26 / ``buckets`` of a source.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from vecdex.llm.common import fresh, n_words
 from vecdex.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
-BUCKETS = 4096
+#: ranges per doubling of the key
+BUCKETS = 1024
 #: hexadecimal digits of the md5 that make the uniform number, and their range
 _DIGITS, _RANGE = 13, float(1 << 52)
 
@@ -65,20 +68,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     (times the mix takes the document) and ``taken`` (words it takes).
 
     The same rows give the same result on every run. Null text has size 0 and
-    takes nothing; a null source is a source of its own; null ids draw one
-    common number. Rows that tie in key and id are ordered by their content, and
+    takes nothing; a null source is a source of its own; rows without an id draw
+    their number from their text. ``quality`` is any positive column, such as a
+    score that was joined to ``docs``; without it a count of markup signs stands
+    in. Rows that tie in key and id are ordered by their content, and
     equal rows are interchangeable. Input columns named like the new ones are
-    replaced. An empty table gives an empty result; ``quality`` must be positive.
+    replaced. An empty table gives an empty result.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "source_size", "target", "copies", "taken")])
     source, key, bucket, run = (fresh(docs, s) for s in ("source", "key", "bucket", "run"))
-    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, _DIGITS)
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("#"), F.md5(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"))))
+    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), name)), 1, _DIGITS)
     uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / _RANGE
     weight = quality_weight(F.col(text_col)) if quality is None else quality
     rows = (docs.withColumn("size", n_words(F.col(text_col)))
             .withColumn(key, -F.log(uniform) / weight)
             .withColumn(source, F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")))
-            .withColumn(bucket, F.floor((1.0 - F.exp(-F.col(key))) * buckets).cast("int")))
+            .withColumn(bucket, F.floor(F.log2(F.col(key)) * buckets).cast("int")))
     sums = cut_lineage(rows.groupBy(source, bucket).agg(F.sum("size").alias("__n"), F.max(source_col).alias("source")))
     sizes = sums.groupBy(source, "source").agg(F.sum("__n").alias("source_size"))
     runs = (sums.withColumn("__before", F.coalesce(F.sum("__n").over(  # one row per range of a source

@@ -11,17 +11,17 @@ texts of that length, get no verdict from the distances.
 Before that stand plain counts: short texts and texts that consist mostly of
 repeated word triples fail.
 
-Everything is DataFrame functions. Common words are found by a mergeable
-frequent-items sketch per language and word range (words that occur in more
-than one of 20,000 places cannot be missed); frequencies are then counted exactly. Documents
-are never shuffled: only histograms of distinct texts and one row per language are.
+Everything is DataFrame functions. Words are counted exactly per language,
+combined before the shuffle, and each task passes on the ``COMMON`` most frequent
+words of its share only. Documents are never shuffled: only word counts,
+histograms of distinct texts and one row per language are.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecdex.llm.common import fresh, words
@@ -29,7 +29,6 @@ from vecdex.session import cut_lineage, scratch_path
 
 MIN_WORDS, MIN_TEXTS = 50, 20
 COMMON = 24
-SKETCH_ITEMS, SKETCH_PARTS = 1 << 13, 16
 #: limits of the distances: at any length, and per root of a word
 CLASS_LIMIT, WORD_LIMIT = (0.13, 1.0), (0.12, 1.85)
 #: languages up to this many are broadcast, about 1 kB each
@@ -48,8 +47,9 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
 
     Repeated triples: every window of three words gets a number whose high bits
     hash its words and whose low bits are its place. Sorted, equal windows stand
-    side by side; the places they cover are counted once each."""
-    n = {stem: fresh(docs, stem) for stem in ("text", "words", "line", "mask", "codes", "beside", "places")}
+    side by side; those whose hashes agree are compared by their words, and the
+    places that equal ones cover are counted once each."""
+    n = {stem: fresh(docs, stem) for stem in ("text", "words", "line", "mask", "codes", "beside", "agree", "places")}
     text, own = F.col(n["text"]), F.col(n["words"])
     mask, codes, places = F.col(n["mask"]), F.col(n["codes"]), F.col(n["places"])
 
@@ -62,6 +62,13 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
     # most texts repeat no triple and are done after one comparison per window
     repeated = F.when(F.array_contains(n["beside"], True), F.filter(
         codes, lambda x, i: same(x, F.get(codes, i - 1)) | same(x, F.get(codes, i + 1)))).otherwise(F.array().cast("array<bigint>"))
+    # windows whose hashes agree, by their words: what is equal stands side by side again
+    agree = F.col(n["agree"])
+    place = lambda x: x.bitwiseAND(F.bitwise_not(mask)).cast("int")
+    spelt = F.transform(repeated, lambda x: F.struct(
+        F.concat_ws(" ", F.slice(own, place(x) + 1, F.lit(3))).alias("w"), place(x).cast("long").alias("p")))
+    equal = F.filter(agree, lambda y, i: F.coalesce(y["w"] == F.get(agree, i - 1)["w"], F.lit(False))
+                     | F.coalesce(y["w"] == F.get(agree, i + 1)["w"], F.lit(False)))
     covered = F.transform(places, lambda x, i: F.least(three, F.coalesce(F.get(places, i + 1) - x, three)))
     return (docs.withColumn(n["text"], F.coalesce(F.col(text_col), F.lit("")))
             .withColumn(n["words"], words(text))
@@ -70,7 +77,8 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
             .withColumn(n["mask"], F.expr("coalesce(-shiftleft(1L, int(ceil(log2(n_words + 2.0D)))), 0L)"))
             .withColumn(n["codes"], F.sort_array(F.slice(coded, 1, F.greatest(F.size(own) - 2, F.lit(0)))))
             .withColumn(n["beside"], beside)
-            .withColumn(n["places"], F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(F.bitwise_not(mask)))))
+            .withColumn(n["agree"], F.array_sort(spelt))
+            .withColumn(n["places"], F.sort_array(F.transform(equal, lambda y: y["p"])))
             .withColumn("word_chars", F.length(F.array_join(own, "")).cast("long"))
             .withColumn("n_symbols", F.regexp_count(text, F.lit(_SIGNS)).cast("long"))
             .withColumn("n_dup_lines", (F.size(n["line"]) - F.size(F.array_distinct(n["line"]))).cast("long"))
@@ -94,12 +102,11 @@ def common_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang__, codes__``: each language's commonest words that hold a letter, as
     a map from the word to its letter of ``_LETTERS``."""
     each = docs.select(F.col(lang_col).alias("lang__"), F.explode(words(F.col(text_col))).alias("w"))
-    # a sketch per language and range of word hashes: more than one task merges a common language
-    parts = each.groupBy("lang__", F.pmod(F.xxhash64("w"), F.lit(SKETCH_PARTS)).alias("part")).agg(
-        F.expr(f"approx_top_k(w, {4 * COMMON}, {SKETCH_ITEMS})").alias("top"))
-    found = parts.select("lang__", F.explode("top").alias("x")).where(F.col("x.item").rlike("\\p{L}"))
-    top = found.groupBy("lang__").agg(F.array_sort(F.collect_list(  # at most SKETCH_PARTS * 4 * COMMON words
-        F.struct((-F.col("x.count")).alias("n"), F.col("x.item").alias("w")))).alias("all__"))
+    counts = each.groupBy("lang__", "w").agg(F.count(F.lit(1)).alias("n")).where(F.col("w").rlike("\\p{L}"))
+    # the limit on the rank is taken in every task before languages meet
+    rank = F.row_number().over(Window.partitionBy("lang__").orderBy(F.col("n").desc(), "w"))
+    found = counts.withColumn("k", rank).where(F.col("k") <= COMMON)
+    top = found.groupBy("lang__").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "w"))).alias("all__"))
     ranked = F.slice("all__", 1, COMMON)
     letters = F.array(*[F.lit(c) for c in _LETTERS])
     return (top.withColumn("ranked__", ranked).where(F.size("ranked__") > 0)

@@ -6,45 +6,43 @@ of equal row counts. Neighbours on the curve are neighbours in every
 dimension, so a run covers a small box of each dimension and readers can skip
 it by its minima and maxima.
 
-All steps are DataFrame functions. Cells are equal-depth: cut points come from
-a mergeable quantile sketch over all rows, and only those few numbers per
-dimension reach the driver. Ranks come from a distributed sort.
+All steps are DataFrame functions. Cells are equal-depth and the same on every
+run: cut points are exact quantiles, from the counts of a dimension's distinct
+values (whole strings, not prefixes) in a distributed sort, and only those few
+values per dimension reach the driver. Ranks come from a distributed sort.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecdex.llm.common import fresh
 from vecdex.operators.ids import dense_ids
+from vecdex.session import Scratch
 
 BITS = 5
 
 
-def text_number(value: Column) -> Column:
-    """A string's first six UTF-8 bytes as a number in the same order; null is -1."""
-    digits = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(digits, 16, 10).cast("double"), F.lit(-1.0))
-
-
 def dimension(docs: DataFrame, name: str) -> Column:
-    """A column as an orderable number: strings by their first bytes, others as
-    they are; null, and a number that is not one, come first."""
+    """A column as something to order by: strings as they are (by their bytes),
+    numbers and times as numbers; a number that is not one counts as null."""
     kind = dict(docs.dtypes)[name]
     if kind == "string":
-        return text_number(F.col(name))
+        return F.col(name)
     number = F.unix_micros(F.col(name).cast("timestamp")).cast("double") if kind in (
         "date", "timestamp", "timestamp_ntz") else F.col(name).cast("double")
-    return F.coalesce(F.when(~F.isnan(number), number), F.lit(float("-inf")))
+    return F.when(~F.isnan(number), number)
 
 
-def cell(number: Column, cuts: list[float], bits: int = BITS) -> Column:
-    """How many cut points lie below the number, stretched over the axis so that
-    a dimension of few values weighs as much as one of many."""
-    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c < number))
+def cell(value: Column, cuts: list, bits: int = BITS) -> Column:
+    """How many cut points lie below the value, stretched over the axis so that
+    a dimension of few values weighs as much as one of many; null is below all."""
+    if not cuts:
+        return F.lit(0)
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.coalesce(c < value, F.lit(False))))
     return F.floor(below * (1 << bits) / (len(cuts) + 1)).cast("int")
 
 
@@ -85,11 +83,26 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*[F.lit(1 << k) for k in range(bits - 1, 0, -1)]), start, step, gray)
 
 
-def cut_points(docs: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, list[float]]:
-    """At most 2^bits - 1 distinct quantiles per dimension, over all rows."""
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = docs.select(*[F.percentile_approx(dimension(docs, d), shares).alias(f"d{k}") for k, d in enumerate(dims)]).first()
-    return {d: sorted(set(found[k] or [])) for k, d in enumerate(dims)}
+def cut_points(docs: DataFrame, dims: list[str], bits: int = BITS) -> dict[str, list]:
+    """At most 2^bits - 1 distinct quantiles per dimension, exact and over all
+    rows: of the distinct values in order, those at which the running count of
+    rows passes another 2^bits-th of all."""
+    work = Scratch(docs.sparkSession, "cuts")
+    out = {}
+    for d in dict.fromkeys(dims):
+        counts = docs.select(dimension(docs, d).alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        # ranges of values, so that no task holds all of them; one row per range is summed up
+        ranged = work.write(counts.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("p")))
+        sums = ranged.groupBy("p").agg(F.sum("n").alias("all"))
+        before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+        sums = work.write(sums.select("p", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("before"), F.sum("all").over(Window.partitionBy()).alias("total")))
+        upto = F.sum("n").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+        share = lambda c: F.floor(c * (1 << bits) / F.col("total"))
+        passed = ranged.join(F.broadcast(sums), "p").select("v", "n", "total", upto.alias("upto")).where(
+            (share(F.col("upto")) > share(F.col("upto") - F.col("n"))) & (F.col("upto") < F.col("total")))
+        out[d] = sorted(r["v"] for r in passed.collect())
+    work.close()
+    return out
 
 
 def curve(docs: DataFrame, dims: list[str], bits: int = BITS) -> Column:
