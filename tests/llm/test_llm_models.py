@@ -173,6 +173,61 @@ def test_op9_leaves_clean_text_alone(spark):
     assert rows == 0
 
 
+def planted(r):
+    import uuid
+    group = lambda n, k, letters: "-".join("".join(r.choice(letters) for _ in range(k)) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    return {"uuid": str(uuid.UUID(int=r.getrandbits(128), version=4)), "upper uuid": str(uuid.UUID(int=r.getrandbits(128), version=4)).upper(),
+            "five by five": group(5, 5, string.ascii_uppercase + string.digits), "underscored": group(4, 8, alnum).replace("-", "_"),
+            "base64": base64.b64encode(r.randbytes(24)).decode(), "url-safe": base64.urlsafe_b64encode(r.randbytes(30)).decode(),
+            "upper hex": r.randbytes(20).hex().upper(), "alphanumeric": "".join(r.choice(alnum) for _ in range(32)),
+            "base 32": base64.b32encode(r.randbytes(20)).decode()}
+
+
+def test_op9_planted_keys_in_documents(spark):
+    """Keys of each encoding in whole documents, and hyphenated words in others."""
+    r = random.Random(31)
+    texts = [t.text for t in table(spark, "/root/testdata/sf0.01", "documents").orderBy("doc_id").collect()]
+    words = sorted({w for t in texts for w in re.findall("[A-Za-zÀ-ÿ]{3,}", t)})
+    rows, want = [], {}
+    for i, text in enumerate(texts):
+        at = r.randrange(len(text) + 1)
+        at = text.find(" ", at)
+        if at < 0:
+            at = len(text)
+        if i % 3 == 0:
+            names = sorted(planted(r).items())
+            name, key = names[i // 3 % len(names)]
+            want[i] = (name, at + 1, at + 1 + len(key))
+        elif i % 3 == 1:
+            key = "-".join(r.choice(words) for _ in range(r.randint(3, 9)))
+        else:
+            key = "_".join(r.choice(words).lower() for _ in range(4)) + "/" + "/".join(r.choice(words) for _ in range(3))
+        rows.append((i, f"{text[:at]} {key} {text[at:]}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {x.doc_id: {(s.start, s.end) for s in x.spans if s.kind != "assign"} for x in secret_scan.scan(df).collect()}
+    hits, every = {}, {}
+    for i, (name, a, b) in want.items():
+        every[name] = every.get(name, 0) + 1
+        hits[name] = hits.get(name, 0) + any(x < b and a < y and (y - x) >= 0.9 * (b - a) for x, y in found[i])
+    assert all(hits[n] >= 0.9 * every[n] for n in every), (hits, every)
+    random_only = {x.doc_id for x in secret_scan.scan(df).where(secret_scan.n_of("random") > 0).collect()}
+    assert not random_only - set(want)
+
+
+def test_op9_level_is_set_over_the_table(spark):
+    """One run that a document alone would pass, among very many ordinary ones."""
+    weak = next(k for k in ("".join(map(random.Random(s).choice, [string.ascii_lowercase] * 17)) for s in range(9999))
+                if secret_scan.LEAST <= secret_scan.run_score(k) < secret_scan.LEAST + 6)
+    rows = [(0, f"is {weak} here")] + [(k, "internationalization of_many_names_of_things " * 20) for k in range(1, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secret_scan.scan(df.where("doc_id = 0")).where(secret_scan.n_of("random") > 0).count() == 1
+    assert secret_scan.scan(df).where(secret_scan.n_of("random") > 0).count() == 0
+    scores = [secret_scan.run_score(x) for x in (weak, "A7" * 9, "internationalization")]
+    assert secret_scan.pick_level({5.0: 3, 20.0: 1}, 4, 0.001) == 20.0 and secret_scan.pick_level({9.0: 10, 20.0: 1}, 20, 0.001) == 9.0
+    assert secret_scan.pick_level({}, 0) == float("inf") and scores[2] < 0
+
+
 def test_op9_edges(spark):
     key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
     df = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (None, f"😀 {key} end", "x"), (2, 'token="abcdefghijkl" 0123456789abcdef0', "x")],
@@ -207,6 +262,49 @@ def test_op5_never_reads_held_out_labels(spark):
     assert one == pytest.approx(two, abs=1e-9)
 
 
+def pu_rows(spark, n, prior, seed, width=pu_classifier.WIDTH):
+    """Two overlapping classes; a fifth of the positives are trusted."""
+    r = np.random.default_rng(seed)
+    good = r.random(n) < prior
+    x = np.zeros((n, width), np.float32)
+    x[:, 0] = r.normal(size=n) + np.where(good, 1.5, -1.5)
+    x[:, 1] = r.normal(size=n) + np.where(good, 1.0, -0.5)
+    x[:, -1] = 1
+    trusted = good & (r.random(n) < 0.2)
+    df = spark.createDataFrame([(list(map(float, v)), bool(t)) for v, t in zip(x, trusted)], "x array<float>, positive boolean")
+    return df.repartition(4).cache(), x.astype(float), trusted, good
+
+
+@pytest.mark.parametrize("prior", [0.15, 0.5, 0.85])
+def test_op5_prior_from_positives_and_unlabelled(spark, prior):
+    rows, *_ = pu_rows(spark, 6000, prior, 3)
+    found = pu_classifier.estimated_prior(rows, pu_classifier.fit(rows, 0.5))
+    assert abs(found - prior) < 0.08
+    assert pu_classifier.estimated_prior(rows.limit(0), pu_classifier.Classifier(np.zeros(pu_classifier.WIDTH), 0.5)) == 0.5
+
+
+def test_op5_risk_against_a_plain_minimiser(spark):
+    """The non-negative risk that the fit reaches, against gradient descent on the same formula."""
+    rows, x, trusted, good = pu_rows(spark, 3000, 0.4, 8)
+    model = pu_classifier.fit(rows, 0.4, steps=30)
+    keep = np.full(x.shape[1], pu_classifier.RIDGE)
+    keep[-1] = 0
+
+    def risk(w):
+        z = x @ w
+        minus, plus = np.logaddexp(0, z), np.logaddexp(0, -z)
+        rest = minus.mean() - 0.4 * minus[trusted].mean()
+        return 0.4 * plus[trusted].mean() + max(0.0, rest) + keep @ w ** 2 / 2, rest
+
+    w = np.zeros(x.shape[1])
+    for _ in range(6000):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        w -= 0.5 * (x.T @ p / len(x) - 0.4 * x[trusted].mean(axis=0) + keep * w)
+    assert risk(w)[1] > 0 and risk(model.weights)[0] <= risk(w)[0] + 1e-5
+    assert np.abs(model.weights - w)[[0, 1, -1]].max() < 0.02
+    assert ((model.score(x) > 0.5) == good).mean() > 0.9
+
+
 def test_op5_edges(spark):
     df = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (None, "word " * 20_000, "x"), (2, "Some plain words.", "x")], "doc_id long, text string, score string")
     none = spark.createDataFrame([], "doc_id long, quality int")

@@ -11,8 +11,10 @@ convex, and damped Newton steps minimise it.
 
 Every step is one distributed pass that adds up gradient and curvature over all
 training documents; nothing is sampled, and only sums of fixed size reach the
-driver. The prior is the share of positives among the labelled training rows,
-which are a random draw of the text.
+driver. The prior is estimated from the positives and the unlabelled text alone:
+above any score the unlabelled text holds at least ``pi`` times the share that the
+positives have there, and as little as that where no negatives reach. A first fit
+gives the scores, the least of the ratios the prior, and a second fit the result.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from pyspark.sql import types as T
 from vecdex.session import cut_lineage
 
 STEPS, RIDGE, THRESHOLD = 12, 1e-4, 0.7
+#: ranges of the score in which the prior is looked for, and the share of the positives above the last of them
+PRIOR_BINS, PRIOR_TAIL = 400, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SIGNS, _MARKS = "#*$%&<>", ".,;:"
 
@@ -166,6 +170,34 @@ def fit(rows: DataFrame, prior: float, steps: int = STEPS, ridge: float = RIDGE)
     return Classifier(best, prior)
 
 
+def estimated_prior(rows: DataFrame, model: Classifier, bins: int = PRIOR_BINS) -> float:
+    """The class prior from ``rows`` (``x``, ``positive``) and a classifier's scores:
+    the least ratio, over thresholds, of the shares of all rows and of the positives
+    that lie above, each a standard error to the safe side. Counts per range of the
+    score are all that reaches the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, bins), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                at = np.minimum((model.score(_matrix(batch.column(0))) * bins).astype(int), bins - 1)
+                positive = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                total += [np.bincount(at[positive], minlength=bins), np.bincount(at, minlength=bins)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * bins)), pa.array(total.ravel())], ["k", "n"])
+
+    counts = np.zeros(2 * bins)
+    for r in rows.select("x", "positive").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        counts[r["k"]] = r["n"]
+    above = counts.reshape(2, bins)[:, ::-1].cumsum(axis=1)
+    n_p, n_u = above[:, -1]
+    if not n_p or not n_u:
+        return 0.5
+    p, u = above[0] / n_p, above[1] / n_u
+    used = p >= PRIOR_TAIL
+    low = np.maximum(p - np.sqrt(p * (1 - p) / n_p), 1e-9)
+    ratio = (u + np.sqrt(u * (1 - u) / n_u)) / low
+    return float(np.clip(ratio[used].min(), 0.02, 0.98))
+
+
 def fold(id_col: Column) -> Column:
     """Remainder by 4 of the id's checksum; 2 is held out of training."""
     return F.pmod(F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")), F.lit(4))
@@ -184,11 +216,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     rows = cut_lineage(featurised(docs, id_col, text_col))
     known = (labels.where(F.col(label_col).isNotNull() & (fold(F.col(id_col)) != 2))
              .groupBy(F.col(id_col).alias("doc_id")).agg((F.min(label_col) == 1).alias("positive")))
-    share = known.agg(F.avg(F.col("positive").cast("double"))).first()[0]
-    prior = min(max(share, 0.02), 0.98) if share is not None else 0.5
-    training = rows.where(fold(F.col("doc_id")) != 2).join(known, "doc_id", "left").select(
-        "x", F.coalesce("positive", F.lit(False)).alias("positive"))
-    model = fit(cut_lineage(training), prior)
+    training = cut_lineage(rows.where(fold(F.col("doc_id")) != 2).join(known, "doc_id", "left").select(
+        "x", F.coalesce("positive", F.lit(False)).alias("positive")))
+    first = fit(training, 0.5)
+    model = fit(training, estimated_prior(training, first))
     schema = T.StructType([T.StructField(id_col, rows.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
                            T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 

@@ -6,20 +6,24 @@ runs of token characters are tested. The smallest alphabet that covers a run
 it three tests ask whether the symbols look random: chi-squared uniformity over
 the alphabet, Wald-Wolfowitz runs about its middle, and lag-1 serial
 correlation. Fisher's method joins their p-values; a run that they reject is
-no secret.
+no secret. A run with separators, such as a UUID or a key in groups of five, is
+tested as it stands and without them; its span is that of the whole run.
 
 Passing is weak evidence for a short run, so false discoveries are controlled
 by length: the likelihood ratio of uniform symbols against ordinary text
 (letter frequencies, sticky character classes) is an e-value, which grows with
-the length of a random run only. The e-value form of the Benjamini-Hochberg
-procedure picks the runs of a document so that at most a share ``ALPHA`` of
-what is picked among ordinary runs is false.
+the length of a random run only; the mean over the two readings of a run is one
+too. The e-value form of the Benjamini-Hochberg procedure picks runs over the
+whole table, so that at most a share ``ALPHA`` of what is picked among ordinary
+runs is false: a first pass scores every run and counts them, a histogram of the
+scores gives the level, and a second step applies it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,8 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecdex.session import Scratch
+
 KINDS = ("assign", "access", "hex", "random")
 ALPHA, PASS_LEVEL, MIN_RUN = 0.001, 0.005, 16
+#: no e-value below 1 / ALPHA is ever picked
+LEAST = -math.log(ALPHA)
+#: ranges of the score per unit, and the score from which all count as one
+STEPS, TOP = 64, 400.0
+_NO_SEPARATORS = str.maketrans("", "", "-_")
 
 
 def _any_case(word: str) -> str:
@@ -131,67 +142,115 @@ def log_e_value(run: str, size: int) -> float:
     return -len(run) * math.log(size) - text
 
 
-def random_runs(runs: list[str], alpha: float = ALPHA) -> list[bool]:
-    """Which of a document's runs are secrets, under false-discovery control."""
-    scores = []
-    for run in runs:
-        alphabet, symbols = encoding(run)
+def run_score(run: str) -> float:
+    """log of a run's e-value, over its readings with and without separators; a
+    reading that the battery rejects counts as nothing."""
+    body = run.rstrip("=") or run
+    plain = body.translate(_NO_SEPARATORS)
+    values = []
+    for reading in {body, plain} if len(plain) >= MIN_RUN else {body}:
+        alphabet, symbols = encoding(reading)
         passes = battery(symbols, len(alphabet))[3] >= PASS_LEVEL
-        scores.append(log_e_value(run.rstrip("=") or run, len(alphabet)) if passes else -math.inf)
-    picked = 0
-    ranked = sorted(scores, reverse=True)
-    for k, score in enumerate(ranked, 1):
-        if score >= math.log(len(runs) / (alpha * k)):
-            picked = k
-    level = ranked[picked - 1] if picked else math.inf
+        values.append(log_e_value(reading, len(alphabet)) if passes else -math.inf)
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values) / len(values)) if top > -math.inf else top
+
+
+def pick_level(counts: dict[float, int], tested: int, alpha: float = ALPHA) -> float:
+    """The score from which runs are picked: the lowest at which, for the ``k`` runs
+    at or above it, the e-value reaches ``tested / (alpha k)``. ``counts`` holds the
+    number of runs per score, or per lower edge of a range of scores."""
+    level, k = math.inf, 0
+    for score in sorted(counts, reverse=True):
+        k += counts[score]
+        if score >= math.log(tested / (alpha * k)):
+            level = score
+    return level
+
+
+def random_runs(runs: list[str], alpha: float = ALPHA) -> list[bool]:
+    """Which of a list of runs are secrets, under false-discovery control."""
+    scores = [run_score(run) for run in runs]
+    level = pick_level(Counter(scores), len(runs), alpha)
     return [s >= level for s in scores]
 
 
-def spans(text: str) -> list[tuple[int, int, int]]:
-    """(kind number, start, end) in code points, end exclusive, by start, then kind."""
+def scored(text: str, floor: float = LEAST) -> tuple[list[tuple[int, int, int, float]], int]:
+    """(kind number, start, end, score) in code points, end exclusive, by start, then
+    kind, and the number of runs tested. Tested runs below ``floor`` are left out:
+    no table makes the level less than ``LEAST``. Patterns have no score."""
     longest = max(map(len, text.split()), default=0)
-    found: list[tuple[int, int, int]] = []
+    found: list[tuple[int, int, int, float]] = []
+    tested = 0
     if longest >= 12:
         low = text.lower()
         if any(k in low for k in _GATE):
-            found += [(0, m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
+            found += [(0, m.start(), m.end(), math.inf) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
     if longest >= 16:
         if "AKIA" in text:
-            found += [(1, m.start(), m.end()) for m in _ACCESS.finditer(text)]
-        found += [(2, m.start(), m.end()) for m in _HEX.finditer(text)]
-        taken = sorted((a, b) for _, a, b in found)
-        free, at = [], 0
+            found += [(1, m.start(), m.end(), math.inf) for m in _ACCESS.finditer(text)]
+        found += [(2, m.start(), m.end(), math.inf) for m in _HEX.finditer(text)]
+        taken = sorted((a, b) for _, a, b, _ in found)
+        at = 0
         for m in _RUN.finditer(text):
             while at < len(taken) and taken[at][1] <= m.start():
                 at += 1
             if not any(a < m.end() and m.start() < b for a, b in taken[at:at + 4]):
-                free.append(m)
-        if free:
-            found += [(3, m.start(), m.end()) for m, yes in zip(free, random_runs([m[0] for m in free]), strict=True) if yes]
-    return sorted(found, key=lambda s: (s[1], s[0]))
+                tested += 1
+                score = run_score(m[0])
+                if score >= floor:
+                    found.append((3, m.start(), m.end(), score))
+    return sorted(found, key=lambda s: (s[1], s[0])), tested
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, spans`` for every row; ``spans`` is an array of (kind, start,
-    end) in code points, by start, then kind.
+def spans(text: str, level: float = LEAST) -> list[tuple[int, int, int]]:
+    """(kind number, start, end) of one text, runs from a level on."""
+    return [s[:3] for s in scored(text, level)[0]]
 
-    Null and empty texts have no spans. Repeated rows and null ids are scanned
-    like any other. Columns besides the two named ones are not read.
-    """
+
+def _scores(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id_col, spans`` (with scores) and ``tested`` for every row."""
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
-                         T.StructField("end", T.LongType())])
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("spans", T.ArrayType(span))])
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+                         T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("spans", T.ArrayType(span)),
+                           T.StructField("tested", T.LongType())])
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in spans(t or "")]
-                     for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], schema.names)
+            found = [scored(t or "") for t in batch.column(1).to_pylist()]
+            rows = [[{"kind": KINDS[k], "start": a, "end": b, "score": s} for k, a, b, s in own] for own, _ in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind), pa.array([n for _, n in found], pa.int64())], schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
+def level_of(scores: DataFrame) -> float:
+    """The level for a table of scored spans. Scores are counted in ranges of
+    1 / ``STEPS``, all above ``TOP`` in one; a range counts at its lower edge, so the
+    control holds. A row per range reaches the driver."""
+    tested = scores.agg(F.sum("tested")).first()[0] or 0
+    runs = scores.select(F.explode("spans").alias("s")).where("s.kind = 'random'")
+    edge = F.floor(F.least(F.col("s.score"), F.lit(TOP)) * STEPS) / STEPS
+    counts = {r["edge"]: r["n"] for r in runs.groupBy(edge.alias("edge")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return pick_level(counts, tested) if counts else math.inf
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, spans`` for every row; ``spans`` is an array of (kind, start,
+    end) in code points, by start, then kind.
+
+    Null and empty texts have no spans. Repeated rows and null ids are scanned
+    like any other; an empty table gives an empty result. Columns besides the two
+    named ones are not read. Texts are read once: scored spans are written to the
+    shared folder, and the level that the whole table sets is applied to them.
+    """
+    scores = Scratch(docs.sparkSession, "secrets").write(_scores(docs, id_col, text_col))
+    level = level_of(scores)
+    picked = F.filter("spans", lambda s: (s["kind"] != "random") | (s["score"] >= F.lit(level)))
+    return scores.select(id_col, F.transform(picked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
+
+
 def n_of(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
@@ -202,14 +261,18 @@ def written(found: Column) -> Column:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``id_col, text_col`` with every span replaced by ``mark``; null text stays null."""
+    """``id_col, text_col`` with every span replaced by ``mark``; null text stays null.
+    Texts are read twice, for the table's level and to replace."""
+    work = Scratch(docs.sparkSession, "secrets")
+    level = level_of(work.write(_scores(docs, id_col, text_col)))
+    work.close()
     schema = T.StructType([docs.schema[id_col], docs.schema[text_col]])
 
     def blank(text: str | None) -> str | None:
         if text is None:
             return None
         out, at = [], 0
-        for _, a, b in spans(text):
+        for _, a, b in spans(text, level):
             if b > at:
                 out += [text[at:max(a, at)], mark] if a >= at else []
                 at = b
