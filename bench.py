@@ -26,7 +26,8 @@ from vecdex.sources.tables import embeddings_index  # noqa: E402
 
 HEADLINE = ["k2_topk", "k1_topk_single", "f5_filtered_topk", "u3_search", "k3_suggest",
             "u5_hash_embed", "s1_corpus_build", "s8_upsert", "s6_ids", "j5_lookup",
-            "st1_stream_search", "st3_debounce", "st4_rate", "a3_last_wins", "k4_ivf_topk"]
+            "st1_stream_search", "st3_debounce", "st4_rate", "a3_last_wins", "k4_ivf_topk",
+            "k4_lists_topk", "k2_pruned_topk"]
 
 
 def wide_index(spark, d, copies: int = 21, widen: int = 6):

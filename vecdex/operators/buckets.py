@@ -5,8 +5,8 @@ payload:
 
     <path>/v=<n>/vectors/bucket=<b>/    id, vector
     <path>/v=<n>/payload/bucket=<b>/    id, payload columns
-    <path>/v=<n>/start/<part>/          the columns; only where the collection is made (anew)
-    <path>/v=<n>/done/                  written last: the version counts
+    <path>/v=<n>/start                  the columns; only where the collection is made (anew)
+    <path>/v=<n>/done                   written last: the version counts
 
 The version that makes the collection holds every bucket, a later one only those
 its update touched. A bucket
@@ -23,6 +23,7 @@ evenly, whatever they are, and a bucket of rows is cut over several files.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from vecdex.functions.vectors import check_dim, to_float32
 from vecdex.operators.index import METRIC, IndexError_, VectorIndex, one_per_key, with_payload_updates
-from vecdex.session import Scratch, committed, remove_folder, subfolders
+from vecdex.session import Scratch, exists, read_text, remove_folder, subfolders, write_text
 
 #: rows of a bucket that ``buckets_for`` aims at
 BUCKET_ROWS = 1_000_000
@@ -68,28 +69,27 @@ class BucketIndex(VectorIndex):
     def _write_version(self, version: int, vectors: DataFrame | None, payload: DataFrame, buckets: int, start: bool = False) -> None:
         where = os.path.join(self.path, f"v={version}")
         remove_folder(self.spark, where)  # debris of an attempt that never counted
-        for part, rows in zip(PARTS, (vectors, payload)):
-            if rows is None:
-                continue
+        parts = {part: rows for part, rows in zip(PARTS, (vectors, payload)) if rows is not None}
+        for part, rows in parts.items():
             own = rows.withColumn("bucket", bucket_of("id", buckets))
             # dealt by bucket; a large bucket is cut over several tasks and files
             own.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(os.path.join(where, part))
-            if start:
-                rows.limit(0).coalesce(1).write.parquet(os.path.join(where, "start", part))
-        shape = self._shape("payload", version if start else self._since_start()[0])
-        written = self.spark.read.schema(shape.add("bucket", T.IntegerType())).parquet(os.path.join(where, "payload"))
-        if written.groupBy("bucket", "id").count().where("count > 1").limit(1).count():
-            remove_folder(self.spark, where)
-            raise IndexError_("ids must be unique")
-        self.spark.range(1).coalesce(1).write.parquet(os.path.join(where, "done"))
+        if start:
+            # updates keep ids unique: they are settled to one row per id first
+            written = self.spark.read.schema(payload.schema).parquet(os.path.join(where, "payload"))
+            if written.groupBy("id").count().where("count > 1").limit(1).count():
+                remove_folder(self.spark, where)
+                raise IndexError_("ids must be unique")
+            write_text(self.spark, os.path.join(where, "start"), json.dumps({p: r.schema.jsonValue() for p, r in parts.items()}))
+        write_text(self.spark, os.path.join(where, "done"), "")
 
     def _shape(self, part: str, version: int) -> T.StructType:
-        return self.spark.read.parquet(os.path.join(self.path, f"v={version}", "start", part)).schema
+        return T.StructType.fromJson(json.loads(read_text(self.spark, os.path.join(self.path, f"v={version}", "start")))[part])
 
     # -- reads ----------------------------------------------------------------
     def versions(self) -> list[int]:
         found = [int(m.group(1)) for m in (re.fullmatch(r"v=(\d+)", f) for f in subfolders(self.spark, self.path)) if m]
-        return sorted(v for v in found if committed(self.spark, os.path.join(self.path, f"v={v}", "done")))
+        return sorted(v for v in found if exists(self.spark, os.path.join(self.path, f"v={v}", "done")))
 
     def folders(self, part: str, version: int | None = None) -> dict[int, str]:
         """The folder each bucket is read from, as of a version. Listings only."""
@@ -104,7 +104,7 @@ class BucketIndex(VectorIndex):
         """The versions from the one that made the collection to the one asked for."""
         versions = [v for v in self.versions() if version is None or v <= version]
         for at in range(len(versions) - 1, -1, -1):
-            if committed(self.spark, os.path.join(self.path, f"v={versions[at]}", "start", "payload")):
+            if exists(self.spark, os.path.join(self.path, f"v={versions[at]}", "start")):
                 return versions[at:]
         raise IndexError_(f"no index at {self.path}")
 
@@ -126,7 +126,7 @@ class BucketIndex(VectorIndex):
         return payload.join(self.vectors(version), "id").select(*payload.columns, "vector")
 
     def properties(self, vec_col: str = "vector") -> dict:
-        return dict(self.vectors().schema["vector"].metadata)
+        return dict(self._shape("vectors", self._since_start()[0])["vector"].metadata)
 
     # -- S11 ----------------------------------------------------------------
     def points_count(self) -> int:
@@ -141,13 +141,12 @@ class BucketIndex(VectorIndex):
         buckets of both parts are written anew. An empty delta changes nothing."""
         props = self.properties()
         work = Scratch(self.spark, "upsert")
-        names = [*[c for c in self.payload().columns], "vector"]
+        names = [*self._shape("payload", self._since_start()[0]).names, "vector"]
         rows = one_per_key(delta.withColumn("vector", to_float32(check_dim(F.col("vector"), props["dim"]))), "id", seq_col).select(*names)
         settled = work.write(rows.withColumn("bucket", bucket_of("id", props["buckets"])))
-        version, touched = self._touched(settled)
+        version, touched, n = self._touched(settled)
         if touched:
-            ids = settled.select("id")
-            ids = F.broadcast(ids) if settled.count() <= BROADCAST_IDS else ids
+            ids = F.broadcast(settled.select("id")) if n <= BROADCAST_IDS else settled.select("id")
             fresh = settled.drop("bucket")
             meta = F.col("vector").alias("vector", metadata=props)
             parts = [self._part(part, buckets=touched).join(ids, "id", "left_anti").unionByName(fresh.select(*columns))
@@ -164,16 +163,17 @@ class BucketIndex(VectorIndex):
         work = Scratch(self.spark, "set-payload")
         order = [seq_col] if seq_col and seq_col not in columns else []
         own = work.write(updates.select("id", *columns, *order).withColumn("bucket", bucket_of("id", buckets)))
-        version, touched = self._touched(own)
+        version, touched, _ = self._touched(own)
         if touched:
             new = with_payload_updates(self.payload(buckets=touched), own.drop("bucket"), columns, seq_col=seq_col)
             self._write_version(version, None, new, buckets)
         work.close()
         return version if touched else self.current_version()
 
-    def _touched(self, rows: DataFrame) -> tuple[int, list[int]]:
-        """The next version and the buckets (at most all there are) with rows."""
-        return self.current_version() + 1, sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+    def _touched(self, rows: DataFrame) -> tuple[int, list[int], int]:
+        """The next version, the buckets (at most all there are) with rows, and the rows."""
+        found = {r["bucket"]: r["n"] for r in rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return self.current_version() + 1, sorted(found), sum(found.values())
 
     def drop_superseded(self) -> int:
         """Remove the folders that the current version does not read; how many."""

@@ -407,7 +407,7 @@ def _part_delta(spark, d) -> DataFrame:
 def _part_index(spark, d) -> BucketIndex:
     """The parts as a bucketed index: the part key is the id, size and price the vector."""
     p = table(spark, d, "part")
-    return BucketIndex.create(_as_points(p), scratch_path(spark, "part-index"), 2, buckets=16)
+    return BucketIndex.create(_as_points(p), scratch_path(spark, "part-index"), 2)
 
 
 def _as_points(part: DataFrame) -> DataFrame:

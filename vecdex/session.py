@@ -182,6 +182,30 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _filesystem(spark, path)
+    return fs.exists(where)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (settings, a mark) written by the driver through Spark's file system."""
+    fs, where = _filesystem(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _filesystem(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def file_state(spark: SparkSession, path: str) -> tuple:
     """Name, length and time of the data files of a table; differs once they change."""
     fs, where = _filesystem(spark, path)
