@@ -193,6 +193,8 @@ def test_op12_edges(spark):
     both = piece_bpe.decoded(piece_bpe.encoded(df, MODEL), MODEL)
     assert sorted((str(r.doc_id), r.ids, r.decoded) for r in both.collect()) == sorted(
         [("None", [], ""), ("None", [264, 287], "a b"), ("1", [], ""), ("1", [264, 287], "a b"), ("2", [259], " ")])
+    once = piece_bpe.round_trip(df, MODEL)
+    assert sorted(map(str, once.collect())) == sorted(map(str, both.collect())) and once.columns == both.columns
     assert piece_bpe.decoded(piece_bpe.encoded(df.limit(0), MODEL), MODEL).count() == 0
     again = piece_bpe.decoded(df.select("ids", "decoded", "doc_id"), MODEL)  # null lists; a clashing column is replaced
     assert again.columns == ["ids", "doc_id", "decoded"]

@@ -38,7 +38,9 @@ SYMBOLS = 1 << 20
 #: longer words are looked through for further cuts, and are not remembered
 LONG = 64
 #: words remembered per worker process, about 0.2 kB each
-MEMO_LIMIT = 600_000
+MEMO_LIMIT = 400_000
+#: texts encoded together; also the rows of a batch that goes back to Spark
+BATCH_ROWS = 256
 #: symbols from here on stand for a character (offset by this) that is no piece
 _CHAR = 1 << 24
 _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -274,21 +276,42 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     A null or empty text has no ids. Repeated rows and null ids are encoded row by
     row; an empty table gives an empty result. Columns besides the two named ones
     are not read, so their names cannot clash."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return _encoded(docs, model, id_col, text_col, memo, None)
+
+
+def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO_LIMIT,
+               out_col: str = "decoded") -> DataFrame:
+    """``encoded`` with ``out_col``, the text that ``decoded`` gives for the ids, in one
+    pass: ids are decoded where they were made, and travel once."""
+    return _encoded(docs, model, id_col, text_col, memo, out_col)
+
+
+def _encoded(docs: DataFrame, model: str, id_col: str, text_col: str, memo: int, out_col: str | None) -> DataFrame:
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           *([T.StructField(out_col, T.StringType())] if out_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model, memo)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
                 ids = own.encode([x or "" for x in batch.column(1).to_pylist()])
                 ends = np.cumsum([0, *[len(b) // 4 for b in ids]], dtype=np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], schema.names)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                texts = [pa.array(_texts(lists, own.model), pa.string())] if out_col else []
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, *texts], schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
+def _texts(lists: pa.ListArray, model: PieceModel) -> list[str]:
+    """The text of each list of ids; a null list has none."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    sizes = [n or 0 for n in lists.value_lengths().to_pylist()]
+    ends = np.cumsum([0, *sizes]).tolist()
+    return [model.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
+
+
 def decoded(frame: DataFrame, model: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``frame`` with ``out_col``, the text of the ids in ``ids_col`` as the library's
     ``decode`` gives it; null and empty lists give an empty text. A column named
@@ -300,12 +323,8 @@ def decoded(frame: DataFrame, model: str, ids_col: str = "ids", out_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model, 0).model
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                lists = batch.column(at)
-                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = np.array([n or 0 for n in lists.value_lengths().to_pylist()], np.int64)
-                texts = [own.decode(ids) for ids in np.split(flat, np.cumsum(sizes)[:-1])] if len(sizes) else []
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_texts(batch.column(at), own), pa.string())], schema.names)
 
     return frame.mapInArrow(run, schema)

@@ -107,8 +107,7 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = vocabulary("piece_bpe_32k.model")
-    both = piece_bpe.decoded(piece_bpe.encoded(table(spark, sf_dir, "documents"), model), model)
+    both = piece_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.encode(F.array_join("ids", ","), "UTF-8"), 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
