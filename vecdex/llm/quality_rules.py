@@ -49,7 +49,7 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
     hash its words and whose low bits are its place. Sorted, equal windows stand
     side by side; those whose hashes agree are compared by their words, and the
     places that equal ones cover are counted once each."""
-    n = {stem: fresh(docs, stem) for stem in ("text", "words", "line", "mask", "codes", "beside", "agree", "places")}
+    n = {stem: fresh(docs, stem) for stem in ("text", "words", "line", "mask", "codes", "beside", "agree", "spelt", "places")}
     text, own = F.col(n["text"]), F.col(n["words"])
     mask, codes, places = F.col(n["mask"]), F.col(n["codes"]), F.col(n["places"])
 
@@ -62,13 +62,16 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
     # most texts repeat no triple and are done after one comparison per window
     repeated = F.when(F.array_contains(n["beside"], True), F.filter(
         codes, lambda x, i: same(x, F.get(codes, i - 1)) | same(x, F.get(codes, i + 1)))).otherwise(F.array().cast("array<bigint>"))
-    # windows whose hashes agree, by their words: what is equal stands side by side again
-    agree = F.col(n["agree"])
+    # neighbours whose hashes agree are compared by their words; only if some differ are
+    # the windows sorted by their words instead
+    agree, spelt = F.col(n["agree"]), F.col(n["spelt"])
     place = lambda x: x.bitwiseAND(F.bitwise_not(mask)).cast("int")
-    spelt = F.transform(repeated, lambda x: F.struct(
-        F.concat_ws(" ", F.slice(own, place(x) + 1, F.lit(3))).alias("w"), place(x).cast("long").alias("p")))
-    equal = F.filter(agree, lambda y, i: F.coalesce(y["w"] == F.get(agree, i - 1)["w"], F.lit(False))
-                     | F.coalesce(y["w"] == F.get(agree, i + 1)["w"], F.lit(False)))
+    differ = F.exists(F.zip_with(agree, F.slice(agree, F.lit(2), F.size(agree)), lambda a, b: same(a, b) & (
+        F.slice(own, place(a) + 1, F.lit(3)) != F.slice(own, place(b) + 1, F.lit(3)))), lambda x: F.coalesce(x, F.lit(False)))
+    windows = F.array_sort(F.transform(agree, lambda x: F.struct(
+        F.concat_ws(" ", F.slice(own, place(x) + 1, F.lit(3))).alias("w"), place(x).cast("long").alias("p"))))
+    equal = F.filter(spelt, lambda y, i: F.coalesce(y["w"] == F.get(spelt, i - 1)["w"], F.lit(False))
+                     | F.coalesce(y["w"] == F.get(spelt, i + 1)["w"], F.lit(False)))
     covered = F.transform(places, lambda x, i: F.least(three, F.coalesce(F.get(places, i + 1) - x, three)))
     return (docs.withColumn(n["text"], F.coalesce(F.col(text_col), F.lit("")))
             .withColumn(n["words"], words(text))
@@ -77,8 +80,10 @@ def base_counts(docs: DataFrame, text_col: str = "text", words_as: str | None =
             .withColumn(n["mask"], F.expr("coalesce(-shiftleft(1L, int(ceil(log2(n_words + 2.0D)))), 0L)"))
             .withColumn(n["codes"], F.sort_array(F.slice(coded, 1, F.greatest(F.size(own) - 2, F.lit(0)))))
             .withColumn(n["beside"], beside)
-            .withColumn(n["agree"], F.array_sort(spelt))
-            .withColumn(n["places"], F.sort_array(F.transform(equal, lambda y: y["p"])))
+            .withColumn(n["agree"], repeated)
+            .withColumn(n["spelt"], F.when((F.size(agree) > 0) & differ, windows))
+            .withColumn(n["places"], F.sort_array(F.when(spelt.isNull(), F.transform(
+                agree, lambda x: x.bitwiseAND(F.bitwise_not(mask)))).otherwise(F.transform(equal, lambda y: y["p"]))))
             .withColumn("word_chars", F.length(F.array_join(own, "")).cast("long"))
             .withColumn("n_symbols", F.regexp_count(text, F.lit(_SIGNS)).cast("long"))
             .withColumn("n_dup_lines", (F.size(n["line"]) - F.size(F.array_distinct(n["line"]))).cast("long"))
