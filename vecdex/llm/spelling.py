@@ -35,6 +35,8 @@ from vecdex.session import Scratch
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 #: words of one sorted list; longer lists are dealt into blocks
 LIST_WORDS = 20_000
+#: words of the vocabulary to one scanning task, which sees each about four times
+PART_WORDS = 10_000
 #: distinct words a counting task holds before it passes its counts on
 HELD_WORDS = 500_000
 #: long lists up to this many are broadcast, about 50 bytes each
@@ -103,7 +105,9 @@ def near_words(words: DataFrame, work: Scratch, list_words: int = LIST_WORDS) ->
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j")))
     dealt = dealt.withColumn("meet", F.explode(meet)).select(*by, "meet.i", "meet.j", "own", "x", "word", "n")
     group = [*by, "i", "j"]
-    found = dealt.repartition(*group).sortWithinPartitions(*group, "x").select(*group, "own", "x", "n").mapInArrow(
+    # a count of partitions that follows the work: few bytes make many scans
+    parts = max(dealt.sparkSession.sparkContext.defaultParallelism, -(-words.count() // PART_WORDS))
+    found = dealt.repartition(parts, *group).sortWithinPartitions(*group, "x").select(*group, "own", "x", "n").mapInArrow(
         _scan, "word string, n_near long, form_n long, near string")
     return _best(found)
 
