@@ -143,8 +143,10 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
     return (rows.withColumn("text__", F.coalesce(F.col(text_col), F.lit("")))
             .withColumn("text_id__", F.xxhash64("text__"))
-            .withColumn("hits__", F.coalesce(F.array_join(F.transform(
-                "own__", lambda w: F.element_at("codes__", w)), ""), F.lit("")))
+            # a word longer than all common ones needs no look-up
+            .withColumn("longest__", F.array_max(F.transform(F.map_keys("codes__"), lambda w: F.octet_length(w))))
+            .withColumn("hits__", F.coalesce(F.array_join(F.transform("own__", lambda w: F.when(
+                F.octet_length(w) <= F.col("longest__"), F.element_at("codes__", w))), ""), F.lit("")))
             .withColumn("known__", known)
             .withColumn("words__", F.concat("known__", F.array(F.col("n_words") - total(F.col("known__")))))
             .withColumn("size__", F.length("text__")).withColumn("upper__", gone("\\p{Lu}+"))
@@ -152,7 +154,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             .withColumn("mark__", F.regexp_count("text__", F.lit(_MARKS)))
             .withColumn("classes__", F.expr("""cast(array(letter__ - upper__, upper__, digit__, size__ - word_chars, mark__, n_symbols,
                 greatest(0, word_chars - letter__ - digit__ - mark__ - n_symbols)) AS array<double>)"""))
-            .drop("lang__", "text__", "own__", "hits__", "known__", "size__", "upper__", "letter__", "digit__", "mark__"))
+            .drop("lang__", "text__", "own__", "hits__", "longest__", "known__", "size__", "upper__", "letter__", "digit__", "mark__"))
 
 
 def references(rows: DataFrame, lang_col: str = "lang") -> DataFrame:
