@@ -90,3 +90,17 @@ def test_stream_touches_buckets_of_each_batch(spark):
     idx = BucketIndex(spark, scratch_path(spark, "bucket-idx"))
     run_ingest_stream(stream, idx, HashingEmbedder(4), "text", checkpoint=scratch_path(spark, "bucket-ckpt"), dim=4)
     assert sorted(r.id for r in idx.read().collect()) == list(range(300)) and len(idx.versions()) == 3
+
+
+def test_upsert_query_with_keys_of_new_rows_taken(spark):
+    """New keys that are those of an unchanged and of a changed part: the first row
+    is replaced, the second stays beside the new one."""
+    from vecdex.plans import catalog
+    shape = "p_partkey long, p_name string, p_brand string, p_type string, p_size long, p_retailprice double"
+    rows = [(1, "a", "b", "t", 50, 1.0), (2, "c", "b", "t", 50, 2.0), (3, "d", "b", "t", 1, 3.0),
+            (1_000_001, "e", "b", "t", 50, 4.0), (1_000_002, "f", "b", "t", 1, 5.0)]
+    d = scratch_path(spark, "taken-keys")
+    spark.createDataFrame(rows, shape).write.parquet(os.path.join(d, "part.parquet"))
+    got = sorted((r.p_partkey, r.p_name, r.p_retailprice) for r in catalog.REGISTRY["s8_upsert"](spark, d).collect())
+    assert got == [(1, "a", 101.0), (2, "c", 102.0), (3, "d", 3.0), (1_000_001, "a", 1.0), (1_000_001, "e", 104.0),
+                   (1_000_002, "c", 2.0), (2_000_001, "e", 4.0)]

@@ -415,15 +415,25 @@ def _as_points(part: DataFrame) -> DataFrame:
         "vector", F.array(F.col("p_size").cast("float"), F.col("p_retailprice").cast("float")))
 
 
+def _numbered_points(part: DataFrame, number) -> DataFrame:
+    """Parts as points of their own: of several rows for a key, each has its number."""
+    return _as_points(part).withColumn("p_partkey", F.col("id")).withColumn("id", F.col("id") * 2 + number)
+
+
 @register("s8_upsert")
 def s8_upsert(spark, d):
     """Key upsert into a stored index: the changed and new rows replace or join
-    theirs, of several rows for an id the last by ``seq``."""
-    idx = _part_index(spark, d)
-    delta = _as_points(_part_delta(spark, d)).withColumn("seq", F.lit(2))
+    theirs, of several rows for an id the last by ``seq``. A new row whose key is
+    that of a changed part does not replace it: both are points."""
+    part = table(spark, d, "part")
+    idx = BucketIndex.create(_numbered_points(part, 0), scratch_path(spark, "part-index"), 2)
+    from pyspark.sql import Window
+    # a key has a changed row and a new one at most, as the keys of parts are unique
+    own = F.row_number().over(Window.partitionBy("p_partkey").orderBy("p_size", "p_retailprice")) - 1
+    delta = _numbered_points(_part_delta(spark, d).withColumn("_n", own), F.col("_n")).drop("_n").withColumn("seq", F.lit(2))
     stale = delta.withColumn("p_name", F.lit("stale")).withColumn("seq", F.lit(1))
     idx.upsert(delta.unionByName(stale), seq_col="seq")
-    return idx.payload().withColumnRenamed("id", "p_partkey")
+    return idx.payload().select(part.columns)
 
 
 @register("s10_set_payload")
