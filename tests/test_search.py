@@ -316,3 +316,32 @@ def test_scroll_skips_files_by_id(spark):
     late.collect()
     scan = late._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
     assert scan.metrics().apply("numOutputRows").value() <= max(hi - lo + 1 for lo, hi in spans)
+
+
+def test_leaders_hold_little_and_are_exact():
+    """The leading rows of many queries over many batches, ties and copies included,
+    without holding more than a few times the answer."""
+    r = np.random.default_rng(9)
+    q = topk.normalize_rows(r.normal(size=(1500, 16)).round(1))
+    q[7] = 0.0
+    c = topk.normalize_rows(np.repeat(r.normal(size=(5000, 16)).round(1), 2, axis=0))
+    c[::9] = c[3]                                               # a ninth are copies
+    ids = r.permutation(len(c)).astype(np.int64)
+    leaders, most = topk.Leaders(q, 5), 0
+    for at in range(0, len(c), 1000):
+        leaders.add(ids[at:at + 1000], c[at:at + 1000])
+        most = max(most, leaders.held)
+    who, got, _ = leaders.result()
+    assert most < 4 * len(q) * 5 + 250_000
+    score = np.round(c @ q.T, 6) + 0.0
+    for n in (0, 7, 8, 700, 1499):
+        assert got[who == n].tolist() == ids[np.lexsort((ids, -score[:, n]))[:5]].tolist()
+
+
+def test_blocks_move_little():
+    """Many queries with many answers: few corpus blocks, as each of them repeats the
+    candidates; few queries: the corpus is not repeated."""
+    qn, cn = topk._blocks(60_000, 250_000, 4, 1, 48, 64, 50)
+    assert qn * cn >= 48 and cn <= 6
+    qn, cn = topk._blocks(100, 5_000_000, 1, 5, 48, 64, 10)
+    assert qn == 1 and cn >= 48

@@ -4,12 +4,13 @@
   the centroids are a small model (lists x dim) kept on the driver.
 * Assign: every corpus row gets its nearest centroid (``list_id``),
   computed by the model's JVM transform; no row is dropped.
-* Probe: each query scores the centroids (exact K2 against the tiny
-  centroid table) and keeps its ``nprobe`` best lists.
-* Score: queries and corpus rows meet per (list, corpus split, query split).
-  A list with many rows is split into blocks of ``corpus_block_rows``; the
-  queries probing it are split into blocks of ``query_block_rows``; every
-  co-group is therefore bounded however skewed the lists are.
+* Probe: each query meets the centroids (a small model, broadcast) and keeps its
+  ``nprobe`` best lists; a row-wise map, no shuffle.
+* Score: lists are dealt into groups of about equal size, and a query travels once
+  to each group where it probes a list, with the lists it probes there. Queries and
+  corpus rows meet per (list group, corpus block, query block); a group of many rows
+  is split into blocks of ``corpus_block_rows``, queries into blocks of
+  ``query_block_rows``. A task holds one block of queries, its rows stream past.
 
 ``nprobe = lists`` scores every vector and equals exact K2. Below that,
 ``tune`` measures how many lists a search must probe for the recall wanted; an
@@ -19,14 +20,17 @@ index that was not tuned probes every list.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vecdex.functions.vectors import l2_normalize
+from vecdex.functions.vectors import l2_normalize, normalize_rows
 from vecdex.operators import topk
 from vecdex.session import committed, cut_lineage
 
@@ -111,41 +115,82 @@ class IVFIndex:
                            len(self.centroids))
         return self
 
+    def _probed(self, queries: DataFrame, nprobe: int) -> DataFrame:
+        """``qid, qvec, lists``: the ``nprobe`` lists of each query that can be ranked, by
+        cosine with the centroids, then by number."""
+        dim = self.dim
+        shared = queries.sparkSession.sparkContext.broadcast(normalize_rows(self.centroids))
+        shape = T.StructType([queries.schema["qid"], queries.schema["qvec"], T.StructField("lists", T.ArrayType(T.IntegerType()))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2000):
+                    batch, unit = topk._ranked_rows(whole.slice(at, 2000), "qvec", dim, False)
+                    if not batch.num_rows:
+                        continue
+                    score = np.round(unit @ shared.value.T, topk.SCORE_DECIMALS)
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
+                    ends = np.arange(0, best.size + 1, best.shape[1], dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(ends, best.ravel())], shape.names)
+        return queries.select("qid", "qvec").mapInArrow(run, shape)
+
     def sides(self, queries: DataFrame, k: int = 10, nprobe: int | None = None, *,
               qid_col: str = "qid", qvec_col: str = "qvec",
-              query_block_rows: int = 4096, corpus_block_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
-        """Query rows and corpus rows of the probed lists, by block. Everything
-        starts from the probed lists: the corpus side joins them on the folder
-        column, so a saved index is read for those lists only."""
-        spark = queries.sparkSession
-        q = queries.select(F.col(qid_col).cast("long").alias("qid"),
-                           F.col(qvec_col).alias("qvec"), F.lit(k).alias("k"))
-        probes = topk.knn(self.centroid_table(spark), q, self.dim, min(nprobe or self.nprobe, len(self.centroids)),
-                          qid_col="qid", qvec_col="qvec")
-        qp = q.join(probes.select("qid", F.col("id").cast("int").alias("list_id")), "qid")
-        # one row per probed list: bounded by the number of lists
-        splits = F.broadcast(cut_lineage(
-            qp.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_q")).join(self.sizes, "list_id")
-            .select("list_id", F.ceil(F.col("n_c") / corpus_block_rows).cast("int").alias("cs"),
-                    F.ceil(F.col("n_q") / query_block_rows).cast("int").alias("qs"))))
-        qside = (qp.join(splits, "list_id")
-                 .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("qs")).cast("int"))
+              query_block_rows: int = 50_000, corpus_block_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
+        """Query rows and corpus rows of the probed lists, by part. Where some lists
+        are not probed, the corpus side joins the probed ones on the folder column,
+        so a saved index is read for those lists only."""
+        return self._sides(queries, k, nprobe, qid_col, qvec_col, query_block_rows, corpus_block_rows)[:2]
+
+    def _sides(self, queries: DataFrame, k: int, nprobe: int | None, qid_col: str, qvec_col: str, query_block_rows: int,
+               corpus_block_rows: int) -> tuple[DataFrame, DataFrame, int]:
+        spark, lists = queries.sparkSession, len(self.centroids)
+        nprobe = min(nprobe or self.nprobe, lists)
+        q = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qvec"))
+        probes = cut_lineage(self._probed(q, nprobe))  # also keeps the parts of the two sides alike
+        n_q = probes.count()
+        if probes.groupBy("qid").count().where("count > 1").limit(1).count():
+            raise ValueError("qid must be unique")
+        own = [0] * lists
+        for r in self.sizes.collect():  # one row per list
+            own[r["list_id"]] = r["n_c"]
+        # groups of neighbouring lists with about equal rows, and blocks of a group's rows
+        qs = max(1, math.ceil(n_q / query_block_rows))
+        wanted = max(1, min(lists, math.ceil(4 * spark.sparkContext.defaultParallelism / qs)))
+        fill = max(1, math.ceil(sum(own) / wanted))
+        before = np.cumsum(own) - own
+        group = (before // fill).astype(int)
+        group = np.unique(group, return_inverse=True)[1]
+        rows = np.bincount(group, weights=own)
+        cs = np.maximum(1, np.ceil(rows / corpus_block_rows)).astype(int)
+        first = np.concatenate([[0], np.cumsum(cs * qs)])  # parts of a group: query block, then corpus block
+        dealt = F.broadcast(spark.createDataFrame(
+            [(c, int(group[c]), int(cs[group[c]]), int(first[group[c]])) for c in range(lists)], "list_id int, g int, cs int, first long"))
+        place = F.array(*[F.lit(int(g)) for g in group])
+        # the lists of a query group by group
+        split = (probes.withColumn("g", F.explode(F.array_distinct(F.transform("lists", lambda c: F.element_at(place, c + 1)))))
+                 .withColumn("lists", F.filter("lists", lambda c: F.element_at(place, c + 1) == F.col("g"))))
+        groups = F.broadcast(dealt.select("g", "cs", "first").distinct())
+        qside = (split.join(groups, "g")
+                 .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qs)))
                  .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))
-                 .select("list_id", "qb", "cb", "qid", "qvec", "k"))
-        cside = (self.assigned.join(splits, "list_id")
-                 .withColumn("cb", F.pmod(F.xxhash64("id"), F.col("cs")).cast("int"))
-                 .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
-                 .select("list_id", "qb", "cb", "id", "vec"))
-        return qside, cside
-
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int | None = None, **options) -> DataFrame:
+                 .select((F.col("first") + F.col("qb") * F.col("cs") + F.col("cb")).alias("part"), F.col("qid").alias("id"),
+                         F.lit(k).alias("k"), "lists", F.col("qvec").alias("vec")))
+        if nprobe < lists:
+            dealt = F.broadcast(cut_lineage(dealt.join(probes.select(F.explode("lists").alias("list_id")).distinct(), "list_id")))
+        cside = (self.assigned.join(dealt, "list_id")
+                 .withColumn("cb", F.pmod(F.xxhash64("id"), F.col("cs")))
+                 .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qs - 1))))
+                 .select((F.col("first") + F.col("qb") * F.col("cs") + F.col("cb")).alias("part"), "id",
+                         F.col("list_id").alias("own"), "vec", "list_id"))
+        return qside, cside, int(first[-1])
+
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int | None = None, *, qid_col: str = "qid", qvec_col: str = "qvec",
+               query_block_rows: int = 50_000, corpus_block_rows: int = 200_000) -> DataFrame:
         """Top ``k`` among the vectors of each query's ``nprobe`` lists; as many
         as the index was tuned to unless given."""
-        qside, cside = self.sides(queries, k, nprobe, **options)
-        keys = ["list_id", "qb", "cb"]
-        cands = (qside.groupBy(*keys).cogroup(cside.groupBy(*keys))
-                 .applyInPandas(topk._block_kernel(self.dim, k, False), topk._CAND_SCHEMA))
-        return topk.rank_candidates(cands, k)
+        qside, cside, parts = self._sides(queries, k, nprobe, qid_col, qvec_col, query_block_rows, corpus_block_rows)
+        return topk.rank_candidates(topk.meet(qside, cside, parts, self.dim, k), k)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
