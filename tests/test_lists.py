@@ -155,3 +155,13 @@ def test_quantiser_scores_agree():
     order = q.order(many, len(q.centres))
     assert all(sorted(o) == list(range(len(q.centres))) for o in order)
     assert math.isclose(lists._lifted(0.9, 10 ** 9), 0.9, abs_tol=1e-4)
+
+
+def test_many_queries_are_sent_in_pieces(data, monkeypatch):
+    df, idx, q = data
+    want = ranked(idx.search(q, 10))
+    monkeypatch.setattr(lists, "HELD_ROWS", 20 * idx.shortlist)
+    monkeypatch.setattr(lists, "HELD_SCORES", 100)
+    found = idx.search(q, 10)
+    assert ranked(found) == want
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") > 3

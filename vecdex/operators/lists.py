@@ -55,6 +55,10 @@ BROADCAST_BYTES = 128 << 20
 BROADCAST_ROWS = 1_000_000
 #: probed lists up to this many become a pushed filter of the scan
 PUSHED_LISTS = 2000
+#: shortlist entries that a task holds at once; more queries are sent in several pieces
+HELD_ROWS = 1_000_000
+#: scores of one list that are held at once
+HELD_SCORES = 4_000_000
 #: dimensions of one subspace of the product quantiser
 SUBSPACE = 4
 _SLACK = 2e-6  # scores are ranked by six places; bounds give way by more than that
@@ -377,7 +381,17 @@ class ListIndex:
 
     def _shortlist(self, sent: "_Sent", length: int, where: dict | None = None) -> DataFrame:
         """``qid, id, approx, place``: the best ``length`` of each query's lists by
-        approximate score."""
+        approximate score. A task holds a shortlist for every query it is sent, so
+        many queries are sent in pieces."""
+        step = max(1, HELD_ROWS // max(length, 1))
+        pieces = [self._candidates(sent.part(at, at + step), length, where) for at in range(0, max(len(sent.ids), 1), step)]
+        found = pieces[0]
+        for piece in pieces[1:]:
+            found = found.unionByName(piece)
+        w = Window.partitionBy("qid").orderBy(F.col("approx").desc(), "id")
+        return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= length)
+
+    def _candidates(self, sent: "_Sent", length: int, where: dict | None) -> DataFrame:
         data = self.spark.sparkContext.broadcast((sent.ids, sent.vectors, *sent.by_list(len(self.sizes)), self.quantiser))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,14 +403,14 @@ class ListIndex:
                 codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(lists), -1)
                 for c in np.unique(lists):
                     who = members[starts[c]:starts[c + 1]]
-                    if len(who):
-                        here = lists == c
-                        best.add(who, rows[here], q.scores(vectors[who], int(c), codes[here]))
+                    here = np.flatnonzero(lists == c)
+                    step = max(1, HELD_SCORES // len(here))
+                    for at in range(0, len(who), step):
+                        mine = who[at:at + step]
+                        best.add(mine, rows[here], q.scores(vectors[mine], int(c), codes[here]))
             yield from best.batches(ids)
 
-        found = self._scan(sent.probed(), ["list_id", "id", "code"], where).mapInArrow(run, "qid long, id long, approx double")
-        w = Window.partitionBy("qid").orderBy(F.col("approx").desc(), "id")
-        return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= length)
+        return self._scan(sent.probed(), ["list_id", "id", "code"], where).mapInArrow(run, "qid long, id long, approx double")
 
     def _ranked(self, short: DataFrame, sent: "_Sent", k: int, length: int) -> DataFrame:
         """Exact scores of the shortlisted rows, ranked as ``topk.knn`` ranks."""
@@ -496,7 +510,12 @@ class ListIndex:
 
     def _bounds(self, raw: pa.Table, k: int) -> tuple["_Sent", np.ndarray]:
         """Each query's k-th score over its nearest lists that hold k rows."""
-        sent = _Sent.of(raw, k, self.dim, self.quantiser, len(self.sizes))
+        near = 8
+        while True:  # as many lists as hold k rows for every query
+            sent = _Sent.of(raw, k, self.dim, self.quantiser, near)
+            if near >= len(self.sizes) or not len(sent.ids) or self.sizes[sent.lists].sum(axis=1).min() >= k:
+                break
+            near *= 4
         before = np.cumsum(self.sizes[sent.lists], axis=1) - self.sizes[sent.lists] if len(sent.ids) else np.zeros((0, 1))
         sent.lists = np.where(before < k, sent.lists, -1)
         seeds = self._pruned(sent, np.full(len(sent.ids), -np.inf), k, only=True)
@@ -514,7 +533,9 @@ class ListIndex:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, vectors, low, first, who_of, centres, radius = data.value
             reach = np.sqrt(np.maximum(2 * (1 - low + _SLACK), 0))  # no row farther than this matters
-            best, pairs = _Best(k), 0
+            best, pairs = topk.Leaders(vectors, k), 0
+            best.low = low.copy()
+            norms = (vectors * vectors).sum(axis=1)
             for batch in batches:
                 lists, rows, dist = (batch.column(j).to_numpy() for j in range(3))
                 for c in np.unique(lists):
@@ -522,7 +543,7 @@ class ListIndex:
                     if only:
                         who = who_of[first[c]:first[c + 1]]
                     else:
-                        away = np.linalg.norm(vectors - centres[c], axis=1)
+                        away = np.sqrt(np.maximum(norms + centres[c] @ centres[c] - 2 * (vectors @ centres[c]), 0))
                         who = np.flatnonzero(away - radius[c] <= reach + _SLACK)
                         if len(who):  # and of its rows those at a distance some query can reach
                             near, far = (away[who] - reach[who]).min() - _SLACK, (away[who] + reach[who]).max() + _SLACK
@@ -532,13 +553,11 @@ class ListIndex:
                     pairs += len(who) * len(here)
                     if count:
                         continue
-                    unit = normalize_rows(arrow_matrix(batch.column(3).take(pa.array(here)), dim))
-                    best.add(who, rows[here], np.round(unit @ vectors[who].T, topk.SCORE_DECIMALS) + 0.0)
+                    best.add(rows[here], normalize_rows(arrow_matrix(batch.column(3).take(pa.array(here)), dim)), who)
             if count:
                 yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([pairs]), pa.array([0.0]), pa.array([0], pa.int32())], ["qid", "id", "score", "k"])
             else:
-                for b in best.batches(ids):
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, k, np.int32))], ["qid", "id", "score", "k"])
+                yield from best.batches(ids, np.full(len(ids), k, np.int32))
 
         probed = sent.probed() if only else self._reachable(sent, bound)
         return self._scan(probed, ["list_id", "id", "dist", "vec"]).mapInArrow(run, topk._CAND_SCHEMA)
@@ -577,6 +596,9 @@ class _Sent:
     def cut(self, lists: int) -> "_Sent":
         return _Sent(self.ids, self.vectors, self.lists[:, :lists])
 
+    def part(self, a: int, b: int) -> "_Sent":
+        return _Sent(self.ids[a:b], self.vectors[a:b], self.lists[a:b])
+
     def reach(self, weight: np.ndarray, share: float) -> "_Sent":
         """Only lists with matching rows, up to the share of all of them."""
         own = weight[self.lists]
