@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecdex.llm.common import ascii_lower, fresh
-from vecdex.session import Scratch
+from vecdex.session import Scratch, scratch_path
 
 #: rows of about 150 bytes that may be broadcast
 BROADCAST_ROWS = 200_000
