@@ -267,3 +267,27 @@ def test_timer_streams_edges(spark):
     spark.createDataFrame(pdf).limit(0).write.parquet(empty)
     out = timers.audit_timers(st.file_stream(spark, empty), "user_id", "ts", 5.0, 1).run(scratch_path(spark, "t-n"), scratch_path(spark, "t-nc"))
     assert out.count() == 0
+
+
+def test_timer_streams_share_states_among_keys(spark):
+    """Many keys in few states, with nulls in every column but the first: numbers keep
+    their digits, and rows without a time or a key are decided like the batch forms'."""
+    from vecdex.streaming import timers
+    t0, big = dt.datetime(2024, 1, 1), 2 ** 53 + 1
+    rows = [(big + k, None if k % 11 == 0 else t0 + dt.timedelta(seconds=(k * 37) % 900), None if k % 13 == 0 else big + k % 40,
+             None if k % 7 == 0 else big + 2 * k, (None, float("nan"), 0.5)[k % 3], None if k % 5 == 0 else k % 2 == 0,
+             None if k % 3 == 0 else t0, None if k % 4 == 0 else f"x{k}") for k in range(600)]
+    path = scratch_path(spark, "t-shared")
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, n long, v double, b boolean, seen timestamp, s string").write.parquet(path)
+    events = spark.read.parquet(path)
+    src = st.file_stream(spark, path, max_files=None)
+    for make, want in ((lambda: timers.debounce_timers(src, "user_id", "ts", 20.0, bucket_seconds=300.0, slots=2),
+                        ev.debounce(events, "user_id", "ts", 20.0, tie="event_id")),
+                       (lambda: timers.audit_timers(src, "user_id", "ts", 30.0, 2, bucket_seconds=300.0, slots=2),
+                        ev.rate_audit(events, "user_id", "ts", 30.0, 2))):
+        ck = scratch_path(spark, "t-sharedc")
+        got = make().run(scratch_path(spark, "t-shared-sink"), ck)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        states = _state_rows(spark, ck).select("key.*").distinct()
+        assert states.count() <= 2 * 5  # three buckets, one before or after them, one without time

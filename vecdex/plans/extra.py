@@ -149,7 +149,7 @@ def st3_debounce_stream(spark, d):
     return out.select("event_id", "user_id", "event_type")
 
 
-#: a state holds the events of one user and week
+#: a state holds the events of one slot of users and week
 WEEK_S = 7 * 86400.0
 
 
@@ -158,7 +158,8 @@ def st3_timer_stream(spark, d):
     """Streaming debounce with event-time timers; what still waits at the end of the
     input is decided from the state, so every event that closes a burst is there."""
     src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
-    stream = timers.debounce_timers(src, "user_id", "ts", DEBOUNCE_GAP_S, bucket_seconds=WEEK_S)
+    stream = timers.debounce_timers(src, "user_id", "ts", DEBOUNCE_GAP_S, bucket_seconds=WEEK_S,
+                                    slots=timers.slots_for(table(spark, d, "events").count()))
     return stream.run(scratch_path(spark, "st3-timers"), scratch_path(spark, "st3-timers-ckpt")).select("event_id", "user_id", "event_type")
 
 
@@ -166,7 +167,8 @@ def st3_timer_stream(spark, d):
 def st4_timer_audit(spark, d):
     """The rate audit as a stream whose state expires a window after its events."""
     src = st.file_stream(spark, os.path.join(d, "events.parquet"), max_files=None)
-    stream = timers.audit_timers(src, "user_id", "ts", RATE_WINDOW_S, RATE_MAX, bucket_seconds=WEEK_S)
+    stream = timers.audit_timers(src, "user_id", "ts", RATE_WINDOW_S, RATE_MAX, bucket_seconds=WEEK_S,
+                                 slots=timers.slots_for(table(spark, d, "events").count()))
     return stream.run(scratch_path(spark, "st4-timers"), scratch_path(spark, "st4-timers-ckpt")).select(
         "event_id", "user_id", "n_window", "over_limit")
 
