@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from vecdex.operators import fuzzy
 
 
@@ -60,3 +62,17 @@ def test_lookup_rules(spark):
                    (9, "it", 1, "/it"), (10, "alpha stations", 1, "/s")]
     assert fuzzy.fuzzy_lookup(pts.limit(0), cat).count() == 0
     assert all(r.match_title is None for r in fuzzy.fuzzy_lookup(pts, cat.limit(0)).collect())
+
+
+def test_parity_bounds_edits_and_spares_distances(spark):
+    """No pair within the edits is ruled out, and most of those beyond are."""
+    words = strings(5, 90, letters="abcdefgh é😀", longest=20)
+    df = spark.createDataFrame([(w,) for w in words], "s string").withColumn("odd", fuzzy.parity(F.col("s")))
+    odd = {r.s: r.odd for r in df.collect()}
+    far = kept = 0
+    for a in odd:
+        for b in odd:
+            turned, n = ((odd[a] ^ odd[b]) & (2 ** 64 - 1)).bit_count(), edits(a, b)
+            assert turned <= 2 * n
+            far, kept = far + (n > 2), kept + (n > 2 and turned <= 4)
+    assert kept < 0.8 * far

@@ -13,7 +13,9 @@ points are found without comparing all pairs:
   after deleting up to ``max_edits`` code points, which two such strings share.
 
 Places, lengths and the edit distance itself are conditions of the join, so pairs
-that fail are never rows. A gram that many strings share is dealt into blocks on
+that fail are never rows. Before the distance stands a cheap bound: a long holds in
+each bit whether the code points of that bit occur an odd number of times, and an edit
+turns two bits at most. A gram that many strings share is dealt into blocks on
 both sides: a task holds one block of each, and every pair of blocks meets once.
 Strings are made distinct first, so a title that a third of the rows bear counts
 once.
@@ -44,15 +46,24 @@ def _grams(strings: DataFrame, q: int) -> DataFrame:
     return strings.select("s", F.posexplode(F.transform(at, lambda k: F.substring(padded, k, F.lit(q)))).alias("place", "gram"))
 
 
+def parity(s: Column) -> Column:
+    """A long whose bits tell which code points, by their hash, occur an odd number of
+    times. An insertion or deletion turns one bit, a replacement two at most."""
+    bits = F.transform(F.sequence(F.lit(0), F.length(s)), lambda k: F.when(
+        k > 0, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(F.substring(s, k, F.lit(1))), F.lit(64)))).otherwise(F.lit(0).cast("long")))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
 def _prefixes(strings: DataFrame, often: DataFrame, q: int, max_edits: int) -> DataFrame:
-    """``s, gram, place``: the rarest grams of each string, ties of the last included."""
+    """``s, odd, gram, place``: the rarest grams of each string, ties of the last
+    included, and its parity."""
     need = q * max_edits
     known = often if not within_bytes(often) else F.broadcast(often)
     marked = _grams(strings, q).join(known, "gram", "left").select("s", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "place").alias("g"))
     own = marked.groupBy("s").agg(F.array_sort(F.collect_list("g")).alias("gs"))  # as long as the string
     last = F.element_at("gs", F.least(F.size("gs"), F.lit(need + 1)))
     first = F.filter("gs", lambda g: (g["n"] < last["n"]) | ((g["n"] == last["n"]) & (g["gram"] <= last["gram"])))
-    return own.select("s", F.explode(first).alias("g")).select("s", "g.gram", "g.place")
+    return own.withColumn("odd", parity(F.col("s"))).select("s", "odd", F.explode(first).alias("g")).select("s", "odd", "g.gram", "g.place")
 
 
 def _dealt(left: DataFrame, right: DataFrame, block: int, work: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -69,7 +80,7 @@ def _dealt(left: DataFrame, right: DataFrame, block: int, work: Scratch) -> tupl
         mine = F.pmod(F.xxhash64("s"), F.coalesce(own, F.lit(1))).cast("int")
         others = F.explode(F.sequence(F.lit(0), F.coalesce(all_, F.lit(1)) - 1))
         names = ("a", "b") if own == "as" else ("b", "a")
-        out.append(dealt.select("s", "gram", "place", mine.alias(names[0]), others.alias(names[1])))
+        out.append(dealt.select("s", "odd", "gram", "place", mine.alias(names[0]), others.alias(names[1])))
     return out[0], out[1]
 
 
@@ -95,8 +106,9 @@ def similar_strings(left: DataFrame, right: DataFrame, max_edits: int = 2, *, q:
     a, b = _dealt(*prefixes, block, work)
     edits = F.levenshtein(F.col("x.s"), F.col("y.s"), max_edits)
     near = (F.abs(F.length("x.s") - F.length("y.s")) <= max_edits) & (edits >= 0)
+    alike = F.bit_count(F.col("x.odd").bitwiseXOR(F.col("y.odd"))) <= 2 * max_edits
     long_pairs = a.alias("x").join(b.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.a") == F.col("y.a"))
-                                   & (F.col("x.b") == F.col("y.b")) & (F.abs(F.col("x.place") - F.col("y.place")) <= max_edits) & near)
+                                   & (F.col("x.b") == F.col("y.b")) & (F.abs(F.col("x.place") - F.col("y.place")) <= max_edits) & alike & near)
     small = [_shortened(side.where(F.length("s") <= short + max_edits), max_edits) for side in (ls, rs)]
     short_pairs = small[0].alias("x").join(small[1].alias("y"), (F.col("x.key") == F.col("y.key")) & near
                                            & (F.least(F.length("x.s"), F.length("y.s")) <= short))
