@@ -1,5 +1,7 @@
 """Native operators: quality rules, exact dedup, sharding, mixing."""
 
+import collections
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -266,3 +268,17 @@ def test_mix_rows_without_ids_spread(spark):
     rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("a").alias("source"))
     taken = mixing.mix(rows)
     assert abs(taken.agg(F.sum("taken")).first()[0] - 9000) <= 2 and taken.where("copies = 2").count() == 1500
+
+
+def test_common_words_are_looked_up_by_length(spark):
+    """A word meets the common words of its length in bytes only; others are none of them."""
+    text = "a a a a éé éé éé fünf fünf wortlang x, x, 12 12 12 12 12 unbekanntes"
+    docs = spark.createDataFrame([(1, text, "de"), (2, "", "de"), (3, None, None)], "doc_id long, text string, lang string")
+    codes = {r.lang__: r.codes__ for r in quality_rules.common_words(docs, "text", "lang").collect()}
+    assert list(codes) == ["de"] and [len(m) for m in codes["de"]] == [1, 1, 0, 1, 1, 0, 0, 1, 0, 0, 1]
+    assert all(len(w.encode()) == n for n, m in enumerate(codes["de"], 1) for w in m)
+    got = {r.doc_id: r.words__ for r in quality_rules.measured(docs).collect()}
+    counts = collections.Counter(text.split())
+    known = sorted((w for w in counts if any(c.isalpha() for c in w)), key=lambda w: (-counts[w], w))
+    assert got[1] == [float(counts[w]) for w in known] + [0.0] * (quality_rules.COMMON - len(known)) + [float(counts["12"])]
+    assert got[2] == [0.0] * (quality_rules.COMMON + 1) == got[3]

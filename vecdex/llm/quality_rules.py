@@ -105,7 +105,8 @@ def jensen_shannon(p: Column, q: Column) -> Column:
 
 def common_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang__, codes__``: each language's commonest words that hold a letter, as
-    a map from the word to its letter of ``_LETTERS``."""
+    a map from the word to its letter of ``_LETTERS`` for every length in bytes from 1
+    on: a word is compared with those of its length only."""
     each = docs.select(F.col(lang_col).alias("lang__"), F.explode(words(F.col(text_col))).alias("w"))
     counts = each.groupBy("lang__", "w").agg(F.count(F.lit(1)).alias("n")).where(F.col("w").rlike("\\p{L}"))
     # the limit on the rank is taken in every task before languages meet
@@ -114,9 +115,12 @@ def common_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     top = found.groupBy("lang__").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "w"))).alias("all__"))
     ranked = F.slice("all__", 1, COMMON)
     letters = F.array(*[F.lit(c) for c in _LETTERS])
-    return (top.withColumn("ranked__", ranked).where(F.size("ranked__") > 0)
-            .select("lang__", F.map_from_arrays(F.transform("ranked__", lambda x: x["w"]),
-                                                F.slice(letters, F.lit(1), F.size("ranked__"))).alias("codes__")))
+    spelt = F.zip_with(F.transform("ranked__", lambda x: x["w"]), F.slice(letters, F.lit(1), F.size("ranked__")),
+                       lambda w, c: F.struct(w.alias("w"), c.alias("c")))
+    longest = F.array_max(F.transform("spelt__", lambda x: F.octet_length(x["w"])))
+    return (top.withColumn("ranked__", ranked).where(F.size("ranked__") > 0).withColumn("spelt__", spelt)
+            .select("lang__", F.transform(F.sequence(F.lit(1), longest), lambda n: F.map_from_entries(
+                F.filter("spelt__", lambda x: F.octet_length(x["w"]) == n))).alias("codes__")))
 
 
 def _with_language(docs: DataFrame, side: DataFrame, lang_col: str) -> DataFrame:
@@ -144,7 +148,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return (rows.withColumn("text__", F.coalesce(F.col(text_col), F.lit("")))
             .withColumn("text_id__", F.xxhash64("text__"))
             .withColumn("hits__", F.coalesce(F.array_join(F.transform(
-                "own__", lambda w: F.element_at("codes__", w)), ""), F.lit("")))
+                "own__", lambda w: F.element_at(F.get("codes__", F.octet_length(w) - 1), w)), ""), F.lit("")))
             .withColumn("known__", known)
             .withColumn("words__", F.concat("known__", F.array(F.col("n_words") - total(F.col("known__")))))
             .withColumn("size__", F.length("text__")).withColumn("upper__", gone("\\p{Lu}+"))
